@@ -1,0 +1,31 @@
+"""Size checks that guard every explicit broadcast.
+
+A side is broadcast only when the optimizer's size estimate for its plan is below
+``max_bytes``; otherwise the join is left to the planner (sort-merge, or an AQE
+broadcast once the real shuffle size is measured). The estimate for a file scan is
+the file size scaled by the column fraction, so it grows with the data and the guard
+fails closed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_size_bytes(df: DataFrame) -> int | None:
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is at most ``max_bytes``, else ``df``."""
+    size = estimated_size_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df
