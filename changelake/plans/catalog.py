@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators import analytics, entity, envelope, quality, state
+from changelake.operators import analytics, capture, entity, envelope, load, quality, state
+from changelake.operators import transform
 from changelake.plans import testdata as td
-from changelake.schemas import COMMITS, ISSUES, PULL_REQUESTS, REPOSITORIES, TABLES
+from changelake.schemas import COMMITS, ISSUES, PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +180,103 @@ def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(quality_report(spark, sf_dir))
 
 
+# ------------------------------------------------------------------ raw transforms (T*)
+def raw_repository_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = transform.repositories(td.raw_repository_docs(spark, sf_dir))
+    return flat.select("repository_id", "name", "full_name", "owner", "language", "stars", "forks",
+                       "open_issues", "watchers", "size", "archived",
+                       F.array_join("topics", "|").alias("topics"), "license")
+
+
+def raw_commit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transform.commits(td.raw_commit_docs(spark, sf_dir))
+
+
+def raw_issue_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = transform.issues(td.raw_issue_docs(spark, sf_dir))
+    return flat.select("issue_id", "issue_number", "repository", "title", "state", "author",
+                       "created_at", "closed_at", "comments",
+                       F.array_join("labels", "|").alias("labels"), "url")
+
+
+def raw_pull_request_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = transform.pull_requests(td.raw_pull_request_docs(spark, sf_dir))
+    return flat.groupBy("repository").agg(
+        F.count(F.lit(1)).alias("pull_requests"),
+        F.count_if(F.col("merged_at").isNotNull()).alias("merged"),
+        F.count_if(F.col("closed_at").isNotNull()).alias("closed"),
+        F.sum("additions").alias("additions"),
+        F.sum("review_comments").alias("review_comments"))
+
+
+def transform_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transform.issue_feed_totals(td.raw_issue_docs(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ load (L*)
+def _commit_batch_and_parents(spark: SparkSession, sf_dir: str):
+    e = td.table(spark, sf_dir, "events")
+    uid = F.col("user_id").cast("string")
+    batch = e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("commit_sha"),
+                     F.concat(F.lit("owner_"), (F.col("user_id") % 7).cast("string"),
+                              F.lit("/repo_"), uid).alias("repository"),
+                     F.col("event_type").alias("message"))
+    parents = state.current_state(repository_log(spark, sf_dir), REPOSITORIES) \
+        .select("repository_id", "full_name")
+    return load.resolve_parent(batch, parents, "repository", "full_name", "repository_id")
+
+
+def resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accepted, _ = _commit_batch_and_parents(spark, sf_dir)
+    return accepted.select("commit_sha", "repository_id", "message")
+
+
+def resolve_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = _commit_batch_and_parents(spark, sf_dir)
+    return rejected.select("commit_sha", "repository")
+
+
+def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target = old parts, batch = new parts; only price and size may change on conflict."""
+    old, new = td.part_snapshots(spark, sf_dir)
+    spec = TableSpec("part", "p_partkey", old.schema, mutable=("p_retailprice", "p_size"))
+    return load.upsert(old, new, spec)
+
+
+def upsert_all_mutable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = td.part_snapshots(spark, sf_dir)
+    spec = TableSpec("part", "p_partkey", old.schema, mutable=None)
+    return load.upsert(old, new, spec)
+
+
+# ------------------------------------------------------------------ capture (I*, J1)
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = td.part_snapshots(spark, sf_dir)
+    d = capture.diff_snapshots(old, new, "p_partkey")
+    return d.select("p_partkey", "operation",
+                    F.col("before.p_retailprice").alias("before_price"),
+                    F.col("after.p_retailprice").alias("after_price"),
+                    F.col("before.p_name").alias("before_name"),
+                    F.col("after.p_name").alias("after_name"))
+
+
+def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = td.part_snapshots(spark, sf_dir)
+    return capture.apply_changes(old, capture.diff_snapshots(old, new, "p_partkey"), "p_partkey")
+
+
+def newest_per_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 most recently updated pull requests of each repository (one listing page)."""
+    li = td.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("repository_id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pull_request_id"),
+        td.epoch_millis("l_shipdate").alias("updated_ms"), "l_orderkey", "l_linenumber")
+    top = capture.newest_per_parent(
+        li, "repository_id",
+        [F.col("updated_ms").desc(), F.col("l_orderkey").desc(), F.col("l_linenumber").desc()], 100)
+    return top.select("repository_id", "pull_request_id", "updated_ms")
+
+
 QUERIES: dict[str, Query] = {
     "repository_analytics": repository_analytics,
     "top_repositories": top_repositories,
@@ -199,6 +297,18 @@ QUERIES: dict[str, Query] = {
     "quality_orphans": quality_orphans,
     "quality_report": quality_report,
     "quality_verdict": quality_verdict,
+    "raw_repository_transform": raw_repository_transform,
+    "raw_commit_transform": raw_commit_transform,
+    "raw_issue_transform": raw_issue_transform,
+    "raw_pull_request_transform": raw_pull_request_transform,
+    "transform_totals": transform_totals,
+    "resolve_keys": resolve_keys,
+    "resolve_rejects": resolve_rejects,
+    "upsert": upsert,
+    "upsert_all_mutable": upsert_all_mutable,
+    "snapshot_diff": snapshot_diff,
+    "apply_diff": apply_diff,
+    "newest_per_parent": newest_per_parent,
 }
 
 # For the tests: COMMITS and ISSUES are the specs the activity stream exercises.

@@ -239,6 +239,107 @@ QUALITY_VERDICT = _COUNTS + """
 SELECT count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed,
        bool_and(passed) AS all_passed FROM report"""
 
+_ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%SZ')"
+
+RAW_REPOSITORY_TRANSFORM = """
+SELECT c_custkey AS repository_id, c_name AS name,
+       'owner_' || CAST(c_nationkey AS VARCHAR) || '/' || c_name AS full_name,
+       CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'owner_' || CAST(c_nationkey AS VARCHAR) END AS owner,
+       c_mktsegment AS language, CAST(round(c_acctbal * 100) AS BIGINT) AS stars,
+       c_custkey % 97 AS forks, c_custkey % 11 AS open_issues, c_custkey % 53 AS watchers,
+       c_custkey AS size, c_acctbal < 0 AS archived,
+       CASE WHEN c_acctbal >= 0 THEN lower(c_mktsegment) || '|derived' ELSE '' END AS topics,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN 'MIT' END AS license
+FROM customer"""
+
+RAW_COMMIT_TRANSFORM = """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS commit_sha, 'repo_' || CAST(user_id AS VARCHAR) AS repository,
+       CASE WHEN event_type IN ('view', 'click') THEN 'name_' ELSE 'user_' END
+         || CAST(user_id AS VARCHAR) AS author,
+       'user_' || CAST(user_id AS VARCHAR) || '@example.org' AS author_email,
+       """ + _ISO.format(c="ts") + """ AS commit_date, event_type AS message
+FROM events"""
+
+RAW_ISSUE_TRANSFORM = """
+SELECT o_orderkey AS issue_id, o_orderkey % 1000 AS issue_number,
+       'customer_' || CAST(o_custkey AS VARCHAR) AS repository,
+       'order ' || CAST(o_orderkey AS VARCHAR) AS title,
+       CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
+       CASE WHEN o_orderstatus <> 'P' THEN 'user_' || CAST(o_custkey AS VARCHAR) END AS author,
+       """ + _ISO.format(c="o_orderdate") + """ AS created_at,
+       CASE WHEN o_orderstatus = 'F' THEN """ + _ISO.format(c="o_orderdate") + """ END AS closed_at,
+       CAST(regexp_extract(o_orderpriority, '^(\\d+)', 1) AS BIGINT) AS comments,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus || '|' || o_orderpriority ELSE '' END AS labels,
+       'https://example.org/issues/' || CAST(o_orderkey AS VARCHAR) AS url
+FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"""
+
+RAW_PULL_REQUEST_TRANSFORM = """
+SELECT 'supplier_' || CAST(l_suppkey AS VARCHAR) AS repository, count(*) AS pull_requests,
+       count(*) FILTER (WHERE l_returnflag = 'R') AS merged,
+       count(*) FILTER (WHERE l_linestatus = 'F') AS closed,
+       CAST(sum(CAST(floor(l_quantity) AS BIGINT)) AS BIGINT) AS additions,
+       CAST(sum(CAST(floor(l_tax * 100) AS BIGINT)) AS BIGINT) AS review_comments
+FROM lineitem GROUP BY 1"""
+
+TRANSFORM_TOTALS = """
+SELECT 'customer_' || CAST(o_custkey AS VARCHAR) AS repository,
+       count(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS issues,
+       count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS pull_requests_skipped
+FROM orders GROUP BY 1"""
+
+RESOLVE_KEYS = "WITH" + _CUR + """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS commit_sha, user_id AS repository_id, event_type AS message
+FROM events WHERE user_id IN (SELECT repository_id FROM cur)"""
+
+RESOLVE_REJECTS = "WITH" + _CUR + """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS commit_sha,
+       'owner_' || CAST(user_id % 7 AS VARCHAR) || '/repo_' || CAST(user_id AS VARCHAR) AS repository
+FROM events WHERE user_id NOT IN (SELECT repository_id FROM cur)"""
+
+UPSERT = """
+SELECT p_partkey,
+       CASE WHEN p_size > 45 AND p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS p_name,
+       p_brand, p_type, p_size,
+       CASE WHEN p_brand <> 'Brand#13' AND p_type = 'PROMO' THEN p_retailprice + 1
+            ELSE p_retailprice END AS p_retailprice
+FROM part WHERE p_size <= 45 OR p_brand <> 'Brand#13'"""
+
+UPSERT_ALL_MUTABLE = """
+SELECT p_partkey,
+       CASE WHEN p_brand <> 'Brand#13' AND p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS p_name,
+       p_brand, p_type, p_size,
+       CASE WHEN p_brand <> 'Brand#13' AND p_type = 'PROMO' THEN p_retailprice + 1
+            ELSE p_retailprice END AS p_retailprice
+FROM part WHERE p_size <= 45 OR p_brand <> 'Brand#13'"""
+
+SNAPSHOT_DIFF = """
+SELECT p_partkey,
+       CASE WHEN p_size > 45 THEN 'c' WHEN p_brand = 'Brand#13' THEN 'd' ELSE 'u' END AS operation,
+       CASE WHEN p_size <= 45 THEN p_retailprice END AS before_price,
+       CASE WHEN p_brand <> 'Brand#13' THEN
+            CASE WHEN p_type = 'PROMO' THEN p_retailprice + 1 ELSE p_retailprice END END AS after_price,
+       CASE WHEN p_size <= 45 THEN p_name END AS before_name,
+       CASE WHEN p_brand <> 'Brand#13' THEN
+            CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END END AS after_name
+FROM part
+WHERE (p_size > 45 AND p_brand <> 'Brand#13') OR (p_size <= 45 AND p_brand = 'Brand#13')
+   OR (p_size <= 45 AND p_brand <> 'Brand#13' AND p_type = 'PROMO')"""
+
+APPLY_DIFF = """
+SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS p_name,
+       p_brand, p_type, p_size,
+       CASE WHEN p_type = 'PROMO' THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice
+FROM part WHERE p_brand <> 'Brand#13'"""
+
+NEWEST_PER_PARENT = """
+SELECT repository_id, pull_request_id, updated_ms FROM (
+  SELECT l_suppkey AS repository_id, l_orderkey * 8 + l_linenumber AS pull_request_id,
+         epoch_us(l_shipdate) // 1000 AS updated_ms,
+         row_number() OVER (PARTITION BY l_suppkey
+                            ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM lineitem)
+WHERE rn <= 100"""
+
 ORACLES: dict[str, str] = {
     "repository_analytics": REPOSITORY_ANALYTICS,
     "top_repositories": TOP_REPOSITORIES,
@@ -259,4 +360,16 @@ ORACLES: dict[str, str] = {
     "quality_orphans": QUALITY_ORPHANS,
     "quality_report": QUALITY_REPORT,
     "quality_verdict": QUALITY_VERDICT,
+    "raw_repository_transform": RAW_REPOSITORY_TRANSFORM,
+    "raw_commit_transform": RAW_COMMIT_TRANSFORM,
+    "raw_issue_transform": RAW_ISSUE_TRANSFORM,
+    "raw_pull_request_transform": RAW_PULL_REQUEST_TRANSFORM,
+    "transform_totals": TRANSFORM_TOTALS,
+    "resolve_keys": RESOLVE_KEYS,
+    "resolve_rejects": RESOLVE_REJECTS,
+    "upsert": UPSERT,
+    "upsert_all_mutable": UPSERT_ALL_MUTABLE,
+    "snapshot_diff": SNAPSHOT_DIFF,
+    "apply_diff": APPLY_DIFF,
+    "newest_per_parent": NEWEST_PER_PARENT,
 }

@@ -327,3 +327,123 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Pull-request ids repeat in ``lineitem`` with equal event coordinates; state for them
 # is made deterministic by ordering on the row content after the event coordinates.
 PR_ORDER = ("event_timestamp", "kafka_timestamp", "partition", "offset", "repository_id", "state")
+
+
+# ---------------------------------------------------------------------------------------
+# Raw documents (REST listing shape) derived from the tables, one JSON text per row
+# ---------------------------------------------------------------------------------------
+def _iso(ts: str) -> Column:
+    return F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def raw_repository_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One repository object per customer. Missing on purpose: ``owner`` for the
+    AUTOMOBILE segment, ``license`` for BUILDING, ``topics`` for a negative balance."""
+    c = table(spark, sf_dir, "customer")
+    owner_login = F.concat(F.lit("owner_"), F.col("c_nationkey").cast("string"))
+    doc = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.concat(owner_login, F.lit("/"), F.col("c_name")).alias("full_name"),
+        F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.struct(owner_login.alias("login"))).alias("owner"),
+        F.lit("derived repository").alias("description"),
+        F.concat(F.lit("https://example.org/"), F.col("c_name")).alias("html_url"),
+        F.lit("2024-01-01T00:00:00Z").alias("created_at"),
+        F.lit("2024-02-01T00:00:00Z").alias("updated_at"),
+        F.lit("2024-02-02T00:00:00Z").alias("pushed_at"),
+        F.col("c_mktsegment").alias("language"),
+        F.round(F.col("c_acctbal") * 100).cast("bigint").alias("stargazers_count"),
+        (F.col("c_custkey") % 97).alias("forks_count"),
+        (F.col("c_custkey") % 11).alias("open_issues_count"),
+        (F.col("c_custkey") % 53).alias("watchers_count"),
+        F.col("c_custkey").alias("size"),
+        (F.col("c_acctbal") < 0).alias("archived"),
+        F.lit(True).alias("has_issues"), F.lit(False).alias("has_discussions"),
+        F.lit("main").alias("default_branch"),
+        F.when(F.col("c_acctbal") >= 0, F.array(F.lower("c_mktsegment"), F.lit("derived"))).alias("topics"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.struct(F.lit("MIT").alias("spdx_id"))).alias("license"),
+    )
+    return c.select(F.lit("customer.json").alias("source_file"), F.to_json(doc).alias("doc"))
+
+
+def raw_commit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One commit object per event; the account login is empty for views and the
+    account is missing for clicks, so the author falls back to the commit name."""
+    e = table(spark, sf_dir, "events")
+    uid = F.col("user_id").cast("string")
+    login = F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.concat(F.lit("user_"), uid))
+    doc = F.struct(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("sha"),
+        F.when(F.col("event_type") != "click", F.struct(login.alias("login"))).alias("author"),
+        F.struct(
+            F.struct(F.concat(F.lit("name_"), uid).alias("name"),
+                     F.concat(F.lit("user_"), uid, F.lit("@example.org")).alias("email"),
+                     _iso("ts").alias("date")).alias("author"),
+            F.col("event_type").alias("message")).alias("commit"),
+    )
+    return e.select(F.concat(F.lit("repo_"), uid).alias("repository"), F.to_json(doc).alias("doc"))
+
+
+def raw_issue_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One issue-feed object per order. Priority 1 entries are pull requests (the key
+    holds an object), priority 2 entries carry the key with a null value (still pull
+    requests); priority 5 entries have no labels; pending orders have no user."""
+    o = table(spark, sf_dir, "orders")
+    prio = F.col("o_orderpriority")
+    doc = F.struct(
+        F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 1000).alias("number"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("open")).otherwise(F.lit("closed")).alias("state"),
+        F.when(F.col("o_orderstatus") != "P",
+               F.struct(F.concat(F.lit("user_"), F.col("o_custkey").cast("string")).alias("login"))).alias("user"),
+        _iso("o_orderdate").alias("created_at"), _iso("o_orderdate").alias("updated_at"),
+        F.when(F.col("o_orderstatus") == "F", _iso("o_orderdate")).alias("closed_at"),
+        leading_int("o_orderpriority").alias("comments"),
+        F.when(prio != "5-LOW", F.array(F.struct(F.col("o_orderstatus").alias("name")),
+                                         F.struct(prio.alias("name")))).alias("labels"),
+        F.concat(F.lit("https://example.org/issues/"), F.col("o_orderkey").cast("string")).alias("html_url"),
+    )
+    text = F.to_json(doc)
+    text = (F.when(prio == "1-URGENT", F.regexp_replace(text, r"\}$", ',"pull_request":{"url":"x"}}'))
+             .when(prio == "2-HIGH", F.regexp_replace(text, r"\}$", ',"pull_request":null}'))
+             .otherwise(text))
+    return o.select(F.concat(F.lit("customer_"), F.col("o_custkey").cast("string")).alias("repository"),
+                    text.alias("doc"))
+
+
+def raw_pull_request_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    doc = F.struct(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        F.col("l_linenumber").alias("number"),
+        F.concat(F.lit("line "), F.col("l_orderkey").cast("string")).alias("title"),
+        F.when(F.col("l_linestatus") == "O", F.lit("open")).otherwise(F.lit("closed")).alias("state"),
+        F.struct(F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string")).alias("login")).alias("user"),
+        _iso("l_shipdate").alias("created_at"), _iso("l_shipdate").alias("updated_at"),
+        F.when(F.col("l_linestatus") == "F", _iso("l_shipdate")).alias("closed_at"),
+        F.when(F.col("l_returnflag") == "R", _iso("l_shipdate")).alias("merged_at"),
+        F.floor("l_quantity").alias("comments"), F.floor(F.col("l_tax") * 100).alias("review_comments"),
+        F.col("l_linenumber").alias("commits"), F.floor(F.col("l_discount") * 100).alias("changed_files"),
+        F.floor("l_quantity").alias("additions"), F.lit(0).alias("deletions"),
+        F.concat(F.lit("https://example.org/pulls/"), F.col("l_orderkey").cast("string")).alias("html_url"),
+    )
+    return li.select(F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string")).alias("repository"),
+                     F.to_json(doc).alias("doc"))
+
+
+# ---------------------------------------------------------------------------------------
+# Two snapshots of ``part``: parts larger than 45 arrive later, Brand#13 is delisted,
+# PROMO parts are renamed upper-case and cost one more in the new snapshot.
+# ---------------------------------------------------------------------------------------
+PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+def part_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p = table(spark, sf_dir, "part").select(*PART_COLUMNS)
+    old = p.filter(F.col("p_size") <= 45)
+    promo = F.col("p_type") == "PROMO"
+    new = p.filter(F.col("p_brand") != "Brand#13").select(
+        "p_partkey",
+        F.when(promo, F.upper("p_name")).otherwise(F.col("p_name")).alias("p_name"),
+        "p_brand", "p_type", "p_size",
+        F.when(promo, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")).alias("p_retailprice"))
+    return old, new
