@@ -340,6 +340,16 @@ SELECT repository_id, pull_request_id, updated_ms FROM (
   FROM lineitem)
 WHERE rn <= 100"""
 
+STREAM_ARCHIVE = """
+SELECT 'repositories' AS table_name, count(*) AS records, CAST(0 AS BIGINT) AS tombstones FROM customer
+UNION ALL SELECT 'commits', count(*), 0 FROM events
+UNION ALL SELECT 'issues',
+  (SELECT count(*) FROM orders) + (SELECT count(*) FROM orders WHERE o_orderstatus IN ('F', 'P'))
+  + (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'),
+  (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')
+UNION ALL SELECT 'pull_requests',
+  (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F'), 0"""
+
 ORACLES: dict[str, str] = {
     "repository_analytics": REPOSITORY_ANALYTICS,
     "top_repositories": TOP_REPOSITORIES,
@@ -372,4 +382,7 @@ ORACLES: dict[str, str] = {
     "snapshot_diff": SNAPSHOT_DIFF,
     "apply_diff": APPLY_DIFF,
     "newest_per_parent": NEWEST_PER_PARENT,
+    "stream_current_state": CURRENT_STATE,
+    "stream_normalise": ENVELOPE_PARSE,
+    "stream_archive": STREAM_ARCHIVE,
 }
