@@ -54,9 +54,13 @@ def parse_changes(records: DataFrame, spec: TableSpec, routed: bool = False,
     """
     src = records if routed else route(records, spec)
     env = parse_envelope("value", spec.row_schema)
+    # The parsed envelope leaves through a one-element explode: Catalyst never pushes a
+    # filter on a generated column below the Generate, nor inlines the parse into later
+    # projections, so every filter on parsed fields (rejects, keys, deletes) reuses the
+    # one parse instead of re-running from_json per reference.
     staged = src.select(
         "topic", "partition", "offset", F.col("timestamp").alias("kafka_timestamp"), "key",
-        "value", env.alias("_env"),
+        "value", F.explode(F.array(env)).alias("_env"),
     )
     e = F.col("_env")
     key = change_key(e, spec.key)

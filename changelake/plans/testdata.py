@@ -45,6 +45,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread source rows over the topic's partitions by key, as a keyed producer does.
+
+    The derived streams stand in for a many-partition topic; without this, a source
+    file with one row group would feed all encoding and parsing through one task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(k) for k in keys])
+
+
 def epoch_millis(ts: str) -> Column:
     """Epoch milliseconds of a ``timestamp_ntz`` column, independent of the session zone."""
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts}) div 1000")
@@ -197,7 +207,7 @@ def repository_image_from_event(user_id: Column, event_type: Column, value: Colu
 
 def repository_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped change records of ``repositories``, one per event."""
-    e = table(spark, sf_dir, "events").select(
+    e = by_key(table(spark, sf_dir, "events"), "user_id").select(
         "event_id", "user_id", "event_type", "value", epoch_millis("ts").alias("ts_ms"),
         _event_k().alias("k"))
     op = event_operation(F.col("event_type"))
@@ -252,7 +262,7 @@ def faulty_records(recs: DataFrame) -> DataFrame:
 def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped records of all four tables on their own topics."""
     # repositories: one snapshot read per customer
-    repo = repositories(spark, sf_dir)
+    repo = by_key(repositories(spark, sf_dir), "repository_id")
     repo_recs = repo.select(*records(
         REPOSITORIES, F.lit("r"), F.lit(SNAPSHOT_MS).cast("bigint"), F.lit(None),
         row_struct(REPOSITORIES, {c: F.col(c) for c in REPOSITORIES.columns}),
@@ -260,7 +270,7 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         key=F.col("repository_id")))
 
     # commits: created once per event
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts",
+    ev = by_key(table(spark, sf_dir, "events"), "event_id").select("event_id", "user_id", "event_type", "ts",
                                                epoch_millis("ts").alias("ts_ms"))
     commit_img = row_struct(COMMITS, {
         "commit_sha": F.concat(F.lit("e"), F.col("event_id").cast("string")),
@@ -276,7 +286,7 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         key=F.concat(F.lit("e"), F.col("event_id").cast("string")), wrapped=True))
 
     # issues: created open, then closed (F) or deleted (P) a day later
-    o = table(spark, sf_dir, "orders").select(
+    o = by_key(table(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         epoch_millis("o_orderdate").alias("ts_ms"))
     issue_vals = {
@@ -305,7 +315,7 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         part, F.col("o_orderkey") * 4 + 2, F.col("o_orderkey"), tombstone=F.lit(True)))
 
     # pull requests: created open, closed a day later when the line status is F
-    li = table(spark, sf_dir, "lineitem")
+    li = by_key(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     li = li.select("*", epoch_millis("l_shipdate").alias("ts_ms"))
     img = _pr_images(li)
     pr_open = row_struct(PULL_REQUESTS, {**img, "state": F.lit("open")})
