@@ -75,7 +75,7 @@ def raw_documents(spark: SparkSession, path: str) -> DataFrame:
     page (a bounded size), read whole; arrays are exploded into their elements, each
     kept as its own JSON text so that key *presence* can still be tested.
     """
-    files = (spark.read.option("wholetext", "true").text(path)
+    files = (spark.read.text(path, wholetext=True)
              .select(F.col("_metadata.file_name").alias("source_file"), F.trim("value").alias("value")))
     docs = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")) \
             .otherwise(F.array("value"))
