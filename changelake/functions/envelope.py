@@ -33,16 +33,21 @@ def wire_schema(row_schema: StructType) -> StructType:
 CORRUPT = "_corrupt_record"
 
 
-def parse_envelope(value: Column | str, row_schema: StructType) -> Column:
-    """One ``from_json`` per record, then the top level wins over ``payload``.
+def parse_wire(value: Column | str, row_schema: StructType) -> Column:
+    """The single ``from_json`` of a record (both encodings and the corrupt-record text)."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.from_json(v, wire_schema(row_schema),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def envelope_fields(doc: Column) -> Column:
+    """``struct<op, ts_ms, before, after, parsed>`` from a parsed record; the top level
+    wins over ``payload``.
 
-    Returns ``struct<op, ts_ms, before, after, parsed>``. ``parsed`` is false only for
-    text that is not a JSON object at all; a record with one bad field keeps its other
-    fields (the bad one is NULL), like the partial results of the JSON reader.
+    ``parsed`` is false only for text that is not a JSON object at all; a record with
+    one bad field keeps its other fields (the bad one is NULL), like the partial results
+    of the JSON reader.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    doc = F.from_json(v, wire_schema(row_schema),
-                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     p = doc["payload"]
     nothing = (doc["op"].isNull() & doc["ts_ms"].isNull() & doc["before"].isNull()
                & doc["after"].isNull() & p.isNull())
@@ -55,6 +60,11 @@ def parse_envelope(value: Column | str, row_schema: StructType) -> Column:
     )
 
 
+def parse_envelope(value: Column | str, row_schema: StructType) -> Column:
+    """One expression: parse and resolve the envelope (for single-use projections)."""
+    return envelope_fields(parse_wire(value, row_schema))
+
+
 def change_key(env: Column, key: str) -> Column:
     """Key of a change: from ``after``, else from ``before`` (deletes carry only ``before``)."""
     return F.coalesce(env["after"][key], env["before"][key])

@@ -18,7 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.envelope import change_key, parse_envelope, table_from_topic
+from changelake.functions.envelope import change_key, envelope_fields, parse_wire, table_from_topic
 from changelake.schemas import META_COLUMNS, OPERATIONS, TableSpec
 
 # Reasons a change record is set aside.
@@ -53,15 +53,16 @@ def parse_changes(records: DataFrame, spec: TableSpec, routed: bool = False,
     ``keep_raw=True`` also keeps ``topic, key, value`` for the dead-letter output.
     """
     src = records if routed else route(records, spec)
-    env = parse_envelope("value", spec.row_schema)
-    # The parsed envelope leaves through a one-element explode: Catalyst never pushes a
-    # filter on a generated column below the Generate, nor inlines the parse into later
+    # The parse leaves through a one-element explode: Catalyst never pushes a filter on
+    # a generated column below the Generate, nor inlines the parse into later
     # projections, so every filter on parsed fields (rejects, keys, deletes) reuses the
-    # one parse instead of re-running from_json per reference.
-    staged = src.select(
+    # one parse instead of re-running from_json per reference. Only the bare from_json
+    # goes into the generator (which has no common-subexpression elimination).
+    doc = src.select(
         "topic", "partition", "offset", F.col("timestamp").alias("kafka_timestamp"), "key",
-        "value", F.explode(F.array(env)).alias("_env"),
+        "value", F.explode(F.array(parse_wire("value", spec.row_schema))).alias("_doc"),
     )
+    staged = doc.select("*", envelope_fields(F.col("_doc")).alias("_env")).drop("_doc")
     e = F.col("_env")
     key = change_key(e, spec.key)
     row_cols = [

@@ -90,6 +90,12 @@ def records(spec: TableSpec, op: Column, ts_ms: Column, before: Column, after: C
     ]
 
 
+def emit(df: DataFrame, outputs: list[tuple[Column, list[Column]]]) -> DataFrame:
+    """Zero or more records per source row, from one scan: ``(condition, record columns)``."""
+    recs = F.array(*[F.when(cond, F.struct(*cols)) for cond, cols in outputs])
+    return df.select(F.inline(F.filter(recs, lambda r: r.isNotNull())))
+
+
 # ---------------------------------------------------------------------------------------
 # Tables in the shape of the current state (direct mapping)
 # ---------------------------------------------------------------------------------------
@@ -302,17 +308,19 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = row_struct(ISSUES, {**issue_vals, "state": F.lit("closed")})
     key_only = row_struct(ISSUES, {"issue_id": F.col("o_orderkey")})
     part = F.col("o_custkey") % 4
-    issue_open = o.select(*records(ISSUES, F.lit("c"), F.col("ts_ms"), F.lit(None), opened,
-                                   part, F.col("o_orderkey") * 4, F.col("o_orderkey")))
-    later = o.filter(F.col("o_orderstatus").isin("F", "P"))
     is_close = F.col("o_orderstatus") == "F"
-    issue_next = later.select(*records(
-        ISSUES, F.when(is_close, F.lit("u")).otherwise(F.lit("d")), F.col("ts_ms") + DAY_MS,
-        F.when(~is_close, key_only), F.when(is_close, closed),
-        part, F.col("o_orderkey") * 4 + 1, F.col("o_orderkey")))
-    issue_tomb = o.filter(F.col("o_orderstatus") == "P").select(*records(
-        ISSUES, F.lit("d"), F.col("ts_ms") + DAY_MS, key_only, F.lit(None),
-        part, F.col("o_orderkey") * 4 + 2, F.col("o_orderkey"), tombstone=F.lit(True)))
+    is_pending = F.col("o_orderstatus") == "P"
+    issue_recs = emit(o, [
+        (F.lit(True), records(ISSUES, F.lit("c"), F.col("ts_ms"), F.lit(None), opened,
+                              part, F.col("o_orderkey") * 4, F.col("o_orderkey"))),
+        (is_close | is_pending, records(
+            ISSUES, F.when(is_close, F.lit("u")).otherwise(F.lit("d")), F.col("ts_ms") + DAY_MS,
+            F.when(~is_close, key_only), F.when(is_close, closed),
+            part, F.col("o_orderkey") * 4 + 1, F.col("o_orderkey"))),
+        (is_pending, records(
+            ISSUES, F.lit("d"), F.col("ts_ms") + DAY_MS, key_only, F.lit(None),
+            part, F.col("o_orderkey") * 4 + 2, F.col("o_orderkey"), tombstone=F.lit(True))),
+    ])
 
     # pull requests: created open, closed a day later when the line status is F
     li = by_key(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
@@ -322,14 +330,16 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pr_closed = row_struct(PULL_REQUESTS, {**img, "state": F.lit("closed")})
     pr_key = img["pull_request_id"]
     pr_part = F.col("l_linenumber") % 4
-    pr_c = li.select(*records(PULL_REQUESTS, F.lit("c"), F.col("ts_ms"), F.lit(None), pr_open,
-                              pr_part, F.col("l_orderkey") * 16 + F.col("l_linenumber") * 2, pr_key))
-    pr_u = li.filter(F.col("l_linestatus") == "F").select(*records(
-        PULL_REQUESTS, F.lit("u"), F.col("ts_ms") + DAY_MS, F.lit(None), pr_closed,
-        pr_part, F.col("l_orderkey") * 16 + F.col("l_linenumber") * 2 + 1, pr_key, wrapped=True))
+    pr_recs = emit(li, [
+        (F.lit(True), records(PULL_REQUESTS, F.lit("c"), F.col("ts_ms"), F.lit(None), pr_open, pr_part,
+                              F.col("l_orderkey") * 16 + F.col("l_linenumber") * 2, pr_key)),
+        (F.col("l_linestatus") == "F", records(
+            PULL_REQUESTS, F.lit("u"), F.col("ts_ms") + DAY_MS, F.lit(None), pr_closed, pr_part,
+            F.col("l_orderkey") * 16 + F.col("l_linenumber") * 2 + 1, pr_key, wrapped=True)),
+    ])
 
     out = repo_recs
-    for part_df in (commit_recs, issue_open, issue_next, issue_tomb, pr_c, pr_u):
+    for part_df in (commit_recs, issue_recs, pr_recs):
         out = out.unionByName(part_df)
     return out
 
