@@ -27,8 +27,8 @@ REJECT_MALFORMED = "malformed"
 REJECT_NO_OPERATION = "no_operation"
 REJECT_NO_KEY = "no_key"
 
-REJECT_COLUMNS = ("table_name", "topic", "partition", "offset", "kafka_timestamp", "key",
-                  "value", "reject_reason")
+REJECT_COLUMNS = ("table_name", "operation", "topic", "partition", "offset", "kafka_timestamp",
+                  "key", "value", "reject_reason")
 
 
 def route(records: DataFrame, spec: TableSpec) -> DataFrame:

@@ -1,0 +1,252 @@
+"""The reference's entry points as Spark jobs, runnable with spark-submit.
+
+    spark-submit -m changelake.plans.pipeline <job> [options]
+
+    stream   records (Kafka, or a landing folder) -> per-table logs, dead letters,
+             incremental state and the raw archive              (S1, S2, C*, K1, K3, D6)
+    state    per-table logs -> current state Parquet            (S3, D1-D5, K2)
+    events   per-table logs -> event-level analytics Parquet     (A1-A6, K2)
+    final    current state -> repository analytics Parquet      (S4, F1-F8, K2)
+    quality  current state (+ expectations) -> check rows       (Q1-Q5)
+    raw      raw JSON documents -> flat records per table       (S5, S6, T1-T11, K4)
+    load     flat records -> versioned tables by keyed upsert   (S9, L1-L8)
+
+Folders (``--root``): ``log/<table>``, ``state/<table>``, ``analytics/<name>``,
+``analytics_final``, ``archive``, ``flat/<table>``, ``tables/<table>``. Streaming
+checkpoints live under the session's ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+import argparse
+import os
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from changelake.operators import analytics, entity, load, quality, state, transform
+from changelake.schemas import (
+    EVENT_ORDER, EXPECTATIONS_SCHEMA, FLAT_TABLES, TABLES, UPSERT_SPECS, TableSpec,
+)
+from changelake.session import build_session, scratch_dir
+from changelake.sources import readers
+from changelake.sources.writers import write_parquet
+from changelake.streaming.jobs import start_archive, start_normalise
+from changelake.streaming.state_stream import IncrementalState
+
+
+def _p(root: str, *parts: str) -> str:
+    return os.path.join(root, *parts)
+
+
+# ------------------------------------------------------------------------------- stream
+def stream_job(spark: SparkSession, records: DataFrame, root: str,
+               specs: Sequence[TableSpec] = tuple(TABLES.values()), incremental_state: bool = True,
+               archive: bool = True, available_now: bool = False,
+               processing_time: str = "5 seconds", state_buckets: int = 256) -> list[StreamingQuery]:
+    """Normalise (and optionally archive) one record stream; returns the started queries."""
+    chk = scratch_dir(spark, "streams", os.path.basename(root.rstrip("/")) or "root")
+    states = None
+    if incremental_state:
+        states = {s.name: IncrementalState(spark, s, _p(root, "live_state", s.name), state_buckets)
+                  for s in specs}
+    queries = [start_normalise(records, specs, _p(root, "log"), _p(chk, "normalise"), states,
+                               processing_time, available_now)]
+    if archive:
+        queries.append(start_archive(records, _p(root, "archive"), _p(chk, "archive"),
+                                     processing_time, available_now))
+    return queries
+
+
+# -------------------------------------------------------------------------------- batch
+def read_log(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """A table's log as written by ``stream_job`` (a folder per micro-batch)."""
+    return readers.parquet(spark, _p(root, "log", spec.name)).select(*spec.normalised_schema().fieldNames())
+
+
+def state_job(spark: SparkSession, root: str, specs: Sequence[TableSpec] = tuple(TABLES.values()),
+              orders: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
+    """Current state of every table from its whole log, written as Parquet."""
+    out = {}
+    for spec in specs:
+        order = (orders or {}).get(spec.name, EVENT_ORDER)
+        cur = state.current_state(read_log(spark, root, spec), spec, order)
+        path = _p(root, "state", spec.name)
+        write_parquet(cur, path)
+        out[spec.name] = path
+    return out
+
+
+def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {n: readers.parquet(spark, _p(root, "state", n)) for n in TABLES}
+
+
+def read_dead_letters(spark: SparkSession, root: str) -> DataFrame | None:
+    path = _p(root, "log", "_dead_letters")
+    return readers.parquet(spark, path) if os.path.exists(path) else None
+
+
+def event_analytics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    logs = {n: read_log(spark, root, s) for n, s in TABLES.items()}
+    # Change statistics count every record, the set-aside ones included (a tombstone is
+    # an event with a NULL operation), as the reference's statistics do.
+    dead = read_dead_letters(spark, root)
+    every = {n: df.select("operation") for n, df in logs.items()}
+    if dead is not None:
+        every = {n: df.unionByName(dead.filter(F.col("table_name") == n).select("operation"))
+                 for n, df in every.items()}
+    return {
+        "repository_popularity": analytics.event_popularity(logs["repositories"]),
+        "language_distribution": analytics.language_distribution(logs["repositories"]),
+        "commit_activity": analytics.commit_activity(logs["commits"]),
+        "issue_analytics": analytics.issue_analytics(logs["issues"]),
+        "pull_request_analytics": analytics.pull_request_analytics(logs["pull_requests"]),
+        "cdc_statistics": analytics.change_statistics(every),
+    }
+
+
+def event_analytics_job(spark: SparkSession, root: str) -> dict[str, str]:
+    out = {}
+    for name, df in event_analytics(spark, root).items():
+        write_parquet(df, _p(root, "analytics", name))
+        out[name] = _p(root, "analytics", name)
+    return out
+
+
+def final_analytics(spark: SparkSession, root: str) -> DataFrame:
+    s = read_state(spark, root)
+    return entity.repository_analytics(s["repositories"], s["commits"], s["issues"], s["pull_requests"])
+
+
+def final_analytics_job(spark: SparkSession, root: str) -> str:
+    path = _p(root, "analytics_final")
+    write_parquet(final_analytics(spark, root), path)
+    return path
+
+
+def quality_job(spark: SparkSession, root: str, expectations: DataFrame | None = None,
+                raise_on_failure: bool = False) -> DataFrame:
+    s = read_state(spark, root)
+    report = quality.quality_report(
+        {n: (s[n], TABLES[n].key) for n in TABLES}, expectations,
+        parent=("repositories", "repository_id"),
+        references={"commits": "repository_id", "issues": "repository_id",
+                    "pull_requests": "repository_id"})
+    if raise_on_failure:
+        quality.raise_on_failure(report)
+    return report
+
+
+# ---------------------------------------------------------------------- raw and load
+RAW_TRANSFORMS = {
+    "repositories": transform.repositories,
+    "commits": transform.commits,
+    "issues": transform.issues,
+    "pull_requests": transform.pull_requests,
+}
+
+
+def raw_job(spark: SparkSession, root: str) -> dict[str, str]:
+    """``raw/repositories`` (one object per file) and ``raw/<child>`` (one array per
+    parent, file named ``owner_name.json``) -> ``flat/<table>``, children partitioned by
+    parent name."""
+    out = {}
+    for name, fn in RAW_TRANSFORMS.items():
+        src = _p(root, "raw", name)
+        if not os.path.exists(src):
+            continue
+        docs = readers.raw_documents(spark, src)
+        if name != "repositories":
+            docs = docs.withColumn("repository", readers.parent_of_file())
+        flat = fn(docs)
+        write_parquet(flat, _p(root, "flat", name), partition_by=() if name == "repositories" else ("repository",))
+        out[name] = _p(root, "flat", name)
+    return out
+
+
+def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
+    """Flat records -> tables: resolve the parent by ``full_name`` (file stem), upsert by
+    key with the table's mutable columns, and commit a new version. Returns the rejects."""
+    rejects = {}
+    tables = _p(root, "tables")
+
+    def current(name: str, like: DataFrame) -> DataFrame:
+        try:
+            return load.read_current(spark, _p(tables, name))
+        except Exception:  # first load: empty target with the batch's columns
+            return spark.createDataFrame([], like.schema)
+
+    repos = readers.parquet(spark, _p(root, "flat", "repositories"))
+    repos = load.dedupe_batch(repos, "repository_id", ["updated_at"])
+    target = current("repositories", repos)
+    merged = load.upsert(target, repos.select(*target.columns), UPSERT_SPECS["repositories"])
+    load.commit_version(merged, _p(tables, "repositories"), version)
+    parents = load.read_current(spark, _p(tables, "repositories")).select(
+        "repository_id", readers.file_stem_of(F.col("full_name")).alias("stem"))
+    for name in ("commits", "issues", "pull_requests"):
+        path = _p(root, "flat", name)
+        if not os.path.exists(path):
+            continue
+        flat = readers.parquet(spark, path)
+        spec = UPSERT_SPECS[name]
+        acc, rej = load.resolve_parent(flat, parents, "repository", "stem", "repository_id")
+        rejects[name] = rej
+        batch = acc.drop("repository")
+        order = ["updated_at"] if "updated_at" in batch.columns else ["commit_date"]
+        batch = load.dedupe_batch(batch, spec.key, order)
+        key_spec = TableSpec(name, spec.key, batch.schema, tuple(c for c in spec.mutable_columns()
+                                                                if c in batch.columns) + ("repository_id",))
+        target = current(name, batch)
+        merged = load.upsert(target, batch.select(*target.columns), key_spec)
+        load.commit_version(merged, _p(tables, name), version)
+    return rejects
+
+
+# --------------------------------------------------------------------------------- CLI
+def main(argv: Sequence[str] | None = None) -> None:
+    ap = argparse.ArgumentParser(prog="changelake.plans.pipeline")
+    ap.add_argument("job", choices=["stream", "state", "events", "final", "quality", "raw", "load"])
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--kafka", help="bootstrap servers; otherwise --landing is read")
+    ap.add_argument("--topics", default=",".join(s.topic() for s in TABLES.values()))
+    ap.add_argument("--landing", help="folder of Kafka-shaped Parquet records")
+    ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--expectations", help="CSV with table,expected")
+    ap.add_argument("--version", type=int, default=1)
+    a = ap.parse_args(argv)
+    spark = build_session(app=f"changelake-{a.job}")
+    if a.job == "stream":
+        if a.kafka:
+            records = readers.kafka_stream(spark, a.kafka, a.topics.split(","))
+        else:
+            records = readers.landing_stream(spark, a.landing)
+        queries = stream_job(spark, records, a.root, available_now=a.available_now)
+        if a.available_now:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
+    elif a.job == "state":
+        state_job(spark, a.root)
+    elif a.job == "events":
+        event_analytics_job(spark, a.root)
+    elif a.job == "final":
+        final_analytics_job(spark, a.root)
+    elif a.job == "quality":
+        exp = (spark.read.schema(EXPECTATIONS_SCHEMA).option("header", "true").csv(a.expectations)
+               if a.expectations else None)
+        report = quality_job(spark, a.root, exp)
+        write_parquet(report, _p(a.root, "quality"))
+        quality.raise_on_failure(readers.parquet(spark, _p(a.root, "quality")))
+    elif a.job == "raw":
+        raw_job(spark, a.root)
+    elif a.job == "load":
+        load_job(spark, a.root, a.version)
+
+
+__all__ = [n for n in dir() if n.endswith("_job")] + ["read_log", "read_state", "FLAT_TABLES"]
+
+if __name__ == "__main__":
+    main()
