@@ -56,8 +56,14 @@ def by_key(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def epoch_millis(ts: str) -> Column:
-    """Epoch milliseconds of a ``timestamp_ntz`` column, independent of the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts}) div 1000")
+    """Epoch milliseconds of a ``timestamp_ntz`` column read as UTC wall-clock time.
+
+    Built from the date and time fields, which for ``timestamp_ntz`` never consult the
+    session time zone (a cast to ``timestamp`` would, and would shift across DST).
+    """
+    return F.expr(
+        f"(unix_date(cast({ts} AS DATE)) * 86400000000L + hour({ts}) * 3600000000L"
+        f" + minute({ts}) * 60000000L + cast(extract(SECOND FROM {ts}) * 1000000 AS BIGINT)) div 1000")
 
 
 def kafka_time(ms: Column) -> Column:

@@ -82,7 +82,17 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]")
+    if os.environ.get("PLAIN_SESSION"):  # the driver's own session, none of our settings
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]")
+    tz = os.environ.get("SESSION_TZ")
+    if tz:  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duck(sf_dir)
     qs, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
