@@ -28,6 +28,34 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for a large cluster run over ``input_bytes`` of input.
+
+    The initial shuffle width is chosen so that each shuffle partition holds about
+    ``target_partition_bytes`` of the largest input (at least 2 per core); AQE then
+    coalesces small partitions and splits skewed ones at run time, so the number only
+    needs to be right to within a factor of a few.
+    """
+    parts = max(2 * executor_cores_total, input_bytes // target_partition_bytes)
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        # Static broadcast only from plan estimates of small scans; AQE may still switch a
+        # join to broadcast once the measured shuffle output of a side is below this.
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str | None = None, app: str = "changelake", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
