@@ -273,6 +273,31 @@ def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture.apply_changes(old, capture.diff_snapshots(old, new, "p_partkey"), "p_partkey")
 
 
+def diff_envelope_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1-I4 through the wire: the old snapshot as read events, the diff as c/u/d events,
+    both encoded as JSON envelopes on one topic, parsed and folded into state; the
+    result must be the new snapshot."""
+    old, new = td.part_snapshots(spark, sf_dir)
+    spec = TableSpec("part", "p_partkey", old.schema)
+    snap = capture.envelope_records(capture.snapshot_changes(old, "p_partkey"), spec.topic(),
+                                    "p_partkey", F.lit(1).cast("bigint"), partitions=4)
+    diff = capture.envelope_records(capture.diff_snapshots(old, new, "p_partkey"), spec.topic(),
+                                    "p_partkey", F.lit(2).cast("bigint"), partitions=4, wrapped=True)
+    log = envelope.normalise(snap.unionByName(diff), spec)
+    return state.current_state(log, spec).select(*spec.columns)
+
+
+def upsert_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 + L3: the batch holds an older and a newer version of keys; the newer wins
+    before the merge, so the result equals the plain upsert of the new snapshot."""
+    old, new = td.part_snapshots(spark, sf_dir)
+    batch = (new.withColumn("seq", F.lit(2))
+             .unionByName(old.withColumn("seq", F.lit(1))))
+    latest = load.dedupe_batch(batch, "p_partkey", ["seq"]).drop("seq")
+    spec = TableSpec("part", "p_partkey", old.schema, mutable=("p_retailprice", "p_size"))
+    return load.upsert(old, latest, spec)
+
+
 def newest_per_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 100 most recently updated pull requests of each repository (one listing page)."""
     li = td.table(spark, sf_dir, "lineitem").select(
@@ -368,6 +393,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_diff": snapshot_diff,
     "apply_diff": apply_diff,
     "newest_per_parent": newest_per_parent,
+    "diff_envelope_state": diff_envelope_state,
+    "upsert_deduplicated": upsert_deduplicated,
     "stream_current_state": stream_current_state,
     "stream_normalise": stream_normalise,
     "stream_archive": stream_archive,

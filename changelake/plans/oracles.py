@@ -382,6 +382,8 @@ ORACLES: dict[str, str] = {
     "snapshot_diff": SNAPSHOT_DIFF,
     "apply_diff": APPLY_DIFF,
     "newest_per_parent": NEWEST_PER_PARENT,
+    "diff_envelope_state": APPLY_DIFF,
+    "upsert_deduplicated": UPSERT,
     "stream_current_state": CURRENT_STATE,
     "stream_normalise": ENVELOPE_PARSE,
     "stream_archive": STREAM_ARCHIVE,

@@ -35,6 +35,34 @@ def test_incremental_state_equals_batch_over_micro_batches(spark):
     assert dead.count() == len(FAULTS)
 
 
+def test_broadcast_and_window_merges_agree(spark):
+    import random
+
+    rows = BASE + FAULTS + [rec(9, LATE, seconds=60)] + BASE
+    results = []
+    for limit in (0, 10**6):   # window path, broadcast-keys path
+        root = scratch_dir(spark, "merge", fresh=True)
+        st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4,
+                              max_broadcast_rows=limit)
+        shuffled = list(rows)
+        random.Random(7).shuffle(shuffled)
+        for i in range(0, len(shuffled), 3):
+            st.merge(envelope.normalise(records_df(spark, shuffled[i:i + 3]), REPOSITORIES), i)
+        results.append(sorted((r["repository_id"], r["operation"], r["stars"])
+                              for r in st.with_tombstones().collect()))
+    assert results[0] == results[1] == [(1, "d", None), (2, "u", 9)]
+
+
+def test_tombstones_purged_after_retention(spark):
+    root = scratch_dir(spark, "retention", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4,
+                          tombstone_retention_ms=10)
+    later = '{"op":"u","ts_ms":100,"after":{"repository_id":2,"stars":10}}'
+    st.merge(envelope.normalise(records_df(spark, BASE + [rec(9, later)]), REPOSITORIES), 0)
+    # the delete (ts 4) is older than newest (100) minus retention (10): purged
+    assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [2]
+
+
 def test_replayed_batch_is_idempotent(spark):
     root = scratch_dir(spark, "replay", fresh=True)
     st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
