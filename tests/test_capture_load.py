@@ -46,6 +46,12 @@ def test_newest_per_parent(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_newest_per_parent_two_stage_for_large_n(spark):
+    df = spark.createDataFrame([(p, i) for p in range(2) for i in range(3000)], "p int, i int")
+    top = capture.newest_per_parent(df, "p", [F.col("i").desc()], 1500, salts=8)
+    assert _rows(top) == sorted((p, i) for p in range(2) for i in range(1500, 3000))
+
+
 def test_upsert_paths_agree_and_respect_mutable_columns(spark):
     from changelake.sources.writers import materialize
 
