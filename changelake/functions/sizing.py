@@ -23,6 +23,18 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Measured bound: ``True`` iff ``df`` has at most ``max_rows`` rows.
+
+    Counts ``limit(max_rows + 1)``, so the check stops early on a large input and
+    returns a proof, not an estimate, for a small one.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` when its estimated size is at most ``max_bytes``, else ``df``."""
     size = estimated_size_bytes(df)

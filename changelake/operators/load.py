@@ -3,9 +3,9 @@
 * ``resolve_parent`` (L1, L2): natural key -> surrogate key with one left join; the
   accepted and the rejected rows are the two halves of that join.
 * ``upsert`` (L3-L6): insert new keys, refresh only the spec's mutable columns of
-  existing ones. When the batch's keys pass a size check, the target is never
+  existing ones. When a measured count proves the batch small, the target is never
   shuffled: untouched rows pass through an anti join against the broadcast keys and
-  only the matched rows are merged. Beyond the check it is one full outer join.
+  only the matched rows are merged. Beyond the bound it is one full outer join.
 * ``dedupe_batch`` (L8): the last of several rows for one key wins, by explicit order.
 * ``commit_version`` (L7): write a new version folder, then move a pointer.
 """
@@ -18,23 +18,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.sizing import DEFAULT_BROADCAST_BYTES, estimated_size_bytes
+from changelake.functions.sizing import DEFAULT_BROADCAST_ROWS, has_at_most
 from changelake.operators.state import latest_per_key
 from changelake.schemas import TableSpec
 
 
 def resolve_parent(batch: DataFrame, parents: DataFrame, name_col: str, parent_name: str,
-                   parent_key: str, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+                   parent_key: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
                    ) -> tuple[DataFrame, DataFrame]:
     """L1/L2: add ``parent_key`` to ``batch`` by matching ``name_col`` to ``parent_name``.
 
-    The lookup keeps one key per name (the largest), as a name -> id map does. Returns
-    ``(accepted, rejected)``; rejected rows keep their columns and lack the key.
+    The lookup keeps one key per name (the largest), as a name -> id map does. It is
+    broadcast only when a measured count proves it small; otherwise the planner joins by
+    shuffle (AQE splits a hot parent name). Returns ``(accepted, rejected)``; rejected
+    rows keep their columns and lack the key.
     """
     lookup = (parents.groupBy(parent_name).agg(F.max(parent_key).alias(parent_key))
               .withColumnRenamed(parent_name, "_parent_name"))
-    size = estimated_size_bytes(lookup)
-    if size is not None and size <= max_broadcast_bytes:
+    if has_at_most(lookup, max_broadcast_rows):
         lookup = F.broadcast(lookup)
     joined = batch.join(lookup, batch[name_col] == lookup["_parent_name"], "left").drop("_parent_name")
     accepted = joined.filter(F.col(parent_key).isNotNull())
@@ -64,7 +65,7 @@ def _merged_columns(spec: TableSpec, cols: Sequence[str], matched: Column) -> li
 
 
 def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec,
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE SET <mutable> = batch.<mutable>``.
 
     ``batch`` must be unique on the key (see ``dedupe_batch``).
@@ -76,8 +77,7 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec,
     matched = F.col("t._in").isNotNull() & F.col("b._in").isNotNull()
 
     keys = batch.select(key)
-    size = estimated_size_bytes(keys)
-    if size is None or size > max_broadcast_bytes:
+    if not has_at_most(keys, max_broadcast_rows):
         joined = t.join(b, F.col(f"t.{key}") == F.col(f"b.{key}"), "full_outer")
         return joined.select(*_merged_columns(spec, cols, matched))
 
@@ -91,19 +91,24 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec,
 
 
 def commit_version(df: DataFrame, table_root: str, version: int) -> str:
-    """Write ``df`` as ``v<version>`` and then point ``_current`` at it (all or nothing).
+    """Write ``df`` as ``v<version>``, then add a commit marker for it (all or nothing).
 
-    Readers open the folder named by ``_current``; a failed write leaves the pointer on
-    the previous complete version.
+    Markers are never rewritten: each version adds its own small marker folder after its
+    data is complete, and readers take the highest marker. A failure before the marker
+    leaves readers on the previous complete version; a replay rewrites the same folder.
     """
     path = os.path.join(table_root, f"v{version:010d}")
     df.write.mode("overwrite").parquet(path)
     spark = df.sparkSession
-    pointer = os.path.join(table_root, "_current")
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(pointer)
+    marker = os.path.join(table_root, "_commits", f"v{version:010d}")
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(marker)
     return path
 
 
 def read_current(spark, table_root: str) -> DataFrame:
-    pointer = spark.read.text(os.path.join(table_root, "_current")).first()[0]
-    return spark.read.parquet(pointer)
+    """The newest committed version (markers are zero-padded, so text order is version order)."""
+    markers = spark.read.option("recursiveFileLookup", "true").text(os.path.join(table_root, "_commits"))
+    latest = markers.agg(F.max("value")).first()[0]
+    if latest is None:
+        raise FileNotFoundError(f"no committed version under {table_root}")
+    return spark.read.parquet(latest)

@@ -53,15 +53,11 @@ def test_newest_per_parent_two_stage_for_large_n(spark):
 
 
 def test_upsert_paths_agree_and_respect_mutable_columns(spark):
-    from changelake.sources.writers import materialize
-
-    # From files, so the optimizer has a size estimate (in-memory frames have none and
-    # take the full outer join path: the size check fails closed).
-    target = materialize(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), "target")
-    batch = materialize(spark.createDataFrame([(2, "B", 20), (3, "C", 30)], SCHEMA), "batch")
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA)
+    batch = spark.createDataFrame([(2, "B", 20), (3, "C", 30)], SCHEMA)
     spec = TableSpec("t", "id", target.schema, mutable=("size",))
     small = load.upsert(target, batch, spec)
-    big = load.upsert(target, batch, spec, max_broadcast_bytes=0)   # full outer join path
+    big = load.upsert(target, batch, spec, max_broadcast_rows=1)   # full outer join path
     expected = [(1, "a", 1), (2, "b", 20), (3, "C", 30)]
     assert _rows(small) == expected and _rows(big) == expected
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
