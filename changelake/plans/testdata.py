@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.functions.envelope import encode_envelope
+from changelake.functions.sizing import estimated_size_bytes
 from changelake.functions.text import leading_int
 from changelake.schemas import COMMITS, ISSUES, PULL_REQUESTS, REPOSITORIES, TableSpec
 
@@ -45,16 +46,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bytes(text: str) -> int:
+    """A Spark size setting (``134217728b``, ``128m``, ``1g``) in bytes."""
+    t = str(text).strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    return int(t[:-1] if scale > 1 else t) * scale
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Spread source rows over partitions by key, as a keyed producer spreads a topic,
     but only when the scan itself yields fewer tasks than the cluster has cores (a test
     file with a single row group). A large input already arrives in many splits and is
     left alone: no shuffle of the source at scale.
     """
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+    spark = df.sparkSession
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = estimated_size_bytes(df)
+    if size is None or size >= spark.sparkContext.defaultParallelism * split:
         return df
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *[F.col(k) for k in keys])
 
 
