@@ -343,6 +343,31 @@ def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, "log", "repositories")).select(*REPO_LOG_COLUMNS)
 
 
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 on the stream: faulty records are set aside per micro-batch with their reason."""
+    landing = _land(spark, td.faulty_records(td.repository_change_records(spark, sf_dir)), "faulty")
+    root = scratch_dir(spark, "stream", fresh=True)
+    q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=3), [REPOSITORIES],
+                        os.path.join(root, "log"), os.path.join(root, "checkpoint"),
+                        available_now=True)
+    q.awaitTermination()
+    dead = spark.read.parquet(os.path.join(root, "log", "_dead_letters"))
+    return dead.groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def pipeline_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job sequence: stream (normalise four topics) -> state job -> final analytics."""
+    from changelake.plans import pipeline
+
+    landing = _land(spark, td.activity_records(spark, sf_dir), "activity")
+    root = scratch_dir(spark, "pipeline", fresh=True)
+    for q in pipeline.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=4), root,
+                                 incremental_state=False, archive=False, available_now=True):
+        q.awaitTermination()
+    pipeline.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
+    return pipeline.final_analytics(spark, root)
+
+
 ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bigint, key string, "
                   "event string, table_name string")
 
@@ -398,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "stream_current_state": stream_current_state,
     "stream_normalise": stream_normalise,
     "stream_archive": stream_archive,
+    "stream_dead_letters": stream_dead_letters,
+    "pipeline_repository_analytics": pipeline_repository_analytics,
 }
 
 # For the tests: COMMITS and ISSUES are the specs the activity stream exercises.

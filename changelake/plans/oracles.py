@@ -387,4 +387,6 @@ ORACLES: dict[str, str] = {
     "stream_current_state": CURRENT_STATE,
     "stream_normalise": ENVELOPE_PARSE,
     "stream_archive": STREAM_ARCHIVE,
+    "stream_dead_letters": DEAD_LETTERS,
+    "pipeline_repository_analytics": CDC_REPOSITORY_ANALYTICS,
 }
