@@ -7,7 +7,7 @@ Layers
 * ``sources``      readers and writers (Kafka or landing folder, Parquet, JSON)
 * ``operators``    DataFrame -> DataFrame operators (parse, state, load, analytics, quality)
 * ``streaming``    Structured Streaming jobs (normalise, archive, incremental state)
-* ``plans``        composed pipelines and the mapping of the test tables
+* ``plans``        composed job stages, registered queries and the mapping of the test tables
 """
 
 from changelake.schemas import TABLES, TableSpec  # noqa: F401

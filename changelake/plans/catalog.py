@@ -355,17 +355,17 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
-def pipeline_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job sequence: stream (normalise four topics) -> state job -> final analytics."""
-    from changelake.plans import pipeline
+    from changelake.plans import stages
 
     landing = _land(spark, td.activity_records(spark, sf_dir), "activity")
-    root = scratch_dir(spark, "pipeline", fresh=True)
-    for q in pipeline.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=4), root,
+    root = scratch_dir(spark, "stages", fresh=True)
+    for q in stages.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=4), root,
                                  incremental_state=False, archive=False, available_now=True):
         q.awaitTermination()
-    pipeline.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
-    return pipeline.final_analytics(spark, root)
+    stages.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
+    return stages.final_analytics(spark, root)
 
 
 ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bigint, key string, "
@@ -424,7 +424,7 @@ QUERIES: dict[str, Query] = {
     "stream_normalise": stream_normalise,
     "stream_archive": stream_archive,
     "stream_dead_letters": stream_dead_letters,
-    "pipeline_repository_analytics": pipeline_repository_analytics,
+    "staged_repository_analytics": staged_repository_analytics,
 }
 
 # For the tests: COMMITS and ISSUES are the specs the activity stream exercises.

@@ -388,5 +388,5 @@ ORACLES: dict[str, str] = {
     "stream_normalise": ENVELOPE_PARSE,
     "stream_archive": STREAM_ARCHIVE,
     "stream_dead_letters": DEAD_LETTERS,
-    "pipeline_repository_analytics": CDC_REPOSITORY_ANALYTICS,
+    "staged_repository_analytics": CDC_REPOSITORY_ANALYTICS,
 }

@@ -1,6 +1,6 @@
 """The reference's entry points as Spark jobs, runnable with spark-submit.
 
-    spark-submit -m changelake.plans.pipeline <job> [options]
+    spark-submit -m changelake.plans.stages <job> [options]
 
     stream   records (Kafka, or a landing folder) -> per-table logs, dead letters,
              incremental state and the raw archive              (S1, S2, C*, K1, K3, D6)
@@ -206,7 +206,7 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
 
 # --------------------------------------------------------------------------------- CLI
 def main(argv: Sequence[str] | None = None) -> None:
-    ap = argparse.ArgumentParser(prog="changelake.plans.pipeline")
+    ap = argparse.ArgumentParser(prog="changelake.plans.stages")
     ap.add_argument("job", choices=["stream", "state", "events", "final", "quality", "raw", "load"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--kafka", help="bootstrap servers; otherwise --landing is read")

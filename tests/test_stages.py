@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from changelake.plans import catalog, pipeline
+from changelake.plans import catalog, stages
 from changelake.plans import testdata as td
 from changelake.session import scratch_dir
 from changelake.sources.readers import landing_stream
@@ -21,12 +21,12 @@ def _rows(df):
 def test_stream_state_final_quality(spark):
     landing = scratch_dir(spark, "landing", fresh=True)
     td.activity_records(spark, SMOKE).write.parquet(landing)
-    root = scratch_dir(spark, "pipeline", fresh=True)
-    for q in pipeline.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=3), root,
+    root = scratch_dir(spark, "stages", fresh=True)
+    for q in stages.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=3), root,
                                  available_now=True, state_buckets=8):
         q.awaitTermination()
-    pipeline.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
-    final = pipeline.final_analytics(spark, root)
+    stages.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
+    final = stages.final_analytics(spark, root)
     assert _rows(final) == _rows(catalog.cdc_repository_analytics(spark, SMOKE))
 
     # incremental state kept by the stream equals the batch state
@@ -34,11 +34,11 @@ def test_stream_state_final_quality(spark):
     batch = spark.read.parquet(os.path.join(root, "state", "issues"))
     assert _rows(live.select("issue_id", "state")) == _rows(batch.select("issue_id", "state"))
 
-    paths = pipeline.event_analytics_job(spark, root)
+    paths = stages.event_analytics_job(spark, root)
     stats = spark.read.parquet(paths["cdc_statistics"])
     assert _rows(stats) == _rows(catalog.cdc_statistics(spark, SMOKE))
 
-    report = pipeline.quality_job(spark, root, catalog._expectations(spark, SMOKE))
+    report = stages.quality_job(spark, root, catalog._expectations(spark, SMOKE))
     assert report.count() == 15 and report.filter("NOT passed").count() == 0
 
     archived = spark.read.json(os.path.join(root, "archive"))
@@ -64,8 +64,8 @@ def test_raw_then_load(spark):
     put("issues/o_b.json", [{"id": 7, "number": 1, "state": "open", "created_at": "2024-01-01",
                              "updated_at": "2024-01-01"},
                             {"id": 8, "number": 2, "pull_request": None}])
-    pipeline.raw_job(spark, root)
-    rejects = pipeline.load_job(spark, root, version=1)
+    stages.raw_job(spark, root)
+    rejects = stages.load_job(spark, root, version=1)
     assert _rows(rejects["commits"].select("commit_sha")) == [("s2",)]
     from changelake.operators.load import read_current
 
@@ -77,7 +77,7 @@ def test_raw_then_load(spark):
     # second load: a repository's stars change (mutable), its name does not (immutable)
     put("repositories/a.json", {"id": 1, "name": "renamed", "full_name": "o/a", "stargazers_count": 9,
                                 "updated_at": "2024-02-01T00:00:00Z"})
-    pipeline.raw_job(spark, root)
-    pipeline.load_job(spark, root, version=2)
+    stages.raw_job(spark, root)
+    stages.load_job(spark, root, version=2)
     repos = read_current(spark, os.path.join(root, "tables", "repositories"))
     assert _rows(repos.select("repository_id", "name", "stars")) == [(1, "a", 9), (2, "b", 2)]
