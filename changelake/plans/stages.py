@@ -33,7 +33,7 @@ from changelake.schemas import (
 from changelake.session import build_session, scratch_dir
 from changelake.sources import readers
 from changelake.sources.writers import write_parquet
-from changelake.streaming.jobs import start_archive, start_normalise
+from changelake.streaming.jobs import start_normalise
 from changelake.streaming.state_stream import IncrementalState
 
 
@@ -46,18 +46,16 @@ def stream_job(spark: SparkSession, records: DataFrame, root: str,
                specs: Sequence[TableSpec] = tuple(TABLES.values()), incremental_state: bool = True,
                archive: bool = True, available_now: bool = False,
                processing_time: str = "5 seconds", state_buckets: int = 256) -> list[StreamingQuery]:
-    """Normalise (and optionally archive) one record stream; returns the started queries."""
+    """Normalise, archive and fold into state with one streaming query (each record is
+    read once); returns the started queries."""
     chk = scratch_dir(spark, "streams", os.path.basename(root.rstrip("/")) or "root")
     states = None
     if incremental_state:
         states = {s.name: IncrementalState(spark, s, _p(root, "live_state", s.name), state_buckets)
                   for s in specs}
-    queries = [start_normalise(records, specs, _p(root, "log"), _p(chk, "normalise"), states,
-                               processing_time, available_now)]
-    if archive:
-        queries.append(start_archive(records, _p(root, "archive"), _p(chk, "archive"),
-                                     processing_time, available_now))
-    return queries
+    return [start_normalise(records, specs, _p(root, "log"), _p(chk, "normalise"), states,
+                            processing_time, available_now,
+                            archive_root=_p(root, "archive") if archive else None)]
 
 
 # -------------------------------------------------------------------------------- batch
