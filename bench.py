@@ -52,11 +52,15 @@ def main() -> None:
                           **{"spark__sql__shuffle__partitions": str(max(8, int(cpus) * 2)),
                              "spark__driver__memory": "16g"})
     run(catalog.QUERIES["top_repositories"](spark, sf_dir))  # warm-up (JIT, file listing)
-    cold, times = {}, {}
+    cold, times, errors = {}, {}, {}
     for name in names:
         for target in (cold, times):
             t0 = time.perf_counter()
-            run(catalog.QUERIES[name](spark, sf_dir))
+            try:
+                run(catalog.QUERIES[name](spark, sf_dir))
+            except Exception as exc:  # keep the JSON line; report the failure
+                errors[name] = repr(exc)[:300]
+                break
             target[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
@@ -67,6 +71,7 @@ def main() -> None:
         "cold_total": round(sum(cold.values()), 3),
         "cold_queries": cold,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        **({"errors": errors} if errors else {}),
     }))
 
 

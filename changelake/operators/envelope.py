@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.envelope import change_key, envelope_fields, parse_wire, table_from_topic
-from changelake.schemas import META_COLUMNS, OPERATIONS, TableSpec
+from changelake.schemas import OPERATIONS, TableSpec
 
 # Reasons a change record is set aside.
 REJECT_TOMBSTONE = "tombstone"
@@ -113,6 +113,3 @@ def dead_letter_counts(records: DataFrame, specs: Iterable[TableSpec]) -> DataFr
         union = union.unionByName(p)
     return union.groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
-
-def meta_columns() -> tuple[str, ...]:
-    return META_COLUMNS

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from changelake.operators import analytics, capture, entity, envelope, load, quality, state
 from changelake.operators import transform
 from changelake.plans import testdata as td
-from changelake.schemas import COMMITS, ISSUES, PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
+from changelake.schemas import PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
 from changelake.session import scratch_dir
 from changelake.sources.readers import landing_stream
 from changelake.sources.writers import materialize
@@ -426,6 +426,3 @@ QUERIES: dict[str, Query] = {
     "stream_dead_letters": stream_dead_letters,
     "staged_repository_analytics": staged_repository_analytics,
 }
-
-# For the tests: COMMITS and ISSUES are the specs the activity stream exercises.
-SPECS_USED = (REPOSITORIES, COMMITS, ISSUES, PULL_REQUESTS)

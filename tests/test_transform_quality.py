@@ -93,3 +93,12 @@ def test_report_and_verdict(spark):
     assert v["checks"] == 7 and v["failed"] == 1 and v["all_passed"] is False
     failed = rep.filter(~F.col("passed")).first()
     assert (failed["table_name"], failed["check_name"]) == ("b", "orphan_keys")
+
+
+def test_time_text_in_any_encoding(spark):
+    from changelake.functions.text import to_timestamp_any
+
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("1704164645000",), ("1704164645000000",),
+                                ("not a time",), (None,)], "t string")
+    got = [r[0] for r in df.select(F.unix_millis(to_timestamp_any("t"))).collect()]
+    assert got == [1704164645000, 1704164645000, 1704164645000, None, None]
