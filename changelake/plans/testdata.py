@@ -54,7 +54,8 @@ def _bytes(text: str) -> int:
 
 
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread source rows over partitions by key, as a keyed producer spreads a topic,
+    """Spread source rows over partitions by a unique column (no hot partition even when
+    one entity owns a third of the rows), as a producer spreads a topic,
     but only when the scan itself yields fewer tasks than the cluster has cores (a test
     file with a single row group). A large input already arrives in many splits and is
     left alone: no shuffle of the source at scale.
@@ -232,7 +233,7 @@ def repository_image_from_event(user_id: Column, event_type: Column, value: Colu
 
 def repository_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped change records of ``repositories``, one per event."""
-    e = by_key(table(spark, sf_dir, "events"), "user_id").select(
+    e = by_key(table(spark, sf_dir, "events"), "event_id").select(
         "event_id", "user_id", "event_type", "value", epoch_millis("ts").alias("ts_ms"),
         _event_k().alias("k"))
     op = event_operation(F.col("event_type"))
