@@ -26,7 +26,8 @@ def _row(table: str, check: str, column: str | None, observed, expected) -> list
 
 
 def _with_passed(df: DataFrame) -> DataFrame:
-    return df.withColumn("passed", F.col("observed") == F.col("expected"))
+    """NULL-safe: a check with no expectation (or no observation) fails, never passes silently."""
+    return df.withColumn("passed", F.col("observed").eqNullSafe(F.col("expected")))
 
 
 def table_profile(df: DataFrame, key: str, table: str) -> DataFrame:

@@ -102,3 +102,10 @@ def test_time_text_in_any_encoding(spark):
                                 ("not a time",), (None,)], "t string")
     got = [r[0] for r in df.select(F.unix_millis(to_timestamp_any("t"))).collect()]
     assert got == [1704164645000, 1704164645000, 1704164645000, None, None]
+
+
+def test_row_count_without_expectation_fails(spark):
+    a = spark.createDataFrame([(1,)], "k bigint")
+    exp = spark.createDataFrame([("other", 1)], "table string, expected bigint")
+    rows = {r["table_name"]: r["passed"] for r in quality.row_count_check({"a": a}, exp).collect()}
+    assert rows == {"a": False, "other": False}
