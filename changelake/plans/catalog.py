@@ -18,7 +18,7 @@ from changelake.plans import testdata as td
 from changelake.schemas import PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
 from changelake.session import scratch_dir
 from changelake.sources.readers import landing_stream
-from changelake.sources.writers import materialize
+from changelake.sources.writers import materialize_all
 from changelake.streaming.jobs import start_archive, start_normalise
 from changelake.streaming.state_stream import IncrementalState
 
@@ -176,7 +176,7 @@ def _expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     # State is written once and every check reads the files (as the reference's checks
     # read the written state), instead of re-deriving it per check.
-    s = {n: materialize(df, f"state_{n}") for n, df in _activity_state(spark, sf_dir).items()}
+    s = materialize_all(_activity_state(spark, sf_dir), "state_")
     tables = {n: (s[n], TABLES[n].key) for n in TABLES}
     return quality.quality_report(
         tables, _expectations(spark, sf_dir), parent=("repositories", "repository_id"),

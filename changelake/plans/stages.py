@@ -32,7 +32,7 @@ from changelake.schemas import (
 )
 from changelake.session import build_session, scratch_dir
 from changelake.sources import readers
-from changelake.sources.writers import write_parquet
+from changelake.sources.writers import write_all, write_parquet
 from changelake.streaming.jobs import start_normalise
 from changelake.streaming.state_stream import IncrementalState
 
@@ -66,15 +66,14 @@ def read_log(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
 
 def state_job(spark: SparkSession, root: str, specs: Sequence[TableSpec] = tuple(TABLES.values()),
               orders: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
-    """Current state of every table from its whole log, written as Parquet."""
-    out = {}
+    """Current state of every table from its whole log, written as Parquet (the tables'
+    jobs are independent and run concurrently)."""
+    frames = {}
     for spec in specs:
         order = (orders or {}).get(spec.name, EVENT_ORDER)
-        cur = state.current_state(read_log(spark, root, spec), spec, order)
-        path = _p(root, "state", spec.name)
-        write_parquet(cur, path)
-        out[spec.name] = path
-    return out
+        frames[_p(root, "state", spec.name)] = state.current_state(read_log(spark, root, spec), spec, order)
+    write_all(frames)
+    return {spec.name: _p(root, "state", spec.name) for spec in specs}
 
 
 def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -106,11 +105,9 @@ def event_analytics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def event_analytics_job(spark: SparkSession, root: str) -> dict[str, str]:
-    out = {}
-    for name, df in event_analytics(spark, root).items():
-        write_parquet(df, _p(root, "analytics", name))
-        out[name] = _p(root, "analytics", name)
-    return out
+    frames = event_analytics(spark, root)
+    write_all({_p(root, "analytics", n): df for n, df in frames.items()})
+    return {n: _p(root, "analytics", n) for n in frames}
 
 
 def final_analytics(spark: SparkSession, root: str) -> DataFrame:
