@@ -369,7 +369,7 @@ def staged_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bigint, key string, "
-                  "event string, table_name string")
+                  "event string, table_name string, received_date date")
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
