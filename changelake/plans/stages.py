@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changelake.operators import analytics, entity, load, quality, state, transform
 from changelake.schemas import (
-    EVENT_ORDER, EXPECTATIONS_SCHEMA, FLAT_TABLES, TABLES, UPSERT_SPECS, TableSpec,
+    EVENT_ORDER, EXPECTATIONS_SCHEMA, TABLES, UPSERT_SPECS, TableSpec,
 )
 from changelake.session import build_session, scratch_dir
 from changelake.sources import readers
@@ -241,7 +241,5 @@ def main(argv: Sequence[str] | None = None) -> None:
         load_job(spark, a.root, a.version)
 
 
-__all__ = [n for n in dir() if n.endswith("_job")] + ["read_log", "read_state", "FLAT_TABLES"]
-
 if __name__ == "__main__":
     main()
