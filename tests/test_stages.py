@@ -44,6 +44,10 @@ def test_stream_state_final_quality(spark):
     archived = spark.read.json(os.path.join(root, "archive"))
     assert archived.count() == spark.read.parquet(landing).count()
 
+    # the command-line entry writes the report and stops on a failed check
+    stages.main(["quality", "--root", root])
+    assert spark.read.parquet(os.path.join(root, "quality")).count() == 11
+
 
 def test_raw_then_load(spark):
     root = scratch_dir(spark, "rawload", fresh=True)
