@@ -96,3 +96,20 @@ def test_all_queries_match_oracle_at_smoke_scale(spark):
         if r.get("match") is False:
             bad.append(r)
     assert not bad, bad
+
+
+def test_processing_time_trigger(spark):
+    """The production trigger (a fixed interval) on the same fan-out."""
+    landing = scratch_dir(spark, "landing", fresh=True)
+    records_df(spark, BASE + FAULTS).repartition(2).write.parquet(landing)
+    root = scratch_dir(spark, "interval", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    q = start_normalise(landing_stream(spark, landing), [REPOSITORIES], os.path.join(root, "log"),
+                        os.path.join(root, "chk"), states={"repositories": st},
+                        processing_time="1 second", archive_root=os.path.join(root, "archive"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert {r["repository_id"]: r["stars"] for r in st.current().collect()} == {2: 9}
+    assert spark.read.json(os.path.join(root, "archive")).count() == len(BASE + FAULTS)
