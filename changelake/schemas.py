@@ -6,7 +6,7 @@ vanish and integers or timestamps would change type after a round trip.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import (
     ArrayType,
@@ -76,7 +76,6 @@ class TableSpec:
     row_schema: StructType
     mutable: tuple[str, ...] | None = None
     parent_key: str | None = None
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def columns(self) -> list[str]:
