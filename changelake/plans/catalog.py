@@ -74,9 +74,9 @@ def current_state_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ four-topic stream
-def _activity_parsed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    recs = td.activity_records(spark, sf_dir)
-    return {name: envelope.parse_changes(recs, spec) for name, spec in TABLES.items()}
+def _activity_parsed(spark: SparkSession, sf_dir: str, names=tuple(TABLES)) -> dict[str, DataFrame]:
+    recs = td.activity_records(spark, sf_dir, names)
+    return {name: envelope.parse_changes(recs, TABLES[name]) for name in names}
 
 
 def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +92,8 @@ def cdc_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.change_statistics(_activity_parsed(spark, sf_dir))
 
 
-def _activity_logs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: envelope.accepted(p) for n, p in _activity_parsed(spark, sf_dir).items()}
+def _activity_logs(spark: SparkSession, sf_dir: str, names=tuple(TABLES)) -> dict[str, DataFrame]:
+    return {n: envelope.accepted(p) for n, p in _activity_parsed(spark, sf_dir, names).items()}
 
 
 def _activity_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -106,15 +106,16 @@ def _activity_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def commit_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.commit_activity(_activity_logs(spark, sf_dir)["commits"])
+    return analytics.commit_activity(_activity_logs(spark, sf_dir, ("commits",))["commits"])
 
 
 def event_issue_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.issue_analytics(_activity_logs(spark, sf_dir)["issues"])
+    return analytics.issue_analytics(_activity_logs(spark, sf_dir, ("issues",))["issues"])
 
 
 def pull_request_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.pull_request_analytics(_activity_logs(spark, sf_dir)["pull_requests"])
+    return analytics.pull_request_analytics(
+        _activity_logs(spark, sf_dir, ("pull_requests",))["pull_requests"])
 
 
 def event_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,17 +285,36 @@ def faulty_records(recs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # Four-topic activity stream
 # ---------------------------------------------------------------------------------------
-def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped records of all four tables on their own topics."""
-    # repositories: one snapshot read per customer
+def activity_records(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
+    """Kafka-shaped records of the four tables (or of ``tables``) on their own topics."""
+    wanted = set(tables or ("repositories", "commits", "issues", "pull_requests"))
+    parts = []
+    if "repositories" in wanted:
+        parts.append(_repository_snapshot_records(spark, sf_dir))
+    if "commits" in wanted:
+        parts.append(_commit_records(spark, sf_dir))
+    if "issues" in wanted:
+        parts.append(_issue_records(spark, sf_dir))
+    if "pull_requests" in wanted:
+        parts.append(_pull_request_records(spark, sf_dir))
+    out = parts[0]
+    for part_df in parts[1:]:
+        out = out.unionByName(part_df)
+    return out
+
+
+def _repository_snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repositories: one snapshot read per customer."""
     repo = by_key(repositories(spark, sf_dir), "repository_id")
-    repo_recs = repo.select(*records(
+    return repo.select(*records(
         REPOSITORIES, F.lit("r"), F.lit(SNAPSHOT_MS).cast("bigint"), F.lit(None),
         row_struct(REPOSITORIES, {c: F.col(c) for c in REPOSITORIES.columns}),
         partition=F.col("repository_id") % 4, offset=F.col("repository_id"),
         key=F.col("repository_id")))
 
-    # commits: created once per event
+
+def _commit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits: created once per event."""
     ev = by_key(table(spark, sf_dir, "events"), "event_id").select("event_id", "user_id", "event_type", "ts",
                                                epoch_millis("ts").alias("ts_ms"))
     commit_img = row_struct(COMMITS, {
@@ -311,7 +330,11 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition=F.col("user_id") % 4, offset=F.col("event_id"),
         key=F.concat(F.lit("e"), F.col("event_id").cast("string")), wrapped=True))
 
-    # issues: created open, then closed (F) or deleted (P) a day later
+    return commit_recs
+
+
+def _issue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues: created open, then closed (F) or deleted (P) a day later."""
     o = by_key(table(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         epoch_millis("o_orderdate").alias("ts_ms"))
@@ -342,7 +365,11 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             part, F.col("o_orderkey") * 4 + 2, F.col("o_orderkey"), tombstone=F.lit(True))),
     ])
 
-    # pull requests: created open, closed a day later when the line status is F
+    return issue_recs
+
+
+def _pull_request_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pull requests: created open, closed a day later when the line status is F."""
     li = by_key(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     li = li.select("*", epoch_millis("l_shipdate").alias("ts_ms"))
     img = _pr_images(li)
@@ -358,10 +385,7 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_orderkey") * 16 + F.col("l_linenumber") * 2 + 1, pr_key, wrapped=True)),
     ])
 
-    out = repo_recs
-    for part_df in (commit_recs, issue_recs, pr_recs):
-        out = out.unionByName(part_df)
-    return out
+    return pr_recs
 
 
 # Pull-request ids repeat in ``lineitem`` with equal event coordinates; state for them
