@@ -30,7 +30,7 @@ from changelake.operators import analytics, entity, load, quality, state, transf
 from changelake.schemas import (
     EVENT_ORDER, EXPECTATIONS_SCHEMA, TABLES, UPSERT_SPECS, TableSpec,
 )
-from changelake.session import build_session, scratch_dir
+from changelake.session import build_session, cluster_conf, scratch_dir
 from changelake.sources import readers
 from changelake.sources.writers import write_all, write_parquet
 from changelake.streaming.jobs import start_normalise
@@ -210,8 +210,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--expectations", help="CSV with table,expected")
     ap.add_argument("--version", type=int, default=1)
+    ap.add_argument("--input-bytes", type=int, help="size of the largest input; sizes shuffles")
+    ap.add_argument("--cores", type=int, help="total executor cores of the cluster")
     a = ap.parse_args(argv)
-    spark = build_session(app=f"changelake-{a.job}")
+    conf = cluster_conf(a.input_bytes, a.cores) if a.input_bytes and a.cores else None
+    spark = build_session(app=f"changelake-{a.job}", conf=conf)
     if a.job == "stream":
         if a.kafka:
             records = readers.kafka_stream(spark, a.kafka, a.topics.split(","))

@@ -58,12 +58,15 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
     }
 
 
-def build_session(master: str | None = None, app: str = "changelake", **conf: str) -> SparkSession:
+def build_session(master: str | None = None, app: str = "changelake",
+                  conf: dict[str, str] | None = None, **overrides: str) -> SparkSession:
+    """A session with ``DEFAULT_CONF`` (or ``conf``, e.g. from ``cluster_conf``), plus
+    keyword overrides written with ``__`` for dots (``spark__sql__shuffle__partitions``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
-    settings.update({k.replace("__", "."): v for k, v in conf.items()})
+    settings = dict(conf if conf is not None else DEFAULT_CONF)
+    settings.update({k.replace("__", "."): v for k, v in overrides.items()})
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
