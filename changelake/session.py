@@ -30,16 +30,21 @@ DEFAULT_CONF = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
 def cluster_conf(input_bytes: int, executor_cores_total: int,
-                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                 input_bytes_per_partition: int = 1 << 30) -> dict[str, str]:
     """Settings sized for a large cluster run over ``input_bytes`` of input.
 
-    The initial shuffle width is chosen so that each shuffle partition holds about
-    ``target_partition_bytes`` of the largest input (at least 2 per core); AQE then
-    coalesces small partitions and splits skewed ones at run time, so the number only
-    needs to be right to within a factor of a few.
+    The initial shuffle width gives each shuffle partition about 1 GiB of *input*: our
+    shuffles carry far less than the input (projection, partial aggregation and the
+    map-side group limit run first), so this lands near the 128 MB advisory size. It is
+    at least two partitions per core and at most 200,000 (map-output tracking grows with
+    mappers x reducers). AQE then coalesces small partitions and splits skewed ones.
     """
-    parts = max(2 * executor_cores_total, input_bytes // target_partition_bytes)
+    parts = min(MAX_SHUFFLE_PARTITIONS,
+                max(2 * executor_cores_total, input_bytes // input_bytes_per_partition))
     return {
         **DEFAULT_CONF,
         "spark.sql.shuffle.partitions": str(parts),
