@@ -63,6 +63,16 @@ def test_tombstones_purged_after_retention(spark):
     assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [2]
 
 
+def test_purge_sweep_drops_old_tombstones_only(spark):
+    root = scratch_dir(spark, "sweep", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    st.merge(envelope.normalise(records_df(spark, BASE), REPOSITORIES), 0)
+    st.purge_tombstones(older_than_ms=4)      # the delete has ts 4: kept
+    assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [1, 2]
+    st.purge_tombstones(older_than_ms=5)      # now older: purged, repository 2 untouched
+    assert [(r["repository_id"], r["stars"]) for r in st.with_tombstones().collect()] == [(2, 9)]
+
+
 def test_replayed_batch_is_idempotent(spark):
     root = scratch_dir(spark, "replay", fresh=True)
     st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
