@@ -111,9 +111,15 @@ def records(spec: TableSpec, op: Column, ts_ms: Column, before: Column, after: C
 
 
 def emit(df: DataFrame, outputs: list[tuple[Column, list[Column]]]) -> DataFrame:
-    """Zero or more records per source row, from one scan: ``(condition, record columns)``."""
-    recs = F.array(*[F.when(cond, F.struct(*cols)) for cond, cols in outputs])
-    return df.select(F.inline(F.filter(recs, lambda r: r.isNotNull())))
+    """Zero or more records per source row, from one scan: ``(condition, record columns)``.
+
+    All outputs share one topic. It stays a plain literal column outside the generated
+    struct, so a route filter on the topic still folds to a constant and prunes this
+    branch instead of generating and discarding its records.
+    """
+    topic = outputs[0][1][0]            # records() puts the topic literal first
+    recs = F.array(*[F.when(cond, F.struct(*cols[1:])) for cond, cols in outputs])
+    return df.select(topic, F.inline(F.filter(recs, lambda r: r.isNotNull())))
 
 
 # ---------------------------------------------------------------------------------------
