@@ -253,39 +253,52 @@ def repository_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         wrapped=(F.col("event_id") % 2 == 1)))
 
 
+def _variants(recs: DataFrame, variants: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """One pass: each record emits the variants whose condition holds, each variant the
+    record with some fields replaced. The topic stays outside the generator (foldable)."""
+    fields = ("partition", "offset", "timestamp", "key", "value")
+    arr = F.array(*[F.when(cond, F.struct(*[over.get(f, F.col(f)).alias(f) for f in fields]))
+                    for cond, over in variants])
+    return recs.select("topic", F.inline(F.filter(arr, lambda r: r.isNotNull())))
+
+
 def late_and_repeated(recs: DataFrame) -> DataFrame:
     """The same log delivered twice, plus a stale update after every delete.
 
     The stale update carries an event time 1 ms before its delete but a later offset,
     so it arrives later and must still lose. Current state must not change.
     """
-    stale = (recs.filter(F.get_json_object("value", "$.op") == "d")
-             .select("topic", "partition", (F.col("offset") + F.lit(1 << 40)).alias("offset"),
-                     "timestamp", "key",
-                     F.concat(F.lit('{"op":"u","ts_ms":'),
-                              (F.get_json_object("value", "$.ts_ms").cast("bigint") - 1).cast("string"),
-                              F.lit(',"before":null,"after":{"repository_id":'),
-                              F.get_json_object("key", "$.repository_id"),
-                              F.lit(',"stars":-1}}')).alias("value")))
-    return recs.unionByName(recs).unionByName(stale)
+    is_delete = F.get_json_object("value", "$.op") == "d"
+    stale = F.concat(F.lit('{"op":"u","ts_ms":'),
+                     (F.get_json_object("value", "$.ts_ms").cast("bigint") - 1).cast("string"),
+                     F.lit(',"before":null,"after":{"repository_id":'),
+                     F.get_json_object("key", "$.repository_id"),
+                     F.lit(',"stars":-1}}'))
+    return _variants(recs, [
+        (F.lit(True), {}),
+        (F.lit(True), {}),
+        (F.coalesce(is_delete, F.lit(False)),
+         {"offset": F.col("offset") + F.lit(1 << 40), "value": stale}),
+    ])
 
 
 def faulty_records(recs: DataFrame) -> DataFrame:
     """The log plus faults derived from it: a tombstone after each delete, truncated text
     (k = 13), a non-numeric key (k = 17) and a missing operation (k = 19)."""
     # ``stars`` of the after image equals the event's k (see repository_image_from_event).
-    stars =F.coalesce(F.get_json_object("value", "$.after.stars"),
-                       F.get_json_object("value", "$.payload.after.stars")).cast("int")
-    deletes = F.coalesce(F.get_json_object("value", "$.op"), F.get_json_object("value", "$.payload.op")) == "d"
-    base = recs.select("*", stars.alias("_k"), deletes.alias("_del"))
-    cols = ["topic", "partition", "offset", "timestamp", "key"]
-    tomb = base.filter("_del").select(*cols, F.lit(None).cast("string").alias("value"))
-    trunc = base.filter(F.col("_k") == 13).select(*cols, F.substring("value", 1, 20).alias("value"))
-    badkey = base.filter(F.col("_k") == 17).select(
-        *cols, F.regexp_replace("value", r'"repository_id":(\d+)', '"repository_id":"x$1"').alias("value"))
-    noop = base.filter(F.col("_k") == 19).select(
-        *cols, F.regexp_replace("value", r'"op":"[a-z]"', '"op":null').alias("value"))
-    return recs.unionByName(tomb).unionByName(trunc).unionByName(badkey).unionByName(noop)
+    k = F.coalesce(F.get_json_object("value", "$.after.stars"),
+                   F.get_json_object("value", "$.payload.after.stars")).cast("int")
+    is_delete = F.coalesce(F.get_json_object("value", "$.op"),
+                           F.get_json_object("value", "$.payload.op")) == "d"
+    return _variants(recs, [
+        (F.lit(True), {}),
+        (F.coalesce(is_delete, F.lit(False)), {"value": F.lit(None).cast("string")}),
+        (F.coalesce(k == 13, F.lit(False)), {"value": F.substring("value", 1, 20)}),
+        (F.coalesce(k == 17, F.lit(False)),
+         {"value": F.regexp_replace("value", r'"repository_id":(\d+)', '"repository_id":"x$1"')}),
+        (F.coalesce(k == 19, F.lit(False)),
+         {"value": F.regexp_replace("value", r'"op":"[a-z]"', '"op":null')}),
+    ])
 
 
 # ---------------------------------------------------------------------------------------
