@@ -60,11 +60,6 @@ def envelope_fields(doc: Column) -> Column:
     )
 
 
-def parse_envelope(value: Column | str, row_schema: StructType) -> Column:
-    """One expression: parse and resolve the envelope (for single-use projections)."""
-    return envelope_fields(parse_wire(value, row_schema))
-
-
 def change_key(env: Column, key: str) -> Column:
     """Key of a change: from ``after``, else from ``before`` (deletes carry only ``before``)."""
     return F.coalesce(env["after"][key], env["before"][key])
