@@ -105,6 +105,13 @@ def commit_version(df: DataFrame, table_root: str, version: int) -> str:
     return path
 
 
+def has_version(spark, table_root: str) -> bool:
+    """Whether any version of the table has been committed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(os.path.join(table_root, "_commits"))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_current(spark, table_root: str) -> DataFrame:
     """The newest committed version (markers are zero-padded, so text order is version order)."""
     markers = spark.read.option("recursiveFileLookup", "true").text(os.path.join(table_root, "_commits"))

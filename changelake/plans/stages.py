@@ -168,10 +168,9 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
     tables = _p(root, "tables")
 
     def current(name: str, like: DataFrame) -> DataFrame:
-        try:
+        if load.has_version(spark, _p(tables, name)):
             return load.read_current(spark, _p(tables, name))
-        except Exception:  # first load: empty target with the batch's columns
-            return spark.createDataFrame([], like.schema)
+        return spark.createDataFrame([], like.schema)   # first load: empty target
 
     repos = readers.parquet(spark, _p(root, "flat", "repositories"))
     repos = load.dedupe_batch(repos, "repository_id", ["updated_at"])
