@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from changelake.functions.sizing import DEFAULT_BROADCAST_ROWS, has_at_most
 from changelake.operators.state import latest_per_key
 from changelake.schemas import TableSpec
+from changelake.sources import fs
 
 
 def resolve_parent(batch: DataFrame, parents: DataFrame, name_col: str, parent_name: str,
@@ -107,9 +108,7 @@ def commit_version(df: DataFrame, table_root: str, version: int) -> str:
 
 def has_version(spark, table_root: str) -> bool:
     """Whether any version of the table has been committed."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(os.path.join(table_root, "_commits"))
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return fs.exists(spark, os.path.join(table_root, "_commits"))
 
 
 def read_current(spark, table_root: str) -> DataFrame:
