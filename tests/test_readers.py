@@ -33,3 +33,14 @@ def test_flat_records_read_arrays_with_schema(spark):
     df = readers.flat_records(spark, root, FLAT_COMMITS.row_schema)
     assert sorted(r["commit_sha"] for r in df.collect()) == ["a", "b"]
     assert df.columns == FLAT_COMMITS.columns
+
+
+def test_preview_is_a_top_k(spark):
+    from pyspark.sql import functions as F
+
+    from changelake.sources.writers import preview
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("stars"), F.col("id"))
+    top = preview(df, [F.col("stars").desc(), "id"], 5)
+    assert [r["stars"] for r in top.collect()] == [999, 998, 997, 996, 995]
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
