@@ -63,3 +63,35 @@ def test_upsert_twice_equals_once(spark, target, batch):
     expected = sorted({**target, **batch}.items())
     assert sorted(tuple(r) for r in once.collect()) == expected
     assert sorted(tuple(r) for r in twice.collect()) == expected
+
+
+STREAM_SETTINGS = settings(max_examples=3, deadline=None,
+                           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+
+
+@STREAM_SETTINGS
+@given(events=st.lists(event, min_size=1, max_size=15), perm=st.randoms(use_true_random=False))
+def test_streamed_state_equals_batch_state(spark, events, perm):
+    import os
+
+    from changelake.session import scratch_dir
+    from changelake.sources.readers import landing_stream
+    from changelake.streaming.jobs import start_normalise
+    from changelake.streaming.state_stream import IncrementalState
+
+    rows = [rec(i, _value(*e)) for i, e in enumerate(events)]
+    delivered = list(rows) + list(rows)
+    perm.shuffle(delivered)
+    landing = scratch_dir(spark, "prop-landing", fresh=True)
+    thirds = [delivered[i::3] for i in range(3)]
+    for part in thirds:          # one file per third, appended into one folder
+        if part:
+            records_df(spark, part).coalesce(1).write.mode("append").parquet(landing)
+    root = scratch_dir(spark, "prop-stream", fresh=True)
+    stt = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=2)
+    q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=1), [REPOSITORIES],
+                        os.path.join(root, "log"), os.path.join(root, "chk"),
+                        states={"repositories": stt}, available_now=True)
+    q.awaitTermination()
+    streamed = sorted((r["repository_id"], r["stars"]) for r in stt.current().collect())
+    assert streamed == _state(spark, rows)
