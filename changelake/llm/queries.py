@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from changelake.llm import substring_dedup, suffix_dedup
+from changelake.llm import bpe, decontaminate, license_scan, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op4_suffix_dedup": suffix_dedup.query,
+    "op5_bpe": bpe.query,
+    "op6_decontaminate": decontaminate.query,
+    "op7_license_scan": license_scan.query,
     "op9_substring_dedup": substring_dedup.query,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": decontaminate.ORACLE_SQL,
+}

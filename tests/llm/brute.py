@@ -43,3 +43,31 @@ def substring_dedup(rows, window=50):
                 gone[p:p + window] = [True] * window
         out.append((d, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
     return out
+
+
+LOWERED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower_az(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def license_scan(rows, templates, phrases, containment=0.8, block=128):
+    out = []
+    for d, t in rows:
+        words = LOWERED.findall(lower_az(t))
+        places = [(k, p) for k in phrases for n in [k.split()] for p in range(len(words)) if words[p:p + len(n)] == n]
+        base = {phrases[k] for k, _ in places}
+        labels, score = set(base), float(bool(places))
+        for p in range(0, max(len(words), 1), block // 2):
+            part = set(words[p:p + block])
+            for label, text in templates.items():
+                need = set(LOWERED.findall(lower_az(text)))
+                share = len(part & need) / len(need)
+                if share >= containment - 1e-12:
+                    labels.add(label)
+                    score = max(score, share)
+        at = [p for _, p in places]
+        out.append((d, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
+                    ",".join(sorted(labels)), score))
+    return out
