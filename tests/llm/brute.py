@@ -71,3 +71,18 @@ def license_scan(rows, templates, phrases, containment=0.8, block=128):
         out.append((d, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
                     ",".join(sorted(labels)), score))
     return out
+
+
+def quality(rows):
+    out = []
+    for d, t in rows:
+        t = t or ""
+        words = WORD.findall(t)
+        grams = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+        seen = Counter(grams)
+        inside = {i + k for i, g in enumerate(grams) if seen[g] > 1 for k in range(5)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        n, r = len(words), len(inside)
+        out.append((d, n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), r,
+                    n < 10 or 100 * r > 20 * n))
+    return out
