@@ -33,6 +33,7 @@ BUCKETS = 1 << 16
 PENALTY = 12.0
 #: A language uses a script if this share of its words is written in it.
 SCRIPT_SHARE = 0.01
+ROWS_AT_ONCE = 4096
 UND = "und"
 SCRIPTS = ("latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "kana", "han", "hangul", "other")
 _LETTER = regex.compile(r"\p{L}")
@@ -128,60 +129,67 @@ def fit(training: DataFrame) -> Model:
 
 
 def _detect(model: Model, penalty: float, with_spans: bool):
-    k = len(model.langs)
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = K.texts_of(batch.column(1))
-            scores, sizes, known, offsets = [], [], [], [np.zeros(1, np.int64)]
-            for i, j in K.slices(starts):
-                begin, end, script, own, bucket = _words(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
-                offsets.append(own[1:] + offsets[-1][-1])
-                # sums of every language over the bytes of each word
-                edges = np.stack([begin, end], axis=1).ravel()
-                sums = np.empty((len(begin), k), np.float32)
-                for c in range(k):
-                    run = np.concatenate([[0.0], np.cumsum(model.log[bucket, c], dtype=np.float64)])
-                    sums[:, c] = run[edges[1::2]] - run[edges[::2]]
-                admitted = model.uses[script]
-                sums[~admitted] = -1e4
-                sums[~admitted.any(axis=1)] = 0
-                scores.append(sums)
-                sizes.append(end - begin)
-                known.append(admitted.any(axis=1))
-            offsets = np.concatenate(offsets)
-            score = np.concatenate(scores) if scores else np.zeros((0, k), np.float32)
-            size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-            seen = np.concatenate(known) if known else np.zeros(0, bool)
-            label = best_path(score, offsets, penalty) if k else np.zeros(len(size), np.uint8)
-            owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            weight = np.bincount(owner[seen] * max(k, 1) + label[seen], weights=size[seen],
-                                 minlength=(len(offsets) - 1) * max(k, 1)).reshape(-1, max(k, 1))
-            total = np.add.reduceat(np.concatenate([score, np.zeros((1, k), np.float32)]).astype(np.float64),
-                                    np.minimum(offsets[:-1], len(score)), axis=0) if k and len(offsets) > 1 else np.zeros((len(offsets) - 1, k))
-            total[np.diff(offsets) == 0] = 0
-            names, values, spans = [], [], []
-            for d, text in enumerate(batch.column(1).to_pylist()):
-                if not k or not text or not _LETTER.search(text):
-                    names.append(UND), values.append(0.0), spans.append([])
-                    continue
-                mine = weight[d]
-                best = int(mine.argmax()) if mine.sum() else model.common
-                posterior = 1 / np.exp(np.clip(total[d] - total[d, best], -700, 700)).sum()
-                names.append(model.langs[best])
-                values.append(float(mine[best] / mine.sum() * min(1.0, posterior)) if mine.sum() else 0.0)
-                if with_spans:
-                    labels = label[offsets[d]:offsets[d + 1]]
-                    cut = np.flatnonzero(np.concatenate([[True], np.diff(labels) != 0, [True]])) if len(labels) else []
-                    spans.append([{"start": int(a), "end": int(b), "lang": model.langs[labels[a]]} for a, b in zip(cut, cut[1:])])
-            cols = [batch.column(0), pa.array(names, pa.string()), pa.array(values, pa.float64())]
-            if with_spans:
-                cols.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
-            yield pa.RecordBatch.from_arrays(cols, names=["key", "lang_pred", "score", "spans"][:len(cols)])
+            for row in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield _detect_rows(model, penalty, with_spans, batch.slice(row, ROWS_AT_ONCE))
 
     return task
 
 
+def _detect_rows(model: Model, penalty: float, with_spans: bool, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(first column, lang_pred, score, spans) of a batch (any first column, text)."""
+    k = len(model.langs)
+    data, starts = K.texts_of(batch.column(1))
+    scores, sizes, known, offsets = [], [], [], [np.zeros(1, np.int64)]
+    for i, j in K.slices(starts):
+        begin, end, script, own, bucket = _words(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
+        offsets.append(own[1:] + offsets[-1][-1])
+        sums = np.empty((len(begin), k), np.float32)  # of every language over the bytes of each word
+        for c in range(k):
+            run = np.concatenate([[0.0], np.cumsum(model.log[bucket, c], dtype=np.float64)])
+            sums[:, c] = run[end] - run[begin]
+        admitted = model.uses[script]
+        sums[~admitted] = -1e4
+        sums[~admitted.any(axis=1)] = 0
+        scores.append(sums)
+        sizes.append(end - begin)
+        known.append(admitted.any(axis=1))
+    offsets = np.concatenate(offsets)
+    n = len(offsets) - 1
+    score = np.concatenate(scores) if scores else np.zeros((0, k), np.float32)
+    size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+    seen = np.concatenate(known) if known else np.zeros(0, bool)
+    label = best_path(score, offsets, penalty) if k else np.zeros(len(size), np.uint8)
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    weight = np.zeros((n, k))
+    total = np.zeros((n, k))
+    for c in range(k):
+        total[:, c] = np.bincount(owner, weights=score[:, c], minlength=n)
+        mine = seen & (label == c)
+        weight[:, c] = np.bincount(owner[mine], weights=size[mine], minlength=n)
+    names, values, spans = [], [], []
+    for d, text in enumerate(batch.column(1).to_pylist()):
+        if not k or not text or not _LETTER.search(text):
+            names.append(UND)
+            values.append(0.0)
+            spans.append([])
+            continue
+        mine = weight[d]
+        best = int(mine.argmax()) if mine.sum() else model.common
+        posterior = 1 / np.exp(np.clip(total[d] - total[d, best], -700, 700)).sum()
+        names.append(model.langs[best])
+        values.append(float(mine[best] / mine.sum() * min(1.0, posterior)) if mine.sum() else 0.0)
+        if with_spans:
+            labels = label[offsets[d]:offsets[d + 1]]
+            cut = np.flatnonzero(np.concatenate([[True], np.diff(labels) != 0, [True]])) if len(labels) else []
+            spans.append([{"start": int(x), "end": int(y), "lang": model.langs[labels[x]]} for x, y in zip(cut, cut[1:])])
+    cols = [batch.column(0), pa.array(names, pa.string()), pa.array(values, pa.float64())]
+    if with_spans:
+        cols.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
+    return pa.RecordBatch.from_arrays(cols, names=["key", "lang_pred", "score", "spans"][:len(cols)])
+
+
 def detect(docs: DataFrame, model: Model, key: Column, text_col: str = "text", penalty: float = PENALTY,
            with_spans: bool = True) -> DataFrame:
     """key, lang_pred, score and spans (in words) of every row."""
@@ -191,6 +199,14 @@ def detect(docs: DataFrame, model: Model, key: Column, text_col: str = "text", p
             .mapInArrow(_detect(model, penalty, with_spans), schema))
 
 
+def with_language(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = PENALTY) -> DataFrame:
+    """``docs`` in a column ``row``, with lang_pred and score."""
+    kind = docs.select(F.struct("*").alias("key")).schema["key"].dataType.simpleString()
+    return (docs.select(F.struct("*").alias("key"), F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(_detect(model, penalty, False), f"key {kind}, lang_pred string, score double")
+            .withColumnRenamed("key", "row"))
+
+
 def fold(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 

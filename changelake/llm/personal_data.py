@@ -199,5 +199,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_t
             .mapInArrow(_scan(with_text), schema + (", redacted string" if with_text else "")))
 
 
+def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [None if t is None else redact(t, find_all(t)[1]) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "redacted"])
+
+
+def with_redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` in a column ``row``, and the redacted text."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(_redact, f"row {rows.schema['row'].dataType.simpleString()}, redacted string")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"), with_text=False)

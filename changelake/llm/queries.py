@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from changelake.llm import bpe, decontaminate, license_scan, substring_dedup, suffix_dedup
+from changelake.llm import (
+    bpe,
+    decontaminate,
+    language_id,
+    license_scan,
+    minhash_dedup,
+    personal_data,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.query,
+    "op2_toxicity": toxicity.query,
+    "op3_personal_data": personal_data.query,
     "op4_suffix_dedup": suffix_dedup.query,
     "op5_bpe": bpe.query,
     "op6_decontaminate": decontaminate.query,
     "op7_license_scan": license_scan.query,
+    "op8_language_id": language_id.query,
     "op9_substring_dedup": substring_dedup.query,
+    "op10_minhash_dedup": minhash_dedup.query,
 }
 
-#: DuckDB SQL for the queries that SQL can express.
+#: DuckDB SQL for the queries that SQL can express; the others are tested by brute force.
 ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op6_decontaminate": decontaminate.ORACLE_SQL,
 }

@@ -86,3 +86,27 @@ def quality(rows):
         out.append((d, n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), r,
                     n < 10 or 100 * r > 20 * n))
     return out
+
+
+def near_dedup(rows, shingle=2, similarity=80):
+    sets = []
+    for d, t in rows:
+        w = WORD.findall(lower_az(t))
+        sets.append({tuple(w[i:i + shingle]) for i in range(len(w) - shingle + 1)} if len(w) >= shingle else ({tuple(w)} if w else set()))
+    parent = {d: d for d, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    holders = defaultdict(list)
+    for k, s in enumerate(sets):
+        shared = Counter(o for g in s for o in holders[g])
+        for o, n in shared.items():
+            if 100 * n >= similarity * (len(s) + len(sets[o]) - n):
+                a, b = root(rows[k][0]), root(rows[o][0])
+                parent[max(a, b)] = min(a, b)
+        for g in s:
+            holders[g].append(k)
+    return [(d, len(s), root(d), root(d) == d) for (d, _), s in zip(rows, sets)]
