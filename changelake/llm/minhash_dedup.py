@@ -212,7 +212,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     stars = stored(keys.join(buckets, "h").where("rep != v").select(F.col("rep").alias("u"), "v").distinct(), "minhash-stars")
     cluster = components(stars, "minhash-clusters").withColumnRenamed("comp", "cluster")
     ids = cluster.select(F.col("node").alias("doc"))
-    sets = stored(texts.join(ids, "doc").mapInArrow(_sets(shingle), "doc long, shingles binary")
+    # a merge join at every size: the ids grow with the corpus, and a broadcast of them would not
+    sets = stored(texts.join(ids.hint("merge"), "doc").mapInArrow(_sets(shingle), "doc long, shingles binary")
                   .groupBy("doc").agg(F.first("shingles").alias("shingles")), "minhash-sets")
     side = lambda c, s: sets.select(F.col("doc").alias(c), F.col("shingles").alias(s))
     links = stored(stars.join(side("u", "x"), "u").join(side("v", "y"), "v").mapInArrow(_verify(similarity), "u long, v long"), "minhash-links")
