@@ -1,0 +1,74 @@
+"""Registered queries on the small tables: oracles, held-out accuracy, whole tables, pipeline."""
+
+import duckdb
+import pytest
+
+from tests.llm import brute
+import corpus_pipeline
+from changelake.llm import language_id, minhash_dedup, personal_data
+from changelake.llm.queries import ORACLES, QUERIES
+
+DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables():
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracles(spark, tables, name):
+    got = QUERIES[name](spark, DIR)
+    want = tables.execute(ORACLES[name])
+    names = [c[0] for c in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
+
+
+def test_language_held_out(spark, tables):
+    truth = dict(tables.execute("SELECT doc_id, lang FROM documents").fetchall())
+    rows = [r for r in QUERIES["op8_language_id"](spark, DIR).collect()]
+    assert len(rows) == len(truth)
+    held = [r for r in rows if r.held_out]
+    assert sum(truth[r.doc_id] == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_toxicity_returns_every_row(spark, tables):
+    rows = QUERIES["op2_toxicity"](spark, DIR).collect()
+    assert len(rows) == tables.execute("SELECT count(*) FROM documents").fetchone()[0]
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+
+
+def test_pipeline_stages(spark, frame, awkward):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    stage = dict(corpus_pipeline.STAGES)
+    assert stage["language id"](spark, docs, DIR).count() == len(rows)
+    kept = stage["near duplicates"](spark, docs, DIR)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {d for d, _, _, k in brute.near_dedup(rows, 5) if k}
+    private = stage["personal data"](spark, docs, DIR)
+    assert private.columns == docs.columns
+    assert {r.doc_id: r.text for r in private.collect()} == {d: personal_data.redact(t, personal_data.find_all(t)[1]) for d, t in rows}
+    odd = frame(awkward)
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        out = f(spark, odd, DIR)
+        assert out.columns == odd.columns and out.count() <= len(awkward)
+        assert f(spark, frame([]), DIR).count() == 0
+    assert {r.doc_id for r in stage["near duplicates"](spark, odd, DIR).collect() if r.doc_id} >= {1, 4, 5, 6, 7, 8, 9, 10, 11, 12}
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
+    got = {r.node: r.comp for r in minhash_dedup.components(edges, "chain").collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_folds_follow_crc32(spark):
+    import zlib
+
+    rows = spark.range(0, 200).select("id", language_id.fold("id", 3).alias("f")).collect()
+    assert all(r.f == zlib.crc32(str(r.id).encode()) % 3 for r in rows)
