@@ -3,7 +3,7 @@
 Layers
 ------
 * ``schemas``      explicit row schemas and ``TableSpec`` for every table
-* ``functions``    column-level helpers (envelope parsing, ordering, sizing)
+* ``functions``    column-level helpers (envelope parsing, ordering)
 * ``sources``      readers and writers (Kafka or landing folder, Parquet, JSON)
 * ``operators``    DataFrame -> DataFrame operators (parse, state, load, analytics, quality)
 * ``streaming``    Structured Streaming jobs (normalise, archive, incremental state)

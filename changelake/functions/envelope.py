@@ -71,11 +71,6 @@ def table_from_topic(topic: Column | str) -> Column:
     return F.substring_index(t, ".", -1)
 
 
-def topic_for(table: Column | str, server: str = "cdc", schema: str = "public") -> Column:
-    t = F.col(table) if isinstance(table, str) else table
-    return F.concat_ws(".", F.lit(server), F.lit(schema), t)
-
-
 def encode_envelope(op: Column, ts_ms: Column, before: Column, after: Column,
                     wrapped: Column | bool = False) -> Column:
     """JSON text of an envelope; nulls are written (``after: null`` for a delete).

@@ -26,20 +26,26 @@ REJECT_TOMBSTONE = "tombstone"
 REJECT_MALFORMED = "malformed"
 REJECT_NO_OPERATION = "no_operation"
 REJECT_NO_KEY = "no_key"
+REJECT_UNKNOWN_TOPIC = "unknown_topic"
+UNKNOWN_TABLE = "_unknown"
 
 REJECT_COLUMNS = ("table_name", "operation", "topic", "partition", "offset", "kafka_timestamp",
                   "key", "value", "reject_reason")
 
 
 def route(records: DataFrame, spec: TableSpec) -> DataFrame:
-    """The records whose topic names ``spec``'s table (its last dotted part).
+    """The records of ``spec``'s topic, by its whole name (a pushed-down filter)."""
+    return records.filter(F.col("topic") == F.lit(spec.topic()))
 
-    Written as ``topic = name OR topic LIKE '%.name'`` rather than by splitting the
-    topic: the same test, but one the Parquet scan of a landing folder accepts as a
-    pushed filter, so row groups of other topics can be skipped.
-    """
-    t = F.col("topic")
-    return records.filter((t == F.lit(spec.name)) | t.endswith(f".{spec.name}"))
+
+def unrouted(records: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
+    """Dead letters of records whose topic belongs to none of ``specs``."""
+    claimed = F.coalesce(F.col("topic").isin([s.topic() for s in specs]), F.lit(False))
+    null = F.lit(None).cast("string")
+    rows = records.filter(~claimed).withColumnRenamed("timestamp", "kafka_timestamp").select(
+        "*", F.lit(UNKNOWN_TABLE).alias("table_name"), null.alias("operation"),
+        F.lit(REJECT_UNKNOWN_TOPIC).alias("reject_reason"))
+    return rows.select(*REJECT_COLUMNS)
 
 
 def _reason(env: Column, value: Column, key: Column) -> Column:
@@ -105,11 +111,6 @@ def normalise(records: DataFrame, spec: TableSpec, routed: bool = False) -> Data
     return accepted(parse_changes(records, spec, routed=routed))
 
 
-def normalise_all(records: DataFrame, specs: Iterable[TableSpec]) -> dict[str, DataFrame]:
-    """Fan-out of one record stream to one typed change log per table."""
-    return {s.name: normalise(records, s) for s in specs}
-
-
 def dead_letter_counts(records: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
     """``table_name, reject_reason, records`` over every table's topic."""
     parts = [rejected(parse_changes(records, s, keep_raw=True)).select("table_name", "reject_reason")

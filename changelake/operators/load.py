@@ -3,41 +3,35 @@
 * ``resolve_parent`` (L1, L2): natural key -> surrogate key with one left join; the
   accepted and the rejected rows are the two halves of that join.
 * ``upsert`` (L3-L6): insert new keys, refresh only the spec's mutable columns of
-  existing ones. When a measured count proves the batch small, the target is never
-  shuffled: untouched rows pass through an anti join against the broadcast keys and
-  only the matched rows are merged. Beyond the bound it is one full outer join.
+  existing ones.
 * ``dedupe_batch`` (L8): the last of several rows for one key wins, by explicit order.
-* ``commit_version`` (L7): write a new version folder, then move a pointer.
+* ``commit_version`` (L7): write a new version folder, then add a commit marker.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.sizing import DEFAULT_BROADCAST_ROWS, has_at_most
 from changelake.operators.state import latest_per_key
 from changelake.schemas import TableSpec
 from changelake.sources import fs
 
 
 def resolve_parent(batch: DataFrame, parents: DataFrame, name_col: str, parent_name: str,
-                   parent_key: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-                   ) -> tuple[DataFrame, DataFrame]:
+                   parent_key: str) -> tuple[DataFrame, DataFrame]:
     """L1/L2: add ``parent_key`` to ``batch`` by matching ``name_col`` to ``parent_name``.
 
-    The lookup keeps one key per name (the largest), as a name -> id map does. It is
-    broadcast only when a measured count proves it small; otherwise the planner joins by
-    shuffle (AQE splits a hot parent name). Returns ``(accepted, rejected)``; rejected
-    rows keep their columns and lack the key.
+    The lookup keeps one key per name (the largest), as a name -> id map does. Spark picks
+    the join by measured bytes; AQE splits a hot parent name. Returns ``(accepted,
+    rejected)``; rejected rows keep their columns and lack the key.
     """
     lookup = (parents.groupBy(parent_name).agg(F.max(parent_key).alias(parent_key))
               .withColumnRenamed(parent_name, "_parent_name"))
-    if has_at_most(lookup, max_broadcast_rows):
-        lookup = F.broadcast(lookup)
     joined = batch.join(lookup, batch[name_col] == lookup["_parent_name"], "left").drop("_parent_name")
     accepted = joined.filter(F.col(parent_key).isNotNull())
     rejected = joined.filter(F.col(parent_key).isNull()).drop(parent_key)
@@ -45,76 +39,70 @@ def resolve_parent(batch: DataFrame, parents: DataFrame, name_col: str, parent_n
 
 
 def dedupe_batch(batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key, the last by ``order`` (newest first wins)."""
-    return latest_per_key(batch, key, order)
-
-
-def _merged_columns(spec: TableSpec, cols: Sequence[str], matched: Column) -> list[Column]:
-    mutable = set(spec.mutable_columns())
-    out = []
-    for c in cols:
-        if c == spec.key:
-            out.append(F.coalesce(F.col(f"b.{c}"), F.col(f"t.{c}")).alias(c))
-        elif c in mutable:
-            out.append(F.when(F.col("b._in").isNotNull(), F.col(f"b.{c}"))
-                       .otherwise(F.col(f"t.{c}")).alias(c))
-        else:
-            out.append(F.when(matched, F.col(f"t.{c}"))
-                       .when(F.col("b._in").isNotNull(), F.col(f"b.{c}"))
-                       .otherwise(F.col(f"t.{c}")).alias(c))
-    return out
-
-
-def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """One row per key, the last by ``order`` (newest first wins); rows without a key
+    have no place in a table and are left to the caller's rejects."""
+    return latest_per_key(batch.filter(F.col(key).isNotNull()), key, order)
+
+
+def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE SET <mutable> = batch.<mutable>``.
 
-    ``batch`` must be unique on the key (see ``dedupe_batch``).
+    ``batch`` must be unique on the key (see ``dedupe_batch``); its rows without a key are
+    ignored. One plan at every size: existing rows are merged by a left join with the batch
+    (which Spark broadcasts if it measures small, so the target need not move), and rows of
+    new keys follow from an anti join against the target's keys.
     """
-    cols = target.columns
-    key = spec.key
-    t = target.select(*cols, F.lit(True).alias("_in")).alias("t")
-    b = batch.select(*cols, F.lit(True).alias("_in")).alias("b")
-    matched = F.col("t._in").isNotNull() & F.col("b._in").isNotNull()
-
-    keys = batch.select(key)
-    if not has_at_most(keys, max_broadcast_rows):
-        joined = t.join(b, F.col(f"t.{key}") == F.col(f"b.{key}"), "full_outer")
-        return joined.select(*_merged_columns(spec, cols, matched))
-
-    # Batch keys are small: the target is filtered against broadcast keys, never shuffled.
-    bkeys = F.broadcast(keys.distinct().alias("k"))
-    untouched = target.join(bkeys, key, "left_anti")
-    hit = target.join(bkeys, key, "left_semi").select(*cols, F.lit(True).alias("_in")).alias("t")
-    merged = b.join(hit, F.col(f"t.{key}") == F.col(f"b.{key}"), "left") \
-              .select(*_merged_columns(spec, cols, matched))
-    return untouched.select(*cols).unionByName(merged)
+    cols, key = target.columns, spec.key
+    mutable = set(spec.mutable_columns()) - {key}
+    batch = batch.filter(F.col(key).isNotNull())
+    fresh = batch.select(F.col(key).alias("_key"), F.lit(True).alias("_in"),
+                         *[F.col(c).alias(f"_new_{c}") for c in cols if c in mutable])
+    merged = target.join(fresh, target[key] == fresh["_key"], "left").select(*[
+        (F.when(F.col("_in"), F.col(f"_new_{c}")).otherwise(target[c]) if c in mutable else target[c]).alias(c)
+        for c in cols])
+    return merged.unionByName(batch.join(target.select(key), key, "left_anti").select(*cols))
+
+
+def _newest_commit(spark, table_root: str):
+    """(seq, version, path) of the newest complete commit marker, or None."""
+    folder = os.path.join(table_root, "_commits")
+    if not fs.exists(spark, folder):
+        return None
+    markers = spark.read.schema("value string").option("recursiveFileLookup", "true").text(folder)
+    part = F.split("value", "\t")
+    newest = markers.select(part[0].cast("long").alias("seq"), part[1].cast("long").alias("version"), part[2].alias("path")) \
+        .agg(F.max(F.struct("seq", "version", "path")).alias("m")).first()
+    return newest["m"]
 
 
 def commit_version(df: DataFrame, table_root: str, version: int) -> str:
-    """Write ``df`` as ``v<version>``, then add a commit marker for it (all or nothing).
+    """Write ``df`` to a folder of its own, then add a commit marker (all or nothing).
 
-    Markers are never rewritten: each version adds its own small marker folder after its
-    data is complete, and readers take the highest marker. A failure before the marker
-    leaves readers on the previous complete version; a replay rewrites the same folder.
+    Neither folders nor markers are ever rewritten, so ``df`` may read the table it
+    replaces, a version may be committed again (a repeated load), and a failure at any
+    point leaves readers on the previous complete commit. A version below the newest one
+    is refused.
     """
-    path = os.path.join(table_root, f"v{version:010d}")
-    df.write.mode("overwrite").parquet(path)
     spark = df.sparkSession
-    marker = os.path.join(table_root, "_commits", f"v{version:010d}")
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(marker)
+    newest = _newest_commit(spark, table_root)
+    if newest is not None and version < newest["version"]:
+        raise ValueError(f"version {version} is below the committed version {newest['version']} of {table_root}")
+    seq = 1 if newest is None else newest["seq"] + 1
+    path = os.path.join(table_root, f"v{version:010d}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    marker = os.path.join(table_root, "_commits", f"{seq:010d}-{uuid.uuid4().hex[:12]}")
+    spark.createDataFrame([(f"{seq}\t{version}\t{path}",)], "value string").coalesce(1).write.text(marker)
     return path
 
 
 def has_version(spark, table_root: str) -> bool:
     """Whether any version of the table has been committed."""
-    return fs.exists(spark, os.path.join(table_root, "_commits"))
+    return _newest_commit(spark, table_root) is not None
 
 
 def read_current(spark, table_root: str) -> DataFrame:
-    """The newest committed version (markers are zero-padded, so text order is version order)."""
-    markers = spark.read.option("recursiveFileLookup", "true").text(os.path.join(table_root, "_commits"))
-    latest = markers.agg(F.max("value")).first()[0]
-    if latest is None:
+    """The newest committed version."""
+    newest = _newest_commit(spark, table_root)
+    if newest is None:
         raise FileNotFoundError(f"no committed version under {table_root}")
-    return spark.read.parquet(latest)
+    return spark.read.parquet(newest["path"])

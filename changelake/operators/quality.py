@@ -60,18 +60,6 @@ def row_count_check(tables: Mapping[str, DataFrame], expectations: DataFrame) ->
     return _with_passed(out).select(*CHECK_COLUMNS)
 
 
-def duplicate_key_check(df: DataFrame, key: str, table: str) -> DataFrame:
-    """Q2: number of key values with more than one row; passes at 0."""
-    p = table_profile(df, key, table)
-    return _with_passed(p.select(*_row(table, "duplicate_keys", key, F.col("duplicate_keys"), F.lit(0))))
-
-
-def null_key_check(df: DataFrame, key: str, table: str) -> DataFrame:
-    """Q3: rows with a NULL key; passes at 0."""
-    n = df.agg(F.count_if(F.col(key).isNull()).alias("n"))
-    return _with_passed(n.select(*_row(table, "null_keys", key, F.col("n"), F.lit(0))))
-
-
 def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
     """Distinct child foreign keys with no parent row; a NULL key never matches, so it counts."""
     pk = pk or fk

@@ -48,8 +48,3 @@ def current_state(changes: DataFrame, spec: TableSpec,
                   order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """Keys whose newest event is not a delete. The delete filter stays above the window."""
     return state_with_tombstones(changes, spec, order).filter(F.col("operation") != OP_DELETE)
-
-
-def state_rows(state: DataFrame, spec: TableSpec) -> DataFrame:
-    """Only the table's own columns."""
-    return state.select(*spec.columns)

@@ -299,6 +299,18 @@ def upsert_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.upsert(old, latest, spec)
 
 
+def load_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load a table, repeat the same version, then load a change; each commit reads the
+    table it replaces."""
+    old, new = td.part_snapshots(spark, sf_dir)
+    spec = TableSpec("part", "p_partkey", old.schema, mutable=("p_retailprice", "p_size"))
+    root = scratch_dir(spark, "versions", fresh=True)
+    load.commit_version(load.upsert(spark.createDataFrame([], old.schema), old, spec), root, 1)
+    load.commit_version(load.upsert(load.read_current(spark, root), old, spec), root, 1)
+    load.commit_version(load.upsert(load.read_current(spark, root), new, spec), root, 2)
+    return load.read_current(spark, root).select(*old.columns)
+
+
 def newest_per_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 100 most recently updated pull requests of each repository (one listing page)."""
     li = td.table(spark, sf_dir, "lineitem").select(
@@ -312,21 +324,27 @@ def newest_per_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ streaming
-def _land(spark: SparkSession, recs: DataFrame, name: str, files: int = 8) -> str:
-    """Write records to a fresh landing folder in several files (one micro-batch reads two)."""
+def _land(spark: SparkSession, recs: DataFrame, name: str) -> str:
+    """Write records to a fresh landing folder, two files for each core."""
     path = scratch_dir(spark, "landing", name, fresh=True)
-    recs.repartition(files).write.parquet(path)
+    recs.repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
     return path
 
 
+def _landed(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
+    """The records as a stream that a handful of micro-batches reads, each by half of the cores."""
+    return landing_stream(spark, _land(spark, recs, name),
+                          max_files_per_trigger=max(1, spark.sparkContext.defaultParallelism // 2))
+
+
 def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repository log, each record twice plus stale updates, in shuffled
     micro-batches, folded into bucketed state; must equal the batch current state."""
     recs = td.late_and_repeated(td.repository_change_records(spark, sf_dir))
-    landing = _land(spark, recs, "repositories")
+    stream = _landed(spark, recs, "repositories")
     root = scratch_dir(spark, "stream", fresh=True)
     st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=16)
-    q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=2), [REPOSITORIES],
+    q = start_normalise(stream, [REPOSITORIES],
                         os.path.join(root, "log"), os.path.join(root, "checkpoint"),
                         states={"repositories": st}, available_now=True)
     q.awaitTermination()
@@ -335,9 +353,9 @@ def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the per-table log written by the streaming fan-out equals the batch parse."""
-    landing = _land(spark, td.repository_change_records(spark, sf_dir), "repositories")
+    stream = _landed(spark, td.repository_change_records(spark, sf_dir), "repositories")
     root = scratch_dir(spark, "stream", fresh=True)
-    q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=3), TABLES.values(),
+    q = start_normalise(stream, TABLES.values(),
                         os.path.join(root, "log"), os.path.join(root, "checkpoint"),
                         available_now=True)
     q.awaitTermination()
@@ -346,9 +364,9 @@ def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C7 on the stream: faulty records are set aside per micro-batch with their reason."""
-    landing = _land(spark, td.faulty_records(td.repository_change_records(spark, sf_dir)), "faulty")
+    stream = _landed(spark, td.faulty_records(td.repository_change_records(spark, sf_dir)), "faulty")
     root = scratch_dir(spark, "stream", fresh=True)
-    q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=3), [REPOSITORIES],
+    q = start_normalise(stream, [REPOSITORIES],
                         os.path.join(root, "log"), os.path.join(root, "checkpoint"),
                         available_now=True)
     q.awaitTermination()
@@ -360,9 +378,9 @@ def staged_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job sequence: stream (normalise four topics) -> state job -> final analytics."""
     from changelake.plans import stages
 
-    landing = _land(spark, td.activity_records(spark, sf_dir), "activity")
+    stream = _landed(spark, td.activity_records(spark, sf_dir), "activity")
     root = scratch_dir(spark, "stages", fresh=True)
-    for q in stages.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=4), root,
+    for q in stages.stream_job(spark, stream, root,
                                  incremental_state=False, archive=False, available_now=True):
         q.awaitTermination()
     stages.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
@@ -375,10 +393,10 @@ ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bi
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: every record of the four topics archived once, tombstones included."""
-    landing = _land(spark, td.activity_records(spark, sf_dir), "activity")
+    stream = _landed(spark, td.activity_records(spark, sf_dir), "activity")
     root = scratch_dir(spark, "archive", fresh=True)
     out = os.path.join(root, "out")
-    q = start_archive(landing_stream(spark, landing, max_files_per_trigger=4), out,
+    q = start_archive(stream, out,
                       os.path.join(root, "checkpoint"), available_now=True)
     q.awaitTermination()
     return (spark.read.schema(ARCHIVE_SCHEMA).json(out)
@@ -416,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "resolve_rejects": resolve_rejects,
     "upsert": upsert,
     "upsert_all_mutable": upsert_all_mutable,
+    "load_versions": load_versions,
     "snapshot_diff": snapshot_diff,
     "apply_diff": apply_diff,
     "newest_per_parent": newest_per_parent,

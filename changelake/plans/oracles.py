@@ -379,6 +379,7 @@ ORACLES: dict[str, str] = {
     "resolve_rejects": RESOLVE_REJECTS,
     "upsert": UPSERT,
     "upsert_all_mutable": UPSERT_ALL_MUTABLE,
+    "load_versions": UPSERT,
     "snapshot_diff": SNAPSHOT_DIFF,
     "apply_diff": APPLY_DIFF,
     "newest_per_parent": NEWEST_PER_PARENT,

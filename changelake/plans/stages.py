@@ -12,8 +12,8 @@
     load     flat records -> versioned tables by keyed upsert   (S9, L1-L8)
 
 Folders (``--root``): ``log/<table>``, ``state/<table>``, ``analytics/<name>``,
-``analytics_final``, ``archive``, ``flat/<table>``, ``tables/<table>``. Streaming
-checkpoints live under the session's ``spark.checkpoint.dir``.
+``analytics_final``, ``archive``, ``flat/<table>``, ``tables/<table>``, ``rejects/<stage>/<table>``
+and ``_checkpoints`` (of the stream).
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from changelake.operators import analytics, entity, load, quality, state, transf
 from changelake.schemas import (
     EVENT_ORDER, EXPECTATIONS_SCHEMA, TABLES, UPSERT_SPECS, TableSpec,
 )
-from changelake.session import build_session, cluster_conf, scratch_dir
-from changelake.sources import readers
+from changelake.session import build_session, cluster_conf
+from changelake.sources import fs, readers
 from changelake.sources.writers import write_all, write_parquet
 from changelake.streaming.jobs import start_normalise
 from changelake.streaming.state_stream import IncrementalState
@@ -48,7 +48,7 @@ def stream_job(spark: SparkSession, records: DataFrame, root: str,
                processing_time: str = "5 seconds", state_buckets: int = 256) -> list[StreamingQuery]:
     """Normalise, archive and fold into state with one streaming query (each record is
     read once); returns the started queries."""
-    chk = scratch_dir(spark, "streams", os.path.basename(root.rstrip("/")) or "root")
+    chk = _p(root, "_checkpoints")  # under the root itself: no two roots share one
     states = None
     if incremental_state:
         states = {s.name: IncrementalState(spark, s, _p(root, "live_state", s.name), state_buckets)
@@ -82,7 +82,7 @@ def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame | None:
     path = _p(root, "log", "_dead_letters")
-    return readers.parquet(spark, path) if os.path.exists(path) else None
+    return readers.parquet(spark, path) if fs.exists(spark, path) else None
 
 
 def event_analytics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -145,25 +145,44 @@ RAW_TRANSFORMS = {
 
 def raw_job(spark: SparkSession, root: str) -> dict[str, str]:
     """``raw/repositories`` (one object per file) and ``raw/<child>`` (one array per
-    parent, file named ``owner_name.json``) -> ``flat/<table>``, children partitioned by
-    parent name."""
+    parent, file named ``owner_name.json``) -> ``flat/<table>``.
+
+    A child carries its parent's real ``owner/name``, found in the repository list by the
+    file's name (a name that fits none stays as it is, for the load to reject). Pages that do
+    not parse, rows without a key, and children whose file name fits several repositories go
+    to ``rejects/raw/<table>`` with a reason.
+    """
     out = {}
     for name, fn in RAW_TRANSFORMS.items():
         src = _p(root, "raw", name)
-        if not os.path.exists(src):
+        if not fs.exists(spark, src):
             continue
-        docs = readers.raw_documents(spark, src)
-        if name != "repositories":
-            docs = docs.withColumn("repository", readers.parent_of_file())
+        pages = readers.raw_pages(spark, src)
+        bad = pages.filter("reject_reason is not null").select("source_file", "doc", "reject_reason")
+        docs = pages.filter("reject_reason is null").withColumn("repository", readers.parent_of_file())
+        if name != "repositories" and fs.exists(spark, _p(root, "flat", "repositories")):
+            names = (readers.parquet(spark, _p(root, "flat", "repositories"))
+                     .groupBy(readers.file_stem_of(F.col("full_name")).alias("repository"))
+                     .agg(F.min("full_name").alias("_full_name"), F.count_distinct("full_name").alias("_names")))
+            docs = docs.join(names, "repository", "left")
+            bad = bad.unionByName(docs.filter("_names > 1").select("source_file", "doc", F.lit("ambiguous_parent").alias("reject_reason")))
+            docs = docs.filter("_names is null or _names = 1").withColumn("repository", F.coalesce("_full_name", "repository"))
         flat = fn(docs)
-        write_parquet(flat, _p(root, "flat", name), partition_by=() if name == "repositories" else ("repository",))
+        key = UPSERT_SPECS[name].key
+        keyless = flat.filter(F.col(key).isNull())
+        bad = bad.unionByName(keyless.select(
+            (F.col("repository") if "repository" in flat.columns else F.lit(None).cast("string")).alias("source_file"),
+            F.to_json(F.struct(*flat.columns)).alias("doc"), F.lit("no_key").alias("reject_reason")))
         out[name] = _p(root, "flat", name)
+        write_parquet(flat.filter(F.col(key).isNotNull()), out[name])
+        write_parquet(bad, _p(root, "rejects", "raw", name))
     return out
 
 
 def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
-    """Flat records -> tables: resolve the parent by ``full_name`` (file stem), upsert by
-    key with the table's mutable columns, and commit a new version. Returns the rejects."""
+    """Flat records -> tables: resolve the parent by ``full_name``, upsert by key with the
+    table's mutable columns, and commit a new version. May be repeated with one version.
+    Rejected rows are written to ``rejects/load/<table>`` and returned."""
     rejects = {}
     tables = _p(root, "tables")
 
@@ -172,24 +191,27 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
             return load.read_current(spark, _p(tables, name))
         return spark.createDataFrame([], like.schema)   # first load: empty target
 
-    repos = readers.parquet(spark, _p(root, "flat", "repositories"))
-    repos = load.dedupe_batch(repos, "repository_id", ["updated_at"])
+    def newest(batch: DataFrame, key: str, time: str) -> DataFrame:
+        # equal times: the row's content decides, so the winner never depends on file order
+        rows = batch.withColumn("_tie", F.xxhash64(*batch.columns))
+        return load.dedupe_batch(rows, key, [time, "_tie"]).drop("_tie")
+
+    repos = newest(readers.parquet(spark, _p(root, "flat", "repositories")), "repository_id", "updated_at")
     target = current("repositories", repos)
     merged = load.upsert(target, repos.select(*target.columns), UPSERT_SPECS["repositories"])
     load.commit_version(merged, _p(tables, "repositories"), version)
-    parents = load.read_current(spark, _p(tables, "repositories")).select(
-        "repository_id", readers.file_stem_of(F.col("full_name")).alias("stem"))
+    parents = load.read_current(spark, _p(tables, "repositories")).select("repository_id", "full_name")
     for name in ("commits", "issues", "pull_requests"):
         path = _p(root, "flat", name)
-        if not os.path.exists(path):
+        if not fs.exists(spark, path):
             continue
         flat = readers.parquet(spark, path)
         spec = UPSERT_SPECS[name]
-        acc, rej = load.resolve_parent(flat, parents, "repository", "stem", "repository_id")
-        rejects[name] = rej
+        acc, rej = load.resolve_parent(flat, parents, "repository", "full_name", "repository_id")
+        write_parquet(rej, _p(root, "rejects", "load", name))
+        rejects[name] = readers.parquet(spark, _p(root, "rejects", "load", name))
         batch = acc.drop("repository")
-        order = ["updated_at"] if "updated_at" in batch.columns else ["commit_date"]
-        batch = load.dedupe_batch(batch, spec.key, order)
+        batch = newest(batch, spec.key, "updated_at" if "updated_at" in batch.columns else "commit_date")
         key_spec = TableSpec(name, spec.key, batch.schema, tuple(c for c in spec.mutable_columns()
                                                                 if c in batch.columns) + ("repository_id",))
         target = current(name, batch)
@@ -240,7 +262,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "raw":
         raw_job(spark, a.root)
     elif a.job == "load":
-        load_job(spark, a.root, a.version)
+        for name, rows in load_job(spark, a.root, a.version).items():
+            print(f"{name}: {rows.count()} rows rejected")
 
 
 if __name__ == "__main__":

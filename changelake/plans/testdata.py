@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.functions.envelope import encode_envelope
-from changelake.functions.sizing import estimated_size_bytes
 from changelake.functions.text import leading_int
 from changelake.schemas import COMMITS, ISSUES, PULL_REQUESTS, REPOSITORIES, TableSpec
 
@@ -46,27 +45,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _bytes(text: str) -> int:
-    """A Spark size setting (``134217728b``, ``128m``, ``1g``) in bytes."""
-    t = str(text).strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(t[:-1] if scale > 1 else t) * scale
-
-
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Spread source rows over partitions by a unique column (no hot partition even when
-    one entity owns a third of the rows), as a producer spreads a topic,
-    but only when the scan itself yields fewer tasks than the cluster has cores (a test
-    file with a single row group). A large input already arrives in many splits and is
-    left alone: no shuffle of the source at scale.
-    """
-    spark = df.sparkSession
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = estimated_size_bytes(df)
-    if size is None or size >= spark.sparkContext.defaultParallelism * split:
-        return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *[F.col(k) for k in keys])
+    one entity owns a third of the rows), as a producer spreads a topic."""
+    return df.repartition(*[F.col(k) for k in keys])
 
 
 def epoch_millis(ts: str) -> Column:
@@ -268,9 +250,11 @@ def late_and_repeated(recs: DataFrame) -> DataFrame:
     The stale update carries an event time 1 ms before its delete but a later offset,
     so it arrives later and must still lose. Current state must not change.
     """
-    is_delete = F.get_json_object("value", "$.op") == "d"
+    field = lambda name: F.coalesce(F.get_json_object("value", f"$.{name}"),
+                                    F.get_json_object("value", f"$.payload.{name}"))
+    is_delete = field("op") == "d"
     stale = F.concat(F.lit('{"op":"u","ts_ms":'),
-                     (F.get_json_object("value", "$.ts_ms").cast("bigint") - 1).cast("string"),
+                     (field("ts_ms").cast("bigint") - 1).cast("string"),
                      F.lit(',"before":null,"after":{"repository_id":'),
                      F.get_json_object("key", "$.repository_id"),
                      F.lit(',"stars":-1}}'))

@@ -1,7 +1,7 @@
 """Readers (S1-S9). Every reader takes an explicit schema; none infers.
 
-Directories are read as directories, never through a ``*.json`` glob, so a
-streaming sink's commit log decides which files count.
+Directories are read as directories, never through a ``*.json`` glob, so the commit log
+of a file sink (such as ``start_archive``) decides which of its files count.
 """
 
 from __future__ import annotations
@@ -36,15 +36,6 @@ def kafka_stream(spark: SparkSession, bootstrap: str, topics: Sequence[str],
     return _kafka_columns(reader.load())
 
 
-def kafka_batch(spark: SparkSession, bootstrap: str, topics: Sequence[str], **options: str) -> DataFrame:
-    reader = (spark.read.format("kafka")
-              .option("kafka.bootstrap.servers", bootstrap)
-              .option("subscribe", ",".join(topics)))
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return _kafka_columns(reader.load())
-
-
 def landing_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 stand-in: Kafka-shaped records from a landing folder, as a stream."""
@@ -54,10 +45,6 @@ def landing_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def landing_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(KAFKA_SCHEMA).format(fmt).load(path)
-
-
 def change_log(spark: SparkSession, path: str, spec: TableSpec, fmt: str = "parquet") -> DataFrame:
     """S3: a table's normalised change log, with its explicit schema."""
     return spark.read.schema(spec.normalised_schema()).format(fmt).load(path)
@@ -68,18 +55,29 @@ def parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def raw_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Raw JSON files -> one row per document: ``source_file, doc`` (JSON text).
+def raw_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Raw JSON files -> ``source_file, position, doc, reject_reason``.
 
     A file holds either one object or an array of objects. Each file is one fetched
     page (a bounded size), read whole; arrays are exploded into their elements, each
-    kept as its own JSON text so that key *presence* can still be tested.
+    kept as its own JSON text so that key *presence* can still be tested. A page that
+    does not parse is one row with its whole text and a reason, never silently lost.
     """
     files = (spark.read.text(path, wholetext=True)
              .select(F.col("_metadata.file_name").alias("source_file"), F.trim("value").alias("value")))
-    docs = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")) \
-            .otherwise(F.array("value"))
-    return files.select("source_file", F.explode(docs).alias("doc"))
+    # with Jackson's leniency a cut-off array can still yield its first elements
+    whole = F.when(F.col("value").startswith("["), F.col("value").endswith("]")) \
+             .otherwise(F.col("value").startswith("{") & F.col("value").endswith("}"))
+    docs = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
+    good = F.when(whole, docs)
+    rows = files.select("source_file", F.posexplode(F.coalesce(good, F.array("value"))).alias("position", "doc"),
+                        good.isNull().alias("_bad"))
+    return rows.select("source_file", "position", "doc", F.when(F.col("_bad"), F.lit("malformed_page")).alias("reject_reason"))
+
+
+def raw_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The parsed documents of ``raw_pages``: ``source_file, doc``."""
+    return raw_pages(spark, path).filter("reject_reason is null").select("source_file", "doc")
 
 
 def parent_of_file(source_file: str = "source_file") -> F.Column:
@@ -95,8 +93,3 @@ def file_stem_of(full_name: F.Column) -> F.Column:
 def flat_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Processed flat records (JSON lines or arrays)."""
     return spark.read.schema(schema).option("multiLine", "true").json(path)
-
-
-def dimension(df: DataFrame, name_col: str = "full_name", key_col: str = "repository_id") -> DataFrame:
-    """The ``name -> key`` lookup of a dimension table."""
-    return df.select(key_col, name_col)

@@ -89,7 +89,7 @@ def main(argv: list[str]) -> int:
                  .config("spark.sql.shuffle.partitions", "8")
                  .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     else:
-        spark = build_session("local[8]")
+        spark = build_session("local[8]", spark__sql__shuffle__partitions="8")
     tz = os.environ.get("SESSION_TZ")
     if tz:  # results must not depend on the session time zone
         spark.conf.set("spark.sql.session.timeZone", tz)

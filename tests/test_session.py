@@ -1,6 +1,5 @@
 """Session sizing and scratch folders."""
 
-from changelake.plans.testdata import _bytes
 from changelake.session import MAX_SHUFFLE_PARTITIONS, cluster_conf, scratch_dir
 
 
@@ -12,10 +11,6 @@ def test_cluster_conf_bounds():
     assert int(cluster_conf(2**20, 64)["spark.sql.shuffle.partitions"]) == 128   # two per core
 
 
-def test_size_settings_parse():
-    assert _bytes("134217728b") == _bytes("128m") == 128 * 2**20
-    assert _bytes("1g") == 2**30 and _bytes("4096") == 4096
-
 
 def test_scratch_dirs_are_fresh_and_under_the_checkpoint_folder(spark):
     a = scratch_dir(spark, "x", fresh=True)

@@ -85,3 +85,44 @@ def test_raw_then_load(spark):
     stages.load_job(spark, root, version=2)
     repos = read_current(spark, os.path.join(root, "tables", "repositories"))
     assert _rows(repos.select("repository_id", "name", "stars")) == [(1, "a", 9), (2, "b", 2)]
+
+
+def test_raw_rejects_and_real_parent_names(spark):
+    root = "file:" + scratch_dir(spark, "rawrejects", fresh=True)
+
+    def put(rel, text):
+        path = os.path.join(root[len("file:"):], "raw", rel)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as fh:
+            fh.write(text)
+
+    for k, full in enumerate(("a_b/c", "a/b_c", "o/a")):
+        put(f"repositories/r{k}.json", json.dumps({"id": k + 1, "name": "n", "full_name": full}))
+    put("commits/o_a.json", json.dumps([{"sha": "s1", "commit": {"author": {"date": "2024"}}}, {"commit": {}}]))
+    put("commits/a_b_c.json", json.dumps([{"sha": "s2"}]))
+    put("issues/o_a.json", '[{"id": 1, "number": 1}, {"id": 2, "num')
+    out = stages.raw_job(spark, root)
+    assert set(out) == {"repositories", "commits", "issues"}
+    flat = spark.read.parquet(out["commits"])
+    assert _rows(flat.select("commit_sha", "repository")) == [("s1", "o/a")]
+    rejects = {n: [r["reject_reason"] for r in spark.read.parquet(os.path.join(root, "rejects", "raw", n)).collect()] for n in ("commits", "issues")}
+    assert sorted(rejects["commits"]) == ["ambiguous_parent", "no_key"] and rejects["issues"] == ["malformed_page"]
+    for _ in range(2):  # the same version twice
+        stages.load_job(spark, root, version=1)
+    from changelake.operators.load import read_current
+
+    assert _rows(read_current(spark, os.path.join(root, "tables", "commits")).select("commit_sha", "repository_id")) == [("s1", 3)]
+    assert read_current(spark, os.path.join(root, "tables", "repositories")).count() == 3
+
+
+def test_roots_of_one_base_name_keep_their_own_checkpoint(spark):
+    landing = scratch_dir(spark, "landing", fresh=True)
+    td.repository_change_records(spark, SMOKE).write.parquet(landing)
+    base = scratch_dir(spark, "roots", fresh=True)
+    counts = []
+    for parent in ("a", "b"):
+        root = os.path.join(base, parent, "prod")
+        for q in stages.stream_job(spark, landing_stream(spark, landing), root, incremental_state=False, archive=False, available_now=True):
+            q.awaitTermination()
+        counts.append(spark.read.parquet(os.path.join(root, "log", "repositories")).count())
+    assert counts[0] == counts[1] > 0

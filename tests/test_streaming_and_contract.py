@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from changelake.operators import envelope, state
@@ -35,17 +37,16 @@ def test_incremental_state_equals_batch_over_micro_batches(spark):
     assert dead.count() == len(FAULTS)
 
 
-def test_broadcast_and_window_merges_agree(spark):
+def test_merge_does_not_depend_on_order(spark):
     import random
 
     rows = BASE + FAULTS + [rec(9, LATE, seconds=60)] + BASE
     results = []
-    for limit in (0, 10**6):   # window path, broadcast-keys path
+    for seed in (7, 8):
         root = scratch_dir(spark, "merge", fresh=True)
-        st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4,
-                              max_broadcast_rows=limit)
+        st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
         shuffled = list(rows)
-        random.Random(7).shuffle(shuffled)
+        random.Random(seed).shuffle(shuffled)
         for i in range(0, len(shuffled), 3):
             st.merge(envelope.normalise(records_df(spark, shuffled[i:i + 3]), REPOSITORIES), i)
         results.append(sorted((r["repository_id"], r["operation"], r["stars"])
@@ -63,6 +64,45 @@ def test_tombstones_purged_after_retention(spark):
     assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [2]
 
 
+def test_deletes_without_a_time_survive_retention(spark):
+    root = scratch_dir(spark, "retention", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4, tombstone_retention_ms=10)
+    gone = '{"op":"d","before":{"repository_id":5}}'
+    st.merge(envelope.normalise(records_df(spark, [rec(9, gone)]), REPOSITORIES), 0)
+    assert [r["operation"] for r in st.with_tombstones().collect()] == ["d"]
+
+
+def test_archive_replay_on_a_later_day_replaces_the_batch(spark):
+    from unittest import mock
+
+    from changelake.streaming import jobs
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    root = scratch_dir(spark, "replay", fresh=True)
+    batch = records_df(spark, BASE)
+    plain = jobs.archive_rows
+    older = lambda r: plain(r).withColumn("received_date", F.date_sub("received_date", 1))
+    try:
+        for rows in (older, plain):
+            with mock.patch.object(jobs, "archive_rows", rows):
+                jobs.normalise_batch(batch, 0, [REPOSITORIES], os.path.join(root, "log"), archive_root=os.path.join(root, "archive"))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.json(os.path.join(root, "archive")).count() == len(BASE)
+
+
+def test_unknown_topics_are_dead_letters(spark):
+    from changelake.streaming.jobs import normalise_batch
+
+    root = scratch_dir(spark, "topics", fresh=True)
+    foreign = records_df(spark, BASE).withColumn("topic", F.lit("other.x.repositories"))
+    normalise_batch(foreign, 0, [REPOSITORIES], os.path.join(root, "log"))
+    assert spark.read.parquet(os.path.join(root, "log", "repositories")).count() == 0
+    dead = spark.read.parquet(os.path.join(root, "log", "_dead_letters"))
+    assert [tuple(r) for r in dead.select("table_name", "reject_reason").distinct().collect()] == [("_unknown", "unknown_topic")]
+    assert dead.count() == len(BASE)
+
+
 def test_purge_sweep_drops_old_tombstones_only(spark):
     root = scratch_dir(spark, "sweep", fresh=True)
     st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
