@@ -46,7 +46,8 @@ def table_profile(df: DataFrame, key: str, table: str) -> DataFrame:
 
 
 def row_count_check(tables: Mapping[str, DataFrame], expectations: DataFrame) -> DataFrame:
-    """Q1: actual row count per table against an expectations table ``table, expected``."""
+    """Q1: actual row count per table against an expectations table ``table, expected``. A table
+    that is expected but absent has no count and fails, also where 0 rows are expected."""
     parts = [df.agg(F.count(F.lit(1)).alias("observed")).select(F.lit(n).alias("table_name"), "observed")
              for n, df in tables.items()]
     counts = parts[0]
@@ -56,7 +57,7 @@ def row_count_check(tables: Mapping[str, DataFrame], expectations: DataFrame) ->
     out = counts.join(exp, "table_name", "full_outer").select(
         "table_name", F.lit("row_count").alias("check_name"),
         F.lit(None).cast("string").alias("column_name"),
-        F.coalesce("observed", F.lit(0)).cast("bigint").alias("observed"), "expected")
+        F.col("observed").cast("bigint").alias("observed"), "expected")
     return _with_passed(out).select(*CHECK_COLUMNS)
 
 

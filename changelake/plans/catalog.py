@@ -339,11 +339,11 @@ def _landed(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
 
 def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repository log, each record twice plus stale updates, in shuffled
-    micro-batches, folded into bucketed state; must equal the batch current state."""
+    micro-batches, folded into state; must equal the batch current state."""
     recs = td.late_and_repeated(td.repository_change_records(spark, sf_dir))
     stream = _landed(spark, recs, "repositories")
     root = scratch_dir(spark, "stream", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=16)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
     q = start_normalise(stream, [REPOSITORIES],
                         os.path.join(root, "log"), os.path.join(root, "checkpoint"),
                         states={"repositories": st}, available_now=True)

@@ -45,13 +45,13 @@ def _p(root: str, *parts: str) -> str:
 def stream_job(spark: SparkSession, records: DataFrame, root: str,
                specs: Sequence[TableSpec] = tuple(TABLES.values()), incremental_state: bool = True,
                archive: bool = True, available_now: bool = False,
-               processing_time: str = "5 seconds", state_buckets: int = 256) -> list[StreamingQuery]:
+               processing_time: str = "5 seconds", compact_every: int | None = 64) -> list[StreamingQuery]:
     """Normalise, archive and fold into state with one streaming query (each record is
     read once); returns the started queries."""
     chk = _p(root, "_checkpoints")  # under the root itself: no two roots share one
     states = None
     if incremental_state:
-        states = {s.name: IncrementalState(spark, s, _p(root, "live_state", s.name), state_buckets)
+        states = {s.name: IncrementalState(spark, s, _p(root, "live_state", s.name), compact_every=compact_every)
                   for s in specs}
     return [start_normalise(records, specs, _p(root, "log"), _p(chk, "normalise"), states,
                             processing_time, available_now,

@@ -16,6 +16,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder ``path``; none if it does not exist."""
+    p, fs = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, such as a commit marker."""
+    p, fs = _path(spark, path)
+    fs.create(p, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove ``path`` recursively if it exists."""
     p, fs = _path(spark, path)

@@ -88,7 +88,7 @@ def test_streamed_state_equals_batch_state(spark, events, perm):
         if part:
             records_df(spark, part).coalesce(1).write.mode("append").parquet(landing)
     root = scratch_dir(spark, "prop-stream", fresh=True)
-    stt = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=2)
+    stt = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), compact_every=1)
     q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=1), [REPOSITORIES],
                         os.path.join(root, "log"), os.path.join(root, "chk"),
                         states={"repositories": stt}, available_now=True)

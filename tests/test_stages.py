@@ -7,8 +7,10 @@ import pytest
 
 from changelake.plans import catalog, stages
 from changelake.plans import testdata as td
+from changelake.schemas import ISSUES
 from changelake.session import scratch_dir
 from changelake.sources.readers import landing_stream
+from changelake.streaming.state_stream import IncrementalState
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -23,14 +25,14 @@ def test_stream_state_final_quality(spark):
     td.activity_records(spark, SMOKE).write.parquet(landing)
     root = scratch_dir(spark, "stages", fresh=True)
     for q in stages.stream_job(spark, landing_stream(spark, landing, max_files_per_trigger=3), root,
-                                 available_now=True, state_buckets=8):
+                                 available_now=True):
         q.awaitTermination()
     stages.state_job(spark, root, orders={"pull_requests": td.PR_ORDER})
     final = stages.final_analytics(spark, root)
     assert _rows(final) == _rows(catalog.cdc_repository_analytics(spark, SMOKE))
 
     # incremental state kept by the stream equals the batch state
-    live = spark.read.parquet(os.path.join(root, "live_state", "issues")).filter("operation != 'd'")
+    live = IncrementalState(spark, ISSUES, os.path.join(root, "live_state", "issues")).current()
     batch = spark.read.parquet(os.path.join(root, "state", "issues"))
     assert _rows(live.select("issue_id", "state")) == _rows(batch.select("issue_id", "state"))
 

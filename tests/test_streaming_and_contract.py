@@ -23,7 +23,7 @@ def test_incremental_state_equals_batch_over_micro_batches(spark):
     df = records_df(spark, rows)
     df.repartition(4).write.parquet(landing)
     root = scratch_dir(spark, "stream", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
     q = start_normalise(landing_stream(spark, landing, max_files_per_trigger=1), [REPOSITORIES],
                         os.path.join(root, "log"), os.path.join(root, "chk"),
                         states={"repositories": st}, available_now=True)
@@ -44,7 +44,7 @@ def test_merge_does_not_depend_on_order(spark):
     results = []
     for seed in (7, 8):
         root = scratch_dir(spark, "merge", fresh=True)
-        st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+        st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
         shuffled = list(rows)
         random.Random(seed).shuffle(shuffled)
         for i in range(0, len(shuffled), 3):
@@ -56,19 +56,20 @@ def test_merge_does_not_depend_on_order(spark):
 
 def test_tombstones_purged_after_retention(spark):
     root = scratch_dir(spark, "retention", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4,
-                          tombstone_retention_ms=10)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), tombstone_retention_ms=10)
     later = '{"op":"u","ts_ms":100,"after":{"repository_id":2,"stars":10}}'
     st.merge(envelope.normalise(records_df(spark, BASE + [rec(9, later)]), REPOSITORIES), 0)
+    st.compact()
     # the delete (ts 4) is older than newest (100) minus retention (10): purged
     assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [2]
 
 
 def test_deletes_without_a_time_survive_retention(spark):
     root = scratch_dir(spark, "retention", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4, tombstone_retention_ms=10)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), tombstone_retention_ms=10)
     gone = '{"op":"d","before":{"repository_id":5}}'
     st.merge(envelope.normalise(records_df(spark, [rec(9, gone)]), REPOSITORIES), 0)
+    st.compact()
     assert [r["operation"] for r in st.with_tombstones().collect()] == ["d"]
 
 
@@ -105,7 +106,7 @@ def test_unknown_topics_are_dead_letters(spark):
 
 def test_purge_sweep_drops_old_tombstones_only(spark):
     root = scratch_dir(spark, "sweep", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
     st.merge(envelope.normalise(records_df(spark, BASE), REPOSITORIES), 0)
     st.purge_tombstones(older_than_ms=4)      # the delete has ts 4: kept
     assert sorted(r["repository_id"] for r in st.with_tombstones().collect()) == [1, 2]
@@ -115,13 +116,44 @@ def test_purge_sweep_drops_old_tombstones_only(spark):
 
 def test_replayed_batch_is_idempotent(spark):
     root = scratch_dir(spark, "replay", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
     log = envelope.normalise(records_df(spark, BASE), REPOSITORIES)
     st.merge(log, 0)
     st.merge(log, 0)
     assert {r["repository_id"]: r["stars"] for r in st.current().collect()} == {2: 9}
 
 
+def test_batches_only_add_and_compaction_changes_nothing(spark):
+    """Batch numbers that start again, a compaction after three deltas, and what it leaves."""
+    root = scratch_dir(spark, "generations", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), compact_every=2)
+    rows = BASE + FAULTS + [rec(9, LATE, seconds=60)] + BASE
+    kept = set()
+    for i in range(0, len(rows), 2):
+        st.merge(envelope.normalise(records_df(spark, rows[i:i + 2]), REPOSITORIES), i % 4)
+        now = {os.path.join(d, f) for d, _, files in os.walk(root) for f in files if f.endswith(".parquet") and "delta" in d}
+        assert len(now - kept) <= 8  # the files of this batch alone
+        kept |= now
+    assert sorted((r["repository_id"], r["operation"], r["stars"]) for r in st.with_tombstones().collect()) == [(1, "d", None), (2, "u", 9)]
+    generations = [d for d in os.listdir(os.path.join(root, "state")) if d.startswith("gen-")]
+    assert 1 < len(generations) <= 2 and "gen-0" not in generations
+
+
+def test_half_written_folders_do_not_count(spark):
+    root = scratch_dir(spark, "crash", fresh=True)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
+    os.makedirs(os.path.join(root, "state", "gen-0", "delta-0-dead"))  # died before its first file
+    assert st.current().count() == 0
+    st.merge(envelope.normalise(records_df(spark, BASE), REPOSITORIES), 0)
+    newer = envelope.normalise(records_df(spark, [rec(9, LATE, seconds=60)]), REPOSITORIES).withColumn("stars", F.lit(99)).withColumn("event_timestamp", F.lit(1 << 50))
+    for dead in ("gen-0/delta-1-dead", "gen-1/base"):  # died before the marker
+        newer.write.mode("overwrite").parquet(os.path.join(root, "state", dead))
+    expected = {2: 9}
+    assert {r["repository_id"]: r["stars"] for r in st.current().collect()} == expected
+    st.compact()  # over the dead base
+    assert {r["repository_id"]: r["stars"] for r in st.current().collect()} == expected
+
+
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="test tables not present")
 def test_entry_and_contract(spark):
     import __spark_entry__ as e
@@ -153,7 +185,7 @@ def test_processing_time_trigger(spark):
     landing = scratch_dir(spark, "landing", fresh=True)
     records_df(spark, BASE + FAULTS).repartition(2).write.parquet(landing)
     root = scratch_dir(spark, "interval", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"), buckets=4)
+    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
     q = start_normalise(landing_stream(spark, landing), [REPOSITORIES], os.path.join(root, "log"),
                         os.path.join(root, "chk"), states={"repositories": st},
                         processing_time="1 second", archive_root=os.path.join(root, "archive"))

@@ -106,6 +106,6 @@ def test_time_text_in_any_encoding(spark):
 
 def test_row_count_without_expectation_fails(spark):
     a = spark.createDataFrame([(1,)], "k bigint")
-    exp = spark.createDataFrame([("other", 1)], "table string, expected bigint")
-    rows = {r["table_name"]: r["passed"] for r in quality.row_count_check({"a": a}, exp).collect()}
-    assert rows == {"a": False, "other": False}
+    exp = spark.createDataFrame([("other", 1), ("absent", 0)], "table string, expected bigint")
+    rows = {r["table_name"]: (r["observed"], r["passed"]) for r in quality.row_count_check({"a": a}, exp).collect()}
+    assert rows == {"a": (1, False), "other": (None, False), "absent": (None, False)}
