@@ -160,16 +160,20 @@ def _block_links(similarity: int):
     return links
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether some node has two edges to lesser nodes, or one, and is itself a lesser end.
+    Otherwise the edges are stars around the least nodes of their components."""
+    end = lambda c, up: F.struct(F.col(c).alias("node"), F.lit(up).alias("up"))
+    ends = edges.select(F.inline(F.array(end("u", 1), end("v", 0))))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return nodes.where("up > 1 or up = 1 and least = 0").agg(F.count("*")).first()[0] > 0
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, comp) of every node with an edge (u, v), comp the least node it reaches, by
-    alternating large-star and small-star until the edges no longer change."""
+    alternating large-star and small-star until the edges are stars."""
     now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), name)
-    before = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+    while _unfinished(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
