@@ -13,19 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
-def envelope_schema(row_schema: StructType) -> StructType:
-    """Schema of one envelope level for rows of ``row_schema``."""
+def envelope_schema(row_schema: StructType, key: str) -> StructType:
+    """Schema of one envelope level for rows of ``row_schema``. Of the image before a change
+    only the key is ever used."""
     return StructType([
         StructField("op", StringType()),
         StructField("ts_ms", LongType()),
-        StructField("before", row_schema),
+        StructField("before", StructType([row_schema[key]])),
         StructField("after", row_schema),
     ])
 
 
-def wire_schema(row_schema: StructType) -> StructType:
+def wire_schema(row_schema: StructType, key: str) -> StructType:
     """Both encodings at once: the top-level fields and the same under ``payload``."""
-    level = envelope_schema(row_schema)
+    level = envelope_schema(row_schema, key)
     return StructType(list(level.fields) + [StructField("payload", level),
                                             StructField(CORRUPT, StringType())])
 
@@ -33,10 +34,10 @@ def wire_schema(row_schema: StructType) -> StructType:
 CORRUPT = "_corrupt_record"
 
 
-def parse_wire(value: Column | str, row_schema: StructType) -> Column:
+def parse_wire(value: Column | str, row_schema: StructType, key: str) -> Column:
     """The single ``from_json`` of a record (both encodings and the corrupt-record text)."""
     v = F.col(value) if isinstance(value, str) else value
-    return F.from_json(v, wire_schema(row_schema),
+    return F.from_json(v, wire_schema(row_schema, key),
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 

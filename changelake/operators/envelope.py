@@ -13,10 +13,11 @@ For one table they become typed rows ``META + row columns + reject_reason``:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from changelake.functions.envelope import change_key, envelope_fields, parse_wire
 from changelake.schemas import OPERATIONS, TableSpec
@@ -58,13 +59,17 @@ def _reason(env: Column, value: Column, key: Column) -> Column:
 
 
 def parse_changes(records: DataFrame, spec: TableSpec, routed: bool = False,
-                  keep_raw: bool = False) -> DataFrame:
+                  keep_raw: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """Records of one table -> ``META + row columns + reject_reason`` (NULL when applicable).
 
     ``routed=True`` when ``records`` already hold only this table's topic.
     ``keep_raw=True`` also keeps ``topic, key, value`` for the dead-letter output.
+    ``columns``: the row columns wanted beside the key, by default all. Nothing else is
+    parsed, since no optimiser rule prunes the schema through the generator below.
     """
     src = records if routed else route(records, spec)
+    wanted = [c for c in spec.columns if columns is None or c == spec.key or c in columns]
+    row_schema = StructType([spec.row_schema[c] for c in wanted])
     # The parse leaves through a one-element explode: Catalyst never pushes a filter on
     # a generated column below the Generate, nor inlines the parse into later
     # projections, so every filter on parsed fields (rejects, keys, deletes) reuses the
@@ -72,13 +77,13 @@ def parse_changes(records: DataFrame, spec: TableSpec, routed: bool = False,
     # goes into the generator (which has no common-subexpression elimination).
     doc = src.select(
         "topic", "partition", "offset", F.col("timestamp").alias("kafka_timestamp"), "key",
-        "value", F.explode(F.array(parse_wire("value", spec.row_schema))).alias("_doc"),
+        "value", F.explode(F.array(parse_wire("value", row_schema, spec.key))).alias("_doc"),
     )
     staged = doc.select("*", envelope_fields(F.col("_doc")).alias("_env")).drop("_doc")
     e = F.col("_env")
     key = change_key(e, spec.key)
     row_cols = [
-        (key if c == spec.key else e["after"][c]).alias(c) for c in spec.columns
+        (key if c == spec.key else e["after"][c]).alias(c) for c in wanted
     ]
     out = staged.select(
         F.lit(spec.name).alias("table_name"),

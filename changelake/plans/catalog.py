@@ -74,13 +74,24 @@ def current_state_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ four-topic stream
-def _activity_parsed(spark: SparkSession, sf_dir: str, names=tuple(TABLES)) -> dict[str, DataFrame]:
+#: Row columns that the entity analytics read.
+ENTITY_COLUMNS = {
+    "repositories": ("full_name", "owner", "language", "stars", "forks", "watchers", "open_issues"),
+    "commits": ("repository_id",),
+    "issues": ("repository_id", "state", "comments"),
+    "pull_requests": ("repository_id", "state"),
+}
+
+
+def _activity_parsed(spark: SparkSession, sf_dir: str, names=tuple(TABLES), columns=None) -> dict[str, DataFrame]:
+    """``columns``: wanted row columns by table (beside the key); None: all."""
     recs = td.activity_records(spark, sf_dir, names)
-    return {name: envelope.parse_changes(recs, TABLES[name]) for name in names}
+    return {name: envelope.parse_changes(recs, TABLES[name], columns=None if columns is None else columns.get(name, ()))
+            for name in names}
 
 
 def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _activity_parsed(spark, sf_dir)
+    parsed = _activity_parsed(spark, sf_dir, columns={})
     parts = [envelope.accepted(p).select("table_name", "operation") for p in parsed.values()]
     union = parts[0]
     for p in parts[1:]:
@@ -89,15 +100,15 @@ def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.change_statistics(_activity_parsed(spark, sf_dir))
+    return analytics.change_statistics(_activity_parsed(spark, sf_dir, columns={}))
 
 
-def _activity_logs(spark: SparkSession, sf_dir: str, names=tuple(TABLES)) -> dict[str, DataFrame]:
-    return {n: envelope.accepted(p) for n, p in _activity_parsed(spark, sf_dir, names).items()}
+def _activity_logs(spark: SparkSession, sf_dir: str, names=tuple(TABLES), columns=None) -> dict[str, DataFrame]:
+    return {n: envelope.accepted(p) for n, p in _activity_parsed(spark, sf_dir, names, columns).items()}
 
 
 def _activity_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    logs = _activity_logs(spark, sf_dir)
+    logs = _activity_logs(spark, sf_dir, columns=ENTITY_COLUMNS)
     out = {}
     for name, spec in TABLES.items():
         order = td.PR_ORDER if spec is PULL_REQUESTS else state.EVENT_ORDER
@@ -106,16 +117,16 @@ def _activity_state(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def commit_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.commit_activity(_activity_logs(spark, sf_dir, ("commits",))["commits"])
+    return analytics.commit_activity(_activity_logs(spark, sf_dir, ("commits",), ENTITY_COLUMNS)["commits"])
 
 
 def event_issue_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.issue_analytics(_activity_logs(spark, sf_dir, ("issues",))["issues"])
+    return analytics.issue_analytics(_activity_logs(spark, sf_dir, ("issues",), ENTITY_COLUMNS)["issues"])
 
 
 def pull_request_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.pull_request_analytics(
-        _activity_logs(spark, sf_dir, ("pull_requests",))["pull_requests"])
+        _activity_logs(spark, sf_dir, ("pull_requests",), ENTITY_COLUMNS)["pull_requests"])
 
 
 def event_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +200,28 @@ def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(quality_report(spark, sf_dir))
 
 
+def quality_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q4 over tables that fail: repositories without the deleted ones, commits with null
+    and repeated keys and with null parents, a wrong count, and an expected table that is absent."""
+    e = td.table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    sha = (F.when(kind == "error", F.lit(None).cast("string"))
+           .when(kind == "purchase", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+           .otherwise(F.concat(F.lit("e"), F.col("event_id").cast("string"))))
+    commits = e.select(sha.alias("commit_sha"), F.when(kind != "signup", F.col("user_id")).alias("repository_id"))
+    repositories = state.current_state(repository_log(spark, sf_dir), REPOSITORIES).select("repository_id")
+    expected = [(td.table(spark, sf_dir, "customer"), "repositories"), (e, "commits"), (e.filter(F.lit(False)), "releases")]
+    counts = [df.agg(F.count(F.lit(1)).alias("expected")).select(F.lit(name).alias("table"), "expected") for df, name in expected]
+    return quality.quality_report(
+        {"repositories": (repositories, "repository_id"), "commits": (commits, "commit_sha")},
+        counts[0].unionByName(counts[1]).unionByName(counts[2]),
+        parent=("repositories", "repository_id"), references={"commits": "repository_id"})
+
+
+def quality_verdict_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdict(quality_failures(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ raw transforms (T*)
 def raw_repository_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = transform.repositories(td.raw_repository_docs(spark, sf_dir))
@@ -425,6 +458,8 @@ QUERIES: dict[str, Query] = {
     "quality_orphans": quality_orphans,
     "quality_report": quality_report,
     "quality_verdict": quality_verdict,
+    "quality_failures": quality_failures,
+    "quality_verdict_failures": quality_verdict_failures,
     "raw_repository_transform": raw_repository_transform,
     "raw_commit_transform": raw_commit_transform,
     "raw_issue_transform": raw_issue_transform,

@@ -239,6 +239,33 @@ QUALITY_VERDICT = _COUNTS + """
 SELECT count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed,
        bool_and(passed) AS all_passed FROM report"""
 
+_FAILURES = "WITH" + _CUR + """,
+cm AS (
+  SELECT CASE event_type WHEN 'error' THEN NULL WHEN 'purchase' THEN 'u' || CAST(user_id AS VARCHAR)
+                         ELSE 'e' || CAST(event_id AS VARCHAR) END AS k,
+         CASE WHEN event_type <> 'signup' THEN user_id END AS fk
+  FROM events),
+prof AS (""" + _profile("repositories", "SELECT repository_id AS k FROM cur") + " UNION ALL " + \
+    _profile("commits", "SELECT k FROM cm") + """),
+named AS (SELECT *, CASE table_name WHEN 'commits' THEN 'commit_sha' ELSE 'repository_id' END AS key FROM prof),
+checks AS (
+  SELECT table_name, 'row_count' AS check_name, CAST(NULL AS VARCHAR) AS column_name, row_count AS observed,
+         CASE table_name WHEN 'commits' THEN (SELECT count(*) FROM events) ELSE (SELECT count(*) FROM customer) END AS expected
+  FROM prof
+  UNION ALL SELECT 'releases', 'row_count', NULL, CAST(NULL AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL SELECT table_name, 'duplicate_keys', key, duplicate_keys, 0 FROM named
+  UNION ALL SELECT table_name, 'null_keys', key, null_keys, 0 FROM named
+  UNION ALL SELECT 'commits', 'orphan_keys', 'repository_id',
+                   (SELECT count(*) FROM (SELECT DISTINCT fk FROM cm
+                                          WHERE fk IS NULL OR fk NOT IN (SELECT repository_id FROM cur))), 0),
+report AS (SELECT *, observed IS NOT DISTINCT FROM expected AS passed FROM checks)"""
+
+QUALITY_FAILURES = _FAILURES + "\nSELECT * FROM report"
+
+QUALITY_VERDICT_FAILURES = _FAILURES + """
+SELECT count(*) AS checks, count(*) FILTER (WHERE NOT passed) AS failed,
+       bool_and(passed) AS all_passed FROM report"""
+
 _ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%SZ')"
 
 RAW_REPOSITORY_TRANSFORM = """
@@ -370,6 +397,8 @@ ORACLES: dict[str, str] = {
     "quality_orphans": QUALITY_ORPHANS,
     "quality_report": QUALITY_REPORT,
     "quality_verdict": QUALITY_VERDICT,
+    "quality_failures": QUALITY_FAILURES,
+    "quality_verdict_failures": QUALITY_VERDICT_FAILURES,
     "raw_repository_transform": RAW_REPOSITORY_TRANSFORM,
     "raw_commit_transform": RAW_COMMIT_TRANSFORM,
     "raw_issue_transform": RAW_ISSUE_TRANSFORM,
