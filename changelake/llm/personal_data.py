@@ -5,9 +5,11 @@ base). The second reads a normalised text: transducers replace homoglyphs and fu
 forms, drop zero-width characters, turn runs of spelled digits into digits and bracketed or
 spelled "at" and "dot" into @ and full stop. Each normalised character remembers the stretch
 of source it came from, so spans found there are mapped back to the source. The base spans
-always stay; a span of the second pass is added if it overlaps no base span.
+always stay; a span of the second pass is added unless it lies in a base span of its kind, so
+an identifier that is disguised in part has its base span and the whole one. Redaction takes
+out the union of spans that overlap, under the kind of the longest.
 
-Defined cases: a null text is empty; matches of one kind never overlap; a match that fails its
+Defined cases: a null text is empty; matches of one kind and pass never overlap; a match that fails its
 rule (part over 255, number of digits, Luhn) is dropped without another try; repeated rows
 get equal results; other columns are ignored.
 """
@@ -34,6 +36,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Letters that look like ASCII ones (Cyrillic, Greek); full-width forms follow from their offset.
 LOOK_ALIKE = dict(zip("аВвсԁеНһіјКМморԛЅѕТтуѡхАСЕІЈОРХУΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαν", "aBBcdeHhijKMMopqSsTTywxACEIJOPXYABEZHIKMNOPTYXoav"))
 FOLD = str.maketrans(LOOK_ALIKE | {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {"﹫": "@", "․": ".", "。": ".", "‐": "-", "‑": "-", "–": "-", " ": " "})
+#: Letters that case-insensitive patterns take for ASCII ones.
+FOLD |= str.maketrans("\u017f\u0131\u0130\u212a", "siIK")
 HIDDEN = "​‌‍⁠﻿­"
 #: Digits as words.
 SPELLED = {w: str(d) for words in (
@@ -50,9 +54,9 @@ _ADDRESS = re.compile(rf"(?i){_NAME}(?:(?:\.|{_DOT}){_NAME})*(?:@|{_AT}){_NAME}(
                       rf"|[0-9]{{1,3}}(?:(?:{_DOT}| dot )[0-9]{{1,3}}){{3}}"
                       rf"|{_NAME}(?:(?:\.| dot ){_NAME})* at {_NAME}(?: dot {_NAME})+")
 _PART = re.compile(rf"(?i){_AT}| at |{_DOT}| dot ")
-_DIGIT_WORDS = set(SPELLED)
 _BRACKETED = re.compile(r"[\[({<] ?(?:at|arroba|dot|punkt|point|punto) ?[\])}>]")
-_SPELLED = re.compile(rf"(?:{'|'.join(SPELLED)})[ -]{{1,2}}{_DIGIT}")
+#: Two neighbours that any match of _RUN holds, in lower-case text.
+_SPELLED = re.compile(rf"[ -](?=[ -]?(?:{'|'.join(SPELLED)})(?!\w))(?:(?<=[0-9].)|{'|'.join(f'(?<={w}.)' for w in SPELLED)})")
 
 
 def _luhn(digits: str) -> bool:
@@ -112,9 +116,7 @@ def _disguised(text: str) -> bool:
     low = text.lower()
     if " dot " in low or any(c in low for c in "[({<") and _BRACKETED.search(low):
         return True
-    # a spelled number has at least two neighbouring digit words
-    return len(_DIGIT_WORDS.intersection(words := low.split())) > 0 and any(
-        a in _DIGIT_WORDS and (b in _DIGIT_WORDS or b.isdigit()) for a, b in zip(words, words[1:])) or "-" in low and _SPELLED.search(low) is not None
+    return _SPELLED.search(low) is not None
 
 
 def normalise(text: str) -> Normalised:
@@ -150,12 +152,11 @@ def find_all(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, lis
     if not _disguised(text):
         return base, base
     plain = normalise(text)
-    taken = [s for spans in base.values() for s in spans]
     every = {k: list(spans) for k, spans in base.items()}
     for kind, spans in find(plain.text).items():
         for a, b in spans:
             a, b = plain.source(a, b)
-            if not any(a < y and x < b for x, y in taken):
+            if not any(x <= a and b <= y for x, y in base[kind]):
                 every[kind].append((a, b))
         every[kind].sort()
     return base, every
@@ -166,12 +167,18 @@ def _joined(spans: dict[str, list[tuple[int, int]]]) -> str:
 
 
 def redact(text: str, spans: dict[str, list[tuple[int, int]]]) -> str:
-    """The text with every span replaced by its kind in brackets; the longer of two that overlap."""
-    out, at = [], 0
+    """The text with every union of overlapping spans replaced by the kind of the longest, in brackets."""
+    unions: list[tuple[int, int, int, str]] = []  # start, end, length of the longest span, its kind
     for a, b, k in sorted(((a, b, k) for k in KINDS for a, b in spans[k]), key=lambda s: (s[0], -s[1])):
-        if a >= at:
-            out += [text[at:a], f"[{k.upper()}]"]
-            at = b
+        if unions and a < unions[-1][1]:
+            first, end, most, kind = unions[-1]
+            unions[-1] = (first, max(end, b), *((b - a, k) if b - a > most else (most, kind)))
+        else:
+            unions.append((a, b, b - a, k))
+    out, at = [], 0
+    for a, b, _, k in unions:
+        out += [text[at:a], f"[{k.upper()}]"]
+        at = b
     return "".join([*out, text[at:]])
 
 

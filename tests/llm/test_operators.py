@@ -152,6 +152,37 @@ def test_personal_data(frame, awkward):
     assert personal_data.scan(frame([])).count() == 0
 
 
+def test_personal_data_disguised_in_part(frame):
+    rows = [(1, "to jo\u200bhn@example.com."), (2, "to j\u043ehn@example.com."), (3, "to john@mail.example[dot]com now"),
+            (4, "call +49 170 1234\uff15\uff16\uff17 now"), (5, "to john@example.com and a\u200bb"),
+            (6, "call +49 170 1234567, jo\u200bhn@example.com or 1.2.3.4"), (7, "call plus four.nine.one.seven.two.three.four.five six now"),
+            (8, "(plus four nine one seven two three four five) six")]
+    want = {1: ("email:3:20,email:6:20", "to [EMAIL]."), 2: ("email:3:19,email:5:19", "to [EMAIL]."),
+            3: ("email:3:20,email:3:28", "to [EMAIL] now"), 4: ("phone:5:17,phone:5:20", "call [PHONE] now"),
+            5: ("email:3:19", "to [EMAIL] and a\u200bb"),
+            6: ("email:22:39,email:25:39,ip:43:50,phone:5:20", "call [PHONE], [EMAIL] or [IP]"),
+            7: ("phone:5:53", "call [PHONE] now"), 8: ("phone:1:45", "([PHONE]) six")}
+    got = {r.doc_id: r for r in personal_data.scan(frame(rows)).collect()}
+    assert {d: (r.spans, r.redacted) for d, r in got.items()} == want
+    for d, text in rows:
+        base = personal_data.find(text)
+        assert (got[d].n_email, got[d].n_ip, got[d].n_phone) == tuple(len(base[k]) for k in ("email", "ip", "phone"))
+        assert got[d].base_sha256 == brute.sha(personal_data._joined(base))
+    assert personal_data.redact("0123456789", {"email": [(1, 4)], "ip": [], "card": [(3, 8)], "phone": []}) == "0[CARD]89"
+
+
+def test_personal_data_gate_is_no_narrower_than_the_spelled_runs():
+    rnd = random.Random(3)
+    parts = [*personal_data.SPELLED, "4", "x", "plus", "+", " ", " ", "-", ".", "(", "Six", "\u017fix", "FÜNF"]
+    found = 0
+    for _ in range(30_000):
+        text = "".join(rnd.choices(parts, k=rnd.randint(2, 7)))
+        if personal_data._RUN.search(text.translate(personal_data.FOLD)):
+            found += 1
+            assert personal_data._disguised(text), text
+    assert found > 300
+
+
 def test_language_id(frame, awkward):
     en = frame([(i, "the house and the garden with thing of " * 5) for i in range(9)], "en")
     de = frame([(i + 20, "der garten und das haus mit schönen dingen " * 5) for i in range(9)], "de")
