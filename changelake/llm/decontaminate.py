@@ -15,7 +15,9 @@ the size of what is broadcast is bounded, and each part has its own index of its
 Defined cases: a null text has no words; an item without words has no window, one with fewer
 words than the window is one window; matches never cross documents; rows with equal id and
 text get equal results; a document without words is not contaminated; other columns and
-their names do not matter.
+their names do not matter. Items without an id are left out unless ``unnamed``, as the query
+and the pipeline say: then their windows count for the spans, together they are one more item
+of ``n_items``, and ``items_sha256`` does not name them.
 """
 
 from __future__ import annotations
@@ -62,7 +64,7 @@ class Queries:
             for p in range(len(words) - n + 1 if n else 0):
                 by_length.setdefault(n, {}).setdefault(tuple(words[p:p + n]), []).append(item)
         #: (length, windows x length term numbers, items of each window)
-        self.groups = [(n, np.array(list(w), np.int64), [sorted(set(x)) for x in w.values()]) for n, w in by_length.items()]
+        self.groups = [(n, np.array(list(w), np.int64), [list(set(x)) for x in w.values()]) for n, w in by_length.items()]
 
 
 def _index(terms: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,19 +151,21 @@ def _matches(queries: Queries, slack: int):
                         [pa.array([int(keys[d]) for d in hit], pa.int64()),
                          pa.array([[{"start": a, "end": b} for a, b in sorted(spans.get(d, ()))] for d in hit],
                                   pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                         pa.array([sorted(items.get(d, ())) for d in hit], pa.list_(pa.int64())),
+                         pa.array([list(items.get(d, ())) for d in hit], pa.list_(pa.int64())),
                          pa.array([near.get(d, 0) for d in hit], pa.int64())], names=["key", "spans", "items", "near"])
 
     return task
 
 
-def _parts(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list, list]]:
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, unnamed: bool) -> Iterator[tuple[list, list]]:
     """The benchmark, in parts of bounded size."""
     rows = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
+    if not unnamed:
+        rows = rows.where("item is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // PART_BYTES) or 1
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).where("item is not null").collect()
+        part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
         yield [r.item for r in part], [r.text for r in part]
 
 
@@ -175,8 +179,8 @@ def _score(share: int):
                 for a, b in sorted({(s["start"], s["end"]) for s in spans or ()}):
                     inside += max(0, b - max(a, last))
                     last = max(last, b)
-                names = sorted({str(i) for i in items or ()})
-                out.append((n, inside, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(),
+                names = sorted({str(i) for i in items or () if i is not None})
+                out.append((n, inside, len(names) + (None in (items or ())), hashlib.sha256(",".join(names).encode()).hexdigest(),
                             inside > 0 and share * inside >= n, near or 0))
             cols = list(zip(*out)) if out else [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64())
@@ -188,13 +192,13 @@ def _score(share: int):
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK, share: int = SHARE) -> DataFrame:
+         item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK, share: int = SHARE, unnamed: bool = False) -> DataFrame:
     """key (see ``store.row_key``), doc_id, n_words, n_hit, n_items, items_sha256, contaminated
     and n_near (window places that match within the slack only) of every row."""
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     base = hits = None
-    for items, texts in _parts(benchmark, item_col, item_text_col):
+    for items, texts in _parts(benchmark, item_col, item_text_col, unnamed):
         queries = Queries(items, texts, window)
         terms = queries.terms
         index = stored(rows.mapInArrow(lambda batches, terms=terms: _index(terms, batches), _INDEX), "positional-index")
@@ -210,7 +214,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key", "n_near")
+    return scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True).drop("key", "n_near")
 
 
 ORACLE_SQL = r"""

@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents contaminated by the benchmark."""
-    bad = decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("key").alias("_key")).distinct()
+    bad = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), unnamed=True).where("contaminated").select(F.col("key").alias("_key")).distinct()
     return docs.select(F.struct("*").alias("row"), row_key().alias("_key")).join(bad, "_key", "left_anti").select("row.*")
 
 

@@ -104,6 +104,23 @@ def test_decontaminate(spark, frame, awkward):
     assert decontaminate.scan(frame(awkward), bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontaminate_counts_items_without_id_as_its_sql_does(spark, frame, tmp_path):
+    import duckdb
+
+    import corpus_pipeline
+    texts = ["some with words here", "three more words with words and x", "clean", "only three more"]
+    docs = frame(list(enumerate(texts)))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame([(None, "with words"), (None, "three more"), (5, "x"), (6, "words here")], "item_id long, text string")
+    bench.coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.sql(decontaminate.ORACLE_SQL)
+    assert rows_of(decontaminate.query(spark, str(tmp_path)), *want.columns) == ordered(want.fetchall())
+    assert [r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_license_scan(frame, awkward):
     rows = [*awkward, (50, "intro " * 60 + license_scan.TEMPLATES["mit"]), (51, "See CC\nBY, and the General Public License. " * 3),
             (52, "all rights, all rights reserved" + " filler" * 300 + " cc by")]
