@@ -7,7 +7,9 @@ and needs no shuffle. Each block then answers all test windows at once: windows
 absent term are out; the rest start from the postings of their rarest term in that block and
 are intersected, offset-adjusted, with the lists of the next rarest terms, until nothing or a
 phrase match remains. With a slack, lists are intersected within that many words of their
-place in the phrase, which gives proximity matches.
+place in the phrase, which gives proximity matches. A proximity match is placed by the rarest
+of its terms in the block; its words, too, lie in one document. ``matches`` returns the exact
+and the proximity matches, and ``scan`` derives its counts from them.
 
 The test windows travel to the tasks; their texts are cut into parts of ``PART_BYTES``, so
 the size of what is broadcast is bounded, and each part has its own index of its own terms.
@@ -41,7 +43,9 @@ PART_BYTES = 4 << 20
 IS_WORD = np.zeros(256, bool)
 IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _INDEX = ("keys array<long>, ids array<long>, sizes array<int>, terms array<int>, counts array<int>, postings array<int>")
-_HITS = "key long, spans array<struct<start:int,end:int>>, items array<long>, near long"
+_MATCHES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("window", pa.int64()), ("exact", pa.bool_()),
+                               ("items", pa.list_(pa.int64()))]))
+_HITS = "key long, doc_id long, matches array<struct<start:int,end:int,window:long,exact:boolean,items:array<long>>>"
 
 
 def lowered_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,14 +61,17 @@ class Queries:
         data, starts = K.texts_of(pa.array(texts, pa.string()))
         prints, offsets = lowered_words(data, starts)
         self.terms, numbers = np.unique(prints, return_inverse=True)
-        by_length: dict[int, dict[tuple, list[int]]] = {}
+        all_prints = K.Fingerprints(prints)
+        by_length: dict[int, dict[tuple, tuple[int, list[int]]]] = {}
         for k, item in enumerate(items):
             words = numbers[offsets[k]:offsets[k + 1]].tolist()
             n = min(window, len(words))
-            for p in range(len(words) - n + 1 if n else 0):
-                by_length.setdefault(n, {}).setdefault(tuple(words[p:p + n]), []).append(item)
-        #: (length, windows x length term numbers, items of each window)
-        self.groups = [(n, np.array(list(w), np.int64), [list(set(x)) for x in w.values()]) for n, w in by_length.items()]
+            first = offsets[k] + np.arange(len(words) - n + 1 if n else 0)
+            for p, name in enumerate(K.signed(all_prints.of(first, first + n)).tolist()):
+                by_length.setdefault(n, {}).setdefault(tuple(words[p:p + n]), (name, []))[1].append(item)
+        #: (length, windows x length term numbers, fingerprint and items of each window)
+        self.groups = [(n, np.array(list(w), np.int64), [(name, sorted(set(x), key=lambda i: (i is not None, i)))
+                                                         for name, x in w.values()]) for n, w in by_length.items()]
 
 
 def _index(terms: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +116,7 @@ class Block:
         length = windows.shape[1]
         doc = np.searchsorted(self.offsets, np.maximum(start, 0), side="right") - 1
         inside = (start >= 0) & (start + length <= self.offsets[np.minimum(doc + 1, len(self.offsets) - 1)])
-        start, owner = start[inside], owner[inside]
+        start, owner, doc = start[inside], owner[inside], doc[inside]
         exact = np.ones(len(start), bool)
         for step in range(1, length):
             column = order[owner, step]
@@ -118,10 +125,13 @@ class Block:
             same = self.packed[at] == wanted
             near = same
             if slack:
-                low = np.minimum(np.searchsorted(self.packed, wanted - slack), len(self.packed) - 1)
-                near = (self.packed[low] >= wanted - slack) & (self.packed[low] <= wanted + slack)
+                term = wanted - start - column
+                least = np.maximum(wanted - slack, term + self.offsets[doc])
+                most = np.minimum(wanted + slack, term + self.offsets[doc + 1] - 1)
+                low = np.minimum(np.searchsorted(self.packed, least), len(self.packed) - 1)
+                near = (self.packed[low] >= least) & (self.packed[low] <= most)
             exact &= same
-            start, owner, exact = start[near], owner[near], exact[near]
+            start, owner, doc, exact = start[near], owner[near], doc[near], exact[near]
         return alive[owner], start, exact
 
 
@@ -134,25 +144,17 @@ def _matches(queries: Queries, slack: int):
                 if not len(postings):
                     continue
                 block = Block(sizes, terms, counts, postings, len(queries.terms))
-                spans: dict[int, set] = {}
-                items: dict[int, set] = {}
-                near: dict[int, int] = {}
+                found: dict[int, list] = {}
                 for length, windows, owners in queries.groups:
                     which, start, exact = block.search(windows, slack)
                     doc = np.searchsorted(block.offsets, start, side="right") - 1
                     for w, s, e, d in zip(which.tolist(), (start - block.offsets[doc]).tolist(), exact.tolist(), doc.tolist()):
-                        if e:
-                            spans.setdefault(d, set()).add((s, s + length))
-                            items.setdefault(d, set()).update(owners[w])
-                        else:
-                            near[d] = near.get(d, 0) + 1
-                if hit := sorted(spans.keys() | near.keys()):
+                        name, items = owners[w]
+                        found.setdefault(d, []).append({"start": s, "end": s + length, "window": name, "exact": e, "items": items})
+                if hit := sorted(found):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(keys[d]) for d in hit], pa.int64()),
-                         pa.array([[{"start": a, "end": b} for a, b in sorted(spans.get(d, ()))] for d in hit],
-                                  pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                         pa.array([list(items.get(d, ())) for d in hit], pa.list_(pa.int64())),
-                         pa.array([near.get(d, 0) for d in hit], pa.int64())], names=["key", "spans", "items", "near"])
+                        [pa.array([int(keys[d]) for d in hit], pa.int64()), batch.column("ids")[row].values.take(pa.array(hit)),
+                         pa.array([found[d] for d in hit], _MATCHES)], names=["key", "doc_id", "matches"])
 
     return task
 
@@ -173,15 +175,18 @@ def _score(share: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for n, spans, items, near in zip(*(batch.column(c).to_pylist() for c in ("n_words", "spans", "items", "near"))):
+            for n, matches in zip(*(batch.column(c).to_pylist() for c in ("n_words", "matches"))):
+                exact = [m for m in matches or () if m["exact"]]
+                near = len({(m["start"], m["end"], m["window"]) for m in matches or () if not m["exact"]})
                 inside = 0
                 last = 0
-                for a, b in sorted({(s["start"], s["end"]) for s in spans or ()}):
+                for a, b in sorted({(m["start"], m["end"]) for m in exact}):
                     inside += max(0, b - max(a, last))
                     last = max(last, b)
-                names = sorted({str(i) for i in items or () if i is not None})
-                out.append((n, inside, len(names) + (None in (items or ())), hashlib.sha256(",".join(names).encode()).hexdigest(),
-                            inside > 0 and share * inside >= n, near or 0))
+                items = {i for m in exact for i in m["items"]}
+                names = sorted(str(i) for i in items if i is not None)
+                out.append((n, inside, len(items), hashlib.sha256(",".join(names).encode()).hexdigest(),
+                            inside > 0 and share * inside >= n, near))
             cols = list(zip(*out)) if out else [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -191,10 +196,9 @@ def _score(share: int):
     return task
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK, share: int = SHARE, unnamed: bool = False) -> DataFrame:
-    """key (see ``store.row_key``), doc_id, n_words, n_hit, n_items, items_sha256, contaminated
-    and n_near (window places that match within the slack only) of every row."""
+def _search(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+            window: int, slack: int, unnamed: bool) -> tuple[DataFrame, DataFrame]:
+    """(key, doc_id, n_words) of every row, and (key, doc_id, matches) of every key with matches."""
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     base = hits = None
@@ -202,13 +206,30 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         queries = Queries(items, texts, window)
         terms = queries.terms
         index = stored(rows.mapInArrow(lambda batches, terms=terms: _index(terms, batches), _INDEX), "positional-index")
-        found = index.select("keys", "sizes", "terms", "counts", "postings").mapInArrow(_matches(queries, slack), _HITS)
+        found = index.select("keys", "ids", "sizes", "terms", "counts", "postings").mapInArrow(_matches(queries, slack), _HITS)
         hits = found if hits is None else hits.unionByName(found)
         if base is None:
             base = index.select(F.inline(F.arrays_zip("keys", "ids", "sizes"))).toDF("key", "doc_id", "n_words")
-    by_key = hits.groupBy("key").agg(F.flatten(F.collect_set("spans")).alias("spans"),
-                                     F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.max("near").alias("near"))
-    joined = base.join(by_key, "key", "left").select("key", "doc_id", F.col("n_words").cast("long").alias("n_words"), "spans", "items", "near")
+    # equal rows have equal lists in each part
+    by_key = hits.groupBy("key", "doc_id").agg(F.flatten(F.collect_set("matches")).alias("matches"))
+    return base, by_key
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+            item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK, unnamed: bool = False) -> DataFrame:
+    """key, doc_id, item, start, end (in words of the document) and exact of every match; a match
+    that is not exact is one within the slack. Equal rows share a key and its matches."""
+    _, by_key = _search(docs, benchmark, id_col, text_col, item_col, item_text_col, window, slack, unnamed)
+    one = by_key.select("key", "doc_id", F.inline("matches"))
+    return one.select("key", "doc_id", F.explode("items").alias("item"), "start", "end", "exact").distinct()
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+         item_text_col: str = "text", window: int = WINDOW, slack: int = SLACK, share: int = SHARE, unnamed: bool = False) -> DataFrame:
+    """key (see ``store.row_key``), doc_id, n_words, n_hit, n_items, items_sha256, contaminated
+    and n_near (distinct windows by place that match within the slack only) of every row."""
+    base, by_key = _search(docs, benchmark, id_col, text_col, item_col, item_text_col, window, slack, unnamed)
+    joined = base.join(by_key.drop("doc_id"), "key", "left").select("key", "doc_id", F.col("n_words").cast("long").alias("n_words"), "matches")
     return joined.mapInArrow(_score(share), "key long, doc_id long, n_words long, n_hit long, n_items long, "
                                             "items_sha256 string, contaminated boolean, n_near long")
 

@@ -121,6 +121,28 @@ def test_decontaminate_counts_items_without_id_as_its_sql_does(spark, frame, tmp
     assert [r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [2]
 
 
+def test_decontaminate_returns_its_matches_whatever_the_parts(spark, frame, monkeypatch):
+    items = [(k, " ".join(f"t{k}x{j}" for j in range(13))) for k in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    near = lambda t: " ".join(t.split()[:6] + ["odd"] + t.split()[6:])
+    docs = frame([(1, "lead " + " ".join(near(t) for _, t in items)), (2, "lead in " + items[3][1] + " end"), (2, "lead in " + items[3][1] + " end"),
+                  (3, "x")])
+    got, counts = [], []
+    for size in (decontaminate.PART_BYTES, 100):  # one part, and several
+        monkeypatch.setattr(decontaminate, "PART_BYTES", size)
+        found = decontaminate.matches(docs, bench).collect()
+        got.append(sorted((r.doc_id, r.item, r.start, r.end, r.exact) for r in found))
+        counts.append(sorted((r.doc_id, r.n_hit, r.n_items, r.n_near) for r in decontaminate.scan(docs, bench).collect()))
+    assert got[0] == got[1] and counts[0] == counts[1]
+    assert [g for g in got[0] if g[0] == 2] == [(2, 3, 2, 15, True)]
+    assert {(g[1], g[4]) for g in got[0] if g[0] == 1} == {(k, False) for k in range(12)}
+    assert all(e - s == 13 and abs(s - (1 + 14 * k)) <= 1 for d, k, s, e, _ in got[0] if d == 1)
+    assert counts[0] == [(1, 0, 0, len([g for g in got[0] if g[0] == 1])), (2, 13, 1, 0), (2, 13, 1, 0), (3, 0, 0, 0)]
+    # the two halves of a window in two documents are no match
+    split = [(1, " ".join(items[0][1].split()[:12]) + " y"), (2, items[0][1].split()[12])]
+    assert decontaminate.matches(frame(split).coalesce(1), bench).count() == 0
+
+
 def test_license_scan(frame, awkward):
     rows = [*awkward, (50, "intro " * 60 + license_scan.TEMPLATES["mit"]), (51, "See CC\nBY, and the General Public License. " * 3),
             (52, "all rights, all rights reserved" + " filler" * 300 + " cc by")]
