@@ -15,18 +15,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm import kernels as K
-from changelake.llm.store import row_key
+from changelake.llm.store import release, row_key, stored
 
 #: doc: order of the document (null id last); key: the row; at: first window start; windows:
 #: number of windows; lead: symbols from ``at`` to the piece.
 RUNS = "doc long, key long, at int, windows int, lead int, k1 long, k2 long"
-_PARTIAL = "k1 long, k2 long, n long, doc long, key long"
-#: Rows combined at a time before classes are shuffled.
-COMBINE_ROWS = 1 << 19
 NULL_ID = (1 << 63) - 1
 
 #: Symbols (64-bit codes) and symbol offsets of texts, from their bytes and byte offsets.
@@ -61,36 +58,38 @@ def runs(keyed_docs: DataFrame, symbols: Symbols, window: int, piece: int) -> Da
     return keyed_docs.mapInArrow(task, RUNS)
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts equal (k1, k2) rows of a task before they are shuffled, so a stretch that a
-    third of the corpus shares arrives as a few rows for each task."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= COMBINE_ROWS:
-            yield from _classes(held)
-            held, rows = [], 0
-    if rows:
-        yield from _classes(held)
-
-
-def _classes(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    t = pa.Table.from_batches(held).group_by(["k1", "k2"]).aggregate([("doc", "count"), ("doc", "min"), ("key", "min")])
-    t = t.select(["k1", "k2", "doc_count", "doc_min", "key_min"]).rename_columns(["k1", "k2", "n", "doc", "key"])
-    yield from t.combine_chunks().to_batches()
+def candidates(run_rows: DataFrame, name: str) -> DataFrame:
+    """Runs whose piece repeats, with ``n`` (runs with the same stretch), ``first_doc`` and
+    ``first_key`` (least of them) and ``mixed`` (the piece has other surroundings too).
+
+    Every group is combined before its shuffle and joined back by a merge join. What is joined
+    back is stored first: AQE splits a large partition of a join only where the join reads
+    plain shuffles, not the end of an aggregate. ``run_rows`` is a stored table and is released."""
+    pieces = (run_rows.groupBy("k1").agg(F.count("*").alias("runs"), (F.min("k2") < F.max("k2")).alias("mixed"))
+              .where("runs > 1").drop("runs"))
+    pieces = stored(pieces, f"{name}-pieces")
+    again = stored(run_rows.join(pieces.hint("merge"), "k1"), f"{name}-again")
+    release(run_rows, pieces)
+    classes = again.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("doc").alias("first_doc"), F.min("key").alias("first_key"))
+    classes = stored(classes, f"{name}-classes")
+    found = stored(again.join(classes.hint("merge"), ["k1", "k2"]), f"{name}-candidates")
+    release(again, classes)
+    return found
+
+
+def one_of_key(keyed_docs: DataFrame) -> DataFrame:
+    """``keyed`` rows without those whose key came before in their task."""
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for key in batch.column(1).to_pylist():
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
 
-def candidates(run_rows: DataFrame) -> DataFrame:
-    """Runs whose piece repeats, with ``n`` (runs with the same stretch), ``first_doc`` and
-    ``first_key`` (least of them) and ``mixed`` (the piece has other surroundings too)."""
-    classes = (run_rows.select("k1", "k2", "doc", "key").mapInArrow(_combine, _PARTIAL)
-               .repartition("k1").groupBy("k1", "k2")
-               .agg(F.sum("n").alias("n"), F.min("doc").alias("first_doc"), F.min("key").alias("first_key")))
-    classes = (classes.withColumn("mixed", F.count("*").over(Window.partitionBy("k1")) > 1)
-               .where("mixed or n > 1"))
-    return run_rows.join(classes, ["k1", "k2"])
+    return keyed_docs.mapInArrow(task, "doc long, key long, text string")
 
 
 def spans_by_key(spans: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm import kernels as K
-from changelake.llm.repeats import NULL_ID, candidates, keyed, runs, span_lists, spans_by_key
-from changelake.llm.store import release, stored, table
+from changelake.llm.repeats import NULL_ID, candidates, keyed, one_of_key, runs, span_lists, spans_by_key
+from changelake.llm.store import stored, table
 
 WINDOW = 50
 PIECE = 13
@@ -87,13 +87,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(key, start, end) in words: stretches whose windows also start in a document of smaller id."""
     rows = keyed(docs, id_col, text_col)
     base = stored(runs(rows, _symbols, window, piece), "word-runs")
-    found = stored(candidates(base), "word-candidates")
-    release(base)
+    found = candidates(base, "word")
     whole = (found.where("first_doc < doc")
              .select("key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + window).alias("end")))
-    open_runs = (found.where("mixed and doc = first_doc").groupBy("key")
+    open_runs = (found.where("mixed and doc = first_doc").select("key", "at", "windows", "k1").distinct().groupBy("key")
                  .agg(F.collect_list(F.struct("at", "windows", "k1")).alias("runs")))
-    windows = stored(rows.join(open_runs, "key").select("doc", "key", "text", "runs")
+    windows = stored(one_of_key(rows).join(open_runs, "key").select("doc", "key", "text", "runs")
                      .mapInArrow(_windows(window), "k1 long, w long, doc long, key long, at int"), "word-windows")
     least = windows.groupBy("k1", "w").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
     single = (windows.join(least, ["k1", "w"]).where("first_doc < doc")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changelake.llm import kernels as K
-from changelake.llm.repeats import NULL_ID, candidates, keyed, runs, span_lists, spans_by_key
+from changelake.llm.repeats import NULL_ID, candidates, keyed, one_of_key, runs, span_lists, spans_by_key
 from changelake.llm.store import release, stored, table
 
 LENGTH = 200
@@ -94,13 +94,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(key, start, end) in bytes: stretches covered by strings that start elsewhere too."""
     rows = keyed(docs, id_col, text_col)
     base = stored(runs(rows, _symbols, length, piece), "byte-runs")
-    found = stored(candidates(base), "byte-candidates")
-    release(base)
+    found = candidates(base, "byte")
     whole = (found.where("n > 1")
              .select("key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + length).alias("end")))
-    open_runs = (found.where("mixed and key = first_key").withColumn("target", F.col("n") == 1).groupBy("key")
+    open_runs = (found.where("mixed and key = first_key").withColumn("target", F.col("n") == 1)
+                 .select("key", "at", "windows", "lead", "target", "k1").distinct().groupBy("key")
                  .agg(F.collect_list(F.struct("at", "windows", "lead", "target", "k1")).alias("runs")))
-    blocks = stored(rows.join(open_runs, "key").select("key", "text", "runs")
+    blocks = stored(one_of_key(rows).join(open_runs, "key").select("key", "text", "runs")
                     .mapInArrow(_blocks(length, block), _BLOCKS), "byte-blocks")
     common = blocks.groupBy(*_SAME).agg(F.count("*").alias("n"), F.max("target").alias("any_target")).where("n > 1 and any_target")
     shared = stored(blocks.join(common.select(*_SAME), _SAME), "byte-shared")

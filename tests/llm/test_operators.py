@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from changelake.llm import (bpe, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules,
-                            substring_dedup, suffix_dedup, toxicity)
+                            repeats, substring_dedup, suffix_dedup, toxicity)
 
 
 def rows_of(df, *cols):
@@ -61,6 +61,43 @@ def test_substring_dedup(frame, awkward):
     assert substring_dedup.dedup(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("module, name, check", [(suffix_dedup, "byte-blocks", brute.suffix_dedup),
+                                                 (substring_dedup, "word-windows", brute.substring_dedup)])
+def test_repeated_rows_add_no_work_per_pair(frame, monkeypatch, module, name, check):
+    rnd = random.Random(7)
+    words = [f"w{rnd.randint(0, 10 ** 6)}" for _ in range(300)]
+    sizes = {}
+    monkeypatch.setattr(module, "release", lambda *frames: None, raising=False)
+    monkeypatch.setattr(module, "stored", lambda df, n, write=module.stored: sizes.setdefault(n, write(df, n)))
+    counts = []
+    for copies in (2, 12):
+        sizes.clear()
+        rows = [(1, " ".join(words))] * copies + [(2, "other start " + " ".join(words[100:190]) + " other end")]
+        got = rows_of(module.dedup(frame(rows).coalesce(1)), "doc_id", "n_removed", "kept_sha256")
+        want = [(r[0], r[2], r[-1]) for r in check(rows)]
+        assert got == ordered(want)
+        counts.append(sizes[name].count())
+    assert counts[0] == counts[1] > 0
+
+
+def test_repeat_classes_use_no_window(spark, monkeypatch):
+    plans = []
+    write = repeats.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    monkeypatch.setattr(repeats, "release", lambda *frames: None)
+    rows = spark.createDataFrame([(d, d, 0, 1, 0, 5, d % 3) for d in range(6)] + [(9, 9, 0, 1, 0, 6, 1), (8, 8, 0, 1, 0, 7, 1), (7, 7, 0, 1, 0, 7, 1)], repeats.RUNS)
+    got = sorted((r.doc, r.n, r.first_doc, r.first_key, r.mixed) for r in repeats.candidates(rows, "byte").collect())
+    assert got == [(d, 2, d % 3, d % 3, True) for d in range(6)] + [(7, 2, 7, 7, False), (8, 2, 7, 7, False)]
+    assert plans and not any("Window" in p for p in plans)
+    # AQE splits a join that reads plain shuffles only
+    assert not any("Join" in p and "Aggregate" in p for p in plans)
+
+
 def test_minhash_dedup(frame, awkward):
     rnd = random.Random(5)
     base = [f"w{rnd.randint(0, 400)}" for _ in range(150)]
