@@ -27,11 +27,12 @@ def best_path(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.nda
     labels) less ``penalty`` for each change of label. The lower label wins ties."""
     layout = Layout(offsets)
     n, k = scores.shape
-    labels = np.zeros(n, np.uint8)
+    kind = np.min_scalar_type(max(k - 1, 0))
+    labels = np.zeros(n, kind)
     if not n:
         return labels
     stay = np.zeros((n, k), bool)
-    other = np.zeros(n, np.uint8)
+    other = np.zeros(n, kind)
     value = np.zeros((len(layout.first), k), np.float32)
     for t in range(layout.steps):
         at = layout.at(t)

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm import brute
-from changelake.llm import (bpe, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules,
+from changelake.llm import (bpe, chains, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules,
                             repeats, substring_dedup, suffix_dedup, toxicity)
 
 
@@ -274,6 +274,12 @@ def test_language_id(frame, awkward):
     assert {r.lang_pred for r in language_id.detect(frame(awkward), language_id.train(frame([])), F.col("doc_id")).collect()} == {"und"}
 
 
+def test_viterbi_labels_do_not_wrap():
+    scores = np.zeros((3, 300), np.float32)
+    scores[0, 10], scores[1:, 299] = 5, 5
+    assert chains.best_path(scores, np.array([0, 3]), 1.0).tolist() == [10, 299, 299]
+
+
 def test_toxicity(spark, frame, awkward):
     rnd = random.Random(2)
     plain = ["the", "house", "garden", "walk", "river", "stone", "cloud", "table"]
