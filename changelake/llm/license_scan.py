@@ -1,7 +1,7 @@
 """Operator 7, licence scans by an exact set-similarity join.
 
-Every text is cut into blocks of ``BLOCK`` words that overlap by half, so a stretch as long as
-any template lies whole in some block. A block matches a template if it holds at least
+Every text is cut into blocks of ``BLOCK`` words, or twice the words of a longer template, that
+overlap by half, so a stretch as long as the template lies whole in some block. A block matches a template if it holds at least
 ``CONTAINMENT`` of the template's distinct words. The join is exact and filtered:
 
 - prefix: words are ordered by how often they occur in all documents, the rarest first. A
@@ -34,7 +34,7 @@ from changelake.llm.decontaminate import lowered_words
 from changelake.llm.store import table
 
 CONTAINMENT = 0.8
-#: Words of a block; templates have at most half as many words.
+#: Words of a block, for templates of at most half as many words.
 BLOCK = 128
 #: The base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -154,7 +154,8 @@ def _scan(t: Templates, block: int):
                 labels = [set() for _ in range(i, j)]
                 score = np.zeros(j - i)
                 for k, label in enumerate(t.labels):
-                    begin, share = _blocks_holding(number, offsets, t, k, block)
+                    size = max(block, 2 * len(t.numbers[k]))
+                    begin, share = _blocks_holding(number, offsets, t, k, size)
                     text = np.searchsorted(offsets, begin, side="right") - 1
                     if not t.is_phrase[k]:
                         np.maximum.at(score, text, share)
@@ -163,7 +164,7 @@ def _scan(t: Templates, block: int):
                         continue
                     words = t.numbers[k]
                     for b, d in zip(begin.tolist(), text.tolist()):
-                        part = number[b:min(b + block, offsets[d + 1])]
+                        part = number[b:min(b + size, offsets[d + 1])]
                         at = np.arange(len(part) - len(words) + 1)
                         for c, w in enumerate(words):
                             at = at[part[at + c] == w]

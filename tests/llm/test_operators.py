@@ -189,6 +189,13 @@ def test_license_scan(frame, awkward):
     assert license_scan.scan(frame([])).count() == 0
 
 
+def test_license_scan_finds_long_templates_at_any_place(frame):
+    long = {"whole": " ".join(f"term{k}" for k in range(200)), "half": " ".join(f"part{k}" for k in range(100))}
+    rows = [(100 * (name == "half") + k, "intro " * (k * 13) + text + " outro" * 90) for name, text in long.items() for k in range(20)]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(frame(rows), templates=long).collect()}
+    assert got == {d: ("half" if d >= 100 else "whole", 1.0) for d, _ in rows}
+
+
 def test_bpe_equals_the_library(frame, awkward):
     rnd = random.Random(1)
     letters = ["a", "e", "s", "th", "ing", "é", "ß", " ", "Σ", "1", "'s", "!", " ", "İ", "한", "😀", "<|endoftext|>", "é", "\x1c"]
