@@ -15,12 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back. Later stages start from
     these files, so a lost executor costs a re-read and no recomputation."""
     spark = df.sparkSession
     path = scratch_dir(spark, "llm", name, fresh=True)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

@@ -1,0 +1,184 @@
+"""Sharding, ranked search and hard negatives against brute force, on awkward rows and empty tables."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from changelake.llm import hard_negatives, ranked_search, sharding
+from tests.llm.test_operators import ordered, rows_of
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+# ---- sharding
+
+
+def check_shards(rows, docs, shards):
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == Counter(
+        (d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in docs)
+    numbers = defaultdict(list)
+    for r in rows:
+        assert 0 <= r.shard < shards
+        numbers[r.shard].append(r.slot)
+    assert all(sorted(n) == list(range(len(n))) for n in numbers.values())
+
+
+def loads(rows, shards):
+    out = [0] * shards
+    for r in rows:
+        out[r.shard] += r["size"]
+    return out
+
+
+def test_sharding(spark, frame, awkward, tmp_path):
+    rnd = random.Random(3)
+    docs = [*awkward, *((d, "word " * rnd.randint(1, 300)) for d in range(100, 1100))]
+    root = str(tmp_path / "map")
+    first = sharding.shard(frame(docs), root, 8).collect()
+    check_shards(first, docs, 8)
+    assert max(loads(first, 8)) - min(loads(first, 8)) <= max(r["size"] for r in first)
+    grown = sharding.shard(frame(docs), root, 9).collect()
+    check_shards(grown, docs, 9)
+    assert sharding.versions(spark, root) == [1, 2]
+    old, new = ({(r.doc_id, r.text_crc32): r.shard for r in rows} for rows in (first, grown))
+    moved = [k for k in old if old[k] != new[k]]
+    assert moved and sum(new[k] == 8 for k in moved) >= 0.95 * len(moved)
+    assert len(moved) <= 2 * len(old) / 9
+    again = {r.slot: r.shards for r in sharding.load(spark, root, 1).collect()}
+    assert {again[r.virtual_slot][0][0] for r in first if r.shard == 3 and len(again[r.virtual_slot]) == 1} == {3}
+    with pytest.raises(FileNotFoundError):
+        sharding.load(spark, root, 7)
+    shrunk = sharding.shard(frame(docs), root, 5).collect()
+    check_shards(shrunk, docs, 5)
+    assert sharding.shard(frame([]), str(tmp_path / "none")).count() == 0
+
+
+def test_sharding_deals_out_a_hot_id(frame, tmp_path):
+    docs = [(None, "same text")] * 900 + [(-1, f"text {k}") for k in range(900)] + [(d, "x" * 20) for d in range(600)]
+    rows = sharding.shard(frame(docs), str(tmp_path / "map"), 4).collect()
+    check_shards(rows, docs, 4)
+    assert max(loads(rows, 4)) <= 1.1 * min(loads(rows, 4))
+
+
+def test_rebalancing_moves_little():
+    rnd = random.Random(1)
+    sizes = {(s, 0, 0): rnd.randint(1, 1000) for s in range(4000)}
+    now = sharding.build(sizes, 40)
+    total = sum(sizes.values())
+    after = sharding.rebalance(sharding.by_slot(now), sizes, 41)
+    moved = sum(n for u, n in sizes.items() if now[u] != after[u])
+    assert moved <= 1.1 * total / 41
+    load = Counter()
+    for u, n in sizes.items():
+        load[after[u]] += n
+    assert max(load.values()) <= 1.01 * total / 41
+    assert sharding.rebalance(sharding.by_slot(now), sizes, 40) == now  # already near equal: nothing moves
+
+
+# ---- ranked search
+
+
+def lowered_terms(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_search(docs, items, top=20):
+    counts = [Counter(lowered_terms(t)) for _, t in docs]
+    sizes = [sum(c.values()) for c in counts]
+    n, total = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for c in counts for t in c)
+    asked = defaultdict(Counter)
+    for i, t in set(items):
+        asked[i].update(lowered_terms(t))
+    out = []
+    for i, terms in asked.items():
+        scored = []
+        for (d, _), c, size in zip(docs, counts, sizes):
+            m = 75 + (25 * size * n) // max(total, 1)
+            score = sum(times * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((1_000_000_000 * c[t]) // (1000 * c[t] + 12 * m))
+                        for t, times in terms.items() if t in c)
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        out.extend((i, rank, d, -s) for rank, (s, _, _, d) in enumerate(sorted(scored)[:top], 1))
+    return out
+
+
+@pytest.fixture(scope="module")
+def questions(spark):
+    def make(items):
+        return spark.createDataFrame([(i, t, "clash", 1) for i, t in items], "item_id long, text string, doc_id string, score long")
+
+    return make
+
+
+def test_ranked_search(frame, awkward, questions, monkeypatch):
+    rnd = random.Random(9)
+    docs = [*awkward, *((d, " ".join(f"W{min(rnd.randint(0, 200), rnd.randint(0, 200))}" for _ in range(rnd.randint(0, 60)))) for d in range(100, 700))]
+    items = [(k, " ".join(f"w{rnd.randint(0, 220)}" for _ in range(rnd.randint(1, 30)))) for k in range(30)]
+    items += [(50, "word1 and then, word2! AND"), (50, "word1 and then, word2! AND"), (50, "tok5"), (51, None), (52, ""), (53, "absent"),
+              (None, "word3 w7 w7"), (54, "é中文 текст"), (55, "w3")]
+    want = ordered(brute_search(docs, items))
+    cols = ("item_id", "rank", "doc_id", "score")
+    assert rows_of(ranked_search.search(frame(docs), questions(items)), *cols) == want
+    monkeypatch.setattr(ranked_search, "BLOCK_DOCS", 64)  # many blocks, several bundles, all terms indexed
+    assert rows_of(ranked_search.search(frame(docs), questions(items), most_terms=0, bundle=8), *cols) == want
+    assert ranked_search.search(frame([]), questions(items)).count() == 0
+    assert ranked_search.search(frame(docs), questions([])).count() == 0
+
+
+def test_search_keeps_all_ties(frame, questions):
+    docs = [(d, "alpha beta") for d in range(500, 0, -1)] + [(d, "gamma") for d in range(1000, 1400)]
+    rows = ranked_search.search(frame(docs), questions([(1, "alpha"), (2, "alpha beta gamma")])).collect()
+    assert sorted((r.rank, r.doc_id) for r in rows if r.item_id == 1) == [(k, k) for k in range(1, 21)]
+    assert sorted((r.item_id, r["rank"], r.doc_id, r.score) for r in rows) == ordered(brute_search(docs, [(1, "alpha"), (2, "alpha beta gamma")]))
+
+
+# ---- hard negatives
+
+
+def brute_negatives(rows, every=100, floor=80):
+    use = [(i, lab, [math.floor(256 * x) for x in v]) for i, lab, v in rows
+           if i is not None and lab is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    use = {(i, (lab + 1) % 10 if i % 7 == 0 else lab, tuple(v)) for i, lab, v in use}
+    out = set()
+    for a, lab, v in (r for r in use if r[0] % every == 0):
+        scored = sorted({(-sum(x * y for x, y in zip(v, w)), i, k == lab) for i, k, w in use if i != a and len(w) == len(v)})
+        for down, p, _ in [s for s in scored if s[2]][:5]:
+            fits = [s for s in scored if not s[2] and floor * -down <= 100 * -s[0] <= 100 * -down][:5]
+            out.update((a, p, rank, i, -down, -n) for rank, (n, i, _) in enumerate(fits, 1))
+    return ordered(out)
+
+
+COLS = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+SCHEMA = "vec_id long, label int, embedding array<float>, score long, slot string"
+
+
+def vectors(spark, rows):
+    return hard_negatives.relabelled(hard_negatives.quantised(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)))
+
+
+def test_hard_negatives(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(0, 3), [rnd.gauss(0.2, 0.4) for _ in range(8)]) for i in range(900)]
+    rows += [(i, 1, [0.5] * 8) for i in range(900, 960)]  # one vector many times: ties
+    rows += [(i, 2, [0.5] * 8) for i in range(960, 1001)]
+    rows += [rows[5]] * 3 + [(100, 1, rows[100][2])]
+    rows += [(2000, None, [0.1] * 8), (2100, 1, None), (2200, 1, [None] * 8), (2300, 1, [float("nan")] * 8), (2400, 1, [float("inf")] * 8),
+             (None, 1, [0.9] * 8), (2500, 1, []), (2501, 2, []), (2600, 1, [0.5, 0.5]), (2601, 1, [0.5, 0.4]), (2602, 3, [0.5, 0.4]), (2700, 4, [-0.4] * 8)]
+    want = brute_negatives([(i, lab, v and [None if x is None else float(__import__("numpy").float32(x)) for x in v]) for i, lab, v in rows])
+    assert len(want) > 100
+    assert rows_of(hard_negatives.mine(vectors(spark, rows)), *COLS) == want
+    assert rows_of(hard_negatives.mine(vectors(spark, rows), anchor_block=3, row_block=100), *COLS) == want
+    assert hard_negatives.mine(vectors(spark, [])).count() == 0
+    assert hard_negatives.mine(vectors(spark, [(100, 1, [0.5])])).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(0, 1, [1e5, 3.0]), (1, 1, [9e4, 1.0]), (2, 3, [8e4, 2.0]), (3, 2, [7.5e4, 0.0]), (4, 1, [3e38, 0.0])]
+    got = hard_negatives.mine(hard_negatives.quantised(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA))).collect()
+    assert {(r.positive_id, r.negative_id) for r in got} >= {(1, 2), (1, 3)}
+    assert all(r.positive_score >= r.negative_score for r in got)
