@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
-def envelope_schema(row_schema: StructType, key: str) -> StructType:
-    """Schema of one envelope level for rows of ``row_schema``. Of the image before a change
-    only the key is ever used."""
+def envelope_schema(row_schema: StructType, key: str | None) -> StructType:
+    """Schema of one envelope level for rows of ``row_schema``. Current state needs only the
+    ``key`` of the image before a change; with ``key`` None that image is read in full."""
     return StructType([
         StructField("op", StringType()),
         StructField("ts_ms", LongType()),
-        StructField("before", StructType([row_schema[key]])),
+        StructField("before", row_schema if key is None else StructType([row_schema[key]])),
         StructField("after", row_schema),
     ])
 
 
-def wire_schema(row_schema: StructType, key: str) -> StructType:
+def wire_schema(row_schema: StructType, key: str | None) -> StructType:
     """Both encodings at once: the top-level fields and the same under ``payload``."""
     level = envelope_schema(row_schema, key)
     return StructType(list(level.fields) + [StructField("payload", level),
@@ -34,7 +34,7 @@ def wire_schema(row_schema: StructType, key: str) -> StructType:
 CORRUPT = "_corrupt_record"
 
 
-def parse_wire(value: Column | str, row_schema: StructType, key: str) -> Column:
+def parse_wire(value: Column | str, row_schema: StructType, key: str | None) -> Column:
     """The single ``from_json`` of a record (both encodings and the corrupt-record text)."""
     v = F.col(value) if isinstance(value, str) else value
     return F.from_json(v, wire_schema(row_schema, key),

@@ -17,7 +17,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from changelake.functions.envelope import change_key, envelope_fields, parse_wire
 from changelake.schemas import OPERATIONS, TableSpec
@@ -99,6 +99,36 @@ def parse_changes(records: DataFrame, spec: TableSpec, routed: bool = False,
     return out
 
 
+def parse_images(records: DataFrame, specs: Iterable[TableSpec], columns: Sequence[str] = ()) -> DataFrame:
+    """Every table's records in one pass, with both images: ``table_name, operation``, the event
+    order, ``before``, ``after`` and ``reject_reason``.
+
+    ``columns``: the row columns wanted beside the keys, of whichever table has them. The images
+    share one schema, so a column that two tables have must have one type. Records of other
+    topics are left out (``unrouted`` has them).
+    """
+    specs = list(specs)
+    fields: dict[str, StructField] = {}
+    for spec in specs:
+        for f in spec.row_schema.fields:
+            if f.name == spec.key or f.name in columns:
+                if fields.setdefault(f.name, f).dataType != f.dataType:
+                    raise ValueError(f"column {f.name} has another type in {spec.name}")
+    topics = {s.topic(): s for s in specs}
+    # as in parse_changes, the parse leaves through a one-element explode
+    doc = records.filter(F.col("topic").isin(list(topics))).select(
+        "topic", "partition", "offset", F.col("timestamp").alias("kafka_timestamp"), "value",
+        F.explode(F.array(parse_wire("value", StructType(list(fields.values())), None))).alias("_doc"))
+    staged = doc.select("*", envelope_fields(F.col("_doc")).alias("_env")).drop("_doc")
+    e = F.col("_env")
+    mine = lambda s: F.col("topic") == s.topic()
+    key = F.coalesce(*[F.when(mine(s), change_key(e, s.key).cast("string")) for s in specs])
+    return staged.select(
+        F.coalesce(*[F.when(mine(s), F.lit(s.name)) for s in specs]).alias("table_name"),
+        e["op"].alias("operation"), e["ts_ms"].alias("event_timestamp"), "kafka_timestamp", "partition", "offset",
+        e["before"].alias("before"), e["after"].alias("after"), _reason(e, F.col("value"), key).alias("reject_reason"))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     """Rows that can be applied to state, without the helper columns."""
     keep = [c for c in parsed.columns if c not in ("reject_reason", "topic", "key", "value")]

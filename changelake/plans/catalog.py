@@ -20,7 +20,7 @@ from changelake.session import scratch_dir
 from changelake.sources.readers import landing_stream
 from changelake.sources.writers import materialize_all
 from changelake.streaming.jobs import start_archive, start_normalise
-from changelake.streaming.state_stream import IncrementalState
+from changelake.streaming.running import KeyedState
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -372,15 +372,10 @@ def _landed(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
 
 def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repository log, each record twice plus stale updates, in shuffled
-    micro-batches, folded into state; must equal the batch current state."""
+    micro-batches, folded into the state store; must equal the batch current state."""
     recs = td.late_and_repeated(td.repository_change_records(spark, sf_dir))
-    stream = _landed(spark, recs, "repositories")
-    root = scratch_dir(spark, "stream", fresh=True)
-    st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
-    q = start_normalise(stream, [REPOSITORIES],
-                        os.path.join(root, "log"), os.path.join(root, "checkpoint"),
-                        states={"repositories": st}, available_now=True)
-    q.awaitTermination()
+    st = KeyedState(spark, REPOSITORIES, scratch_dir(spark, "stream", fresh=True), partitions=spark.sparkContext.defaultParallelism)
+    st.start(envelope.normalise(_landed(spark, recs, "repositories"), REPOSITORIES), available_now=True).awaitTermination()
     return st.current().select(*STATE_COLUMNS)
 
 

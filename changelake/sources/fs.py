@@ -28,6 +28,19 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Move a finished folder to where readers look, in one rename. A folder that is already
+    there stays: the same work was published before."""
+    src, fs = _path(spark, staging)
+    dst, _ = _path(spark, path)
+    if fs.exists(dst):
+        fs.delete(src, True)
+        return
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {staging} to {path}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove ``path`` recursively if it exists."""
     p, fs = _path(spark, path)
