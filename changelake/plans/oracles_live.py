@@ -9,6 +9,7 @@ from changelake.plans.oracles import (
     LANGUAGE_DISTRIBUTION,
     PULL_REQUEST_ANALYTICS,
     _FINAL_SELECT,
+    _ISO,
     _PRIO,
     _REPOS,
 )
@@ -46,10 +47,88 @@ UNION ALL SELECT 'issues', 'd', count(*) FROM orders WHERE o_orderstatus = 'P' H
 UNION ALL SELECT 'pull_requests', 'c', count(*) FROM ({_PULLS})
 UNION ALL SELECT 'pull_requests', 'u', count(*) FROM ({_PULLS}) WHERE status = 'F' HAVING count(*) > 0"""
 
+# ---- raw files (see plans.raw_files); k is the customer number of the parent
+_NAMED = """
+named AS (
+  SELECT c_custkey AS k,
+         CASE WHEN c_custkey % 80 = 40 THEN 'pair_' || ((c_custkey + 40) // 80) || '/x'
+              WHEN c_custkey % 80 = 0 THEN 'pair/' || ((c_custkey + 40) // 80) || '_x'
+              ELSE 'owner_' || c_nationkey || '/customer_' || c_custkey END AS full_name
+  FROM customer)"""
+#: Whether k's file name is that of two listed repositories.
+_AMBIGUOUS = "(k % 40 = 0 AND EXISTS (FROM customer WHERE c_custkey = CASE WHEN k % 80 = 40 THEN k + 40 ELSE k - 40 END))"
+_DOCS = "WITH" + _NAMED + """,
+docs AS (
+  SELECT o.*, k, full_name, o_orderkey % 2 = 0 AS even FROM orders o JOIN named ON k = o_custkey % 150 + 1
+  WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')),
+landed AS (
+  SELECT *, 0 AS fetched, false AS again FROM docs WHERE even AND k % 50 <> 7
+  UNION ALL SELECT *, 1, even FROM docs WHERE NOT even OR o_orderstatus = 'F'),
+flat AS (SELECT * FROM landed WHERE NOT """ + _AMBIGUOUS + """)"""
+_LATER = "'2030-01-01T00:00:00Z'"
+_ISSUE_COLUMNS = """
+       CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
+       CASE WHEN o_orderstatus <> 'P' THEN 'user_' || CAST(o_custkey AS VARCHAR) END AS author,
+       CASE WHEN {late} THEN """ + _LATER + """ ELSE """ + _ISO.format(c="o_orderdate") + """ END AS created_at,
+       CASE WHEN again THEN """ + _LATER + """ ELSE """ + _ISO.format(c="o_orderdate") + """ END AS updated_at,
+       CASE WHEN o_orderstatus = 'F' THEN """ + _ISO.format(c="o_orderdate") + """ END AS closed_at,
+       CAST(""" + _PRIO + """ AS BIGINT) AS comments,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderstatus || '|' || o_orderpriority ELSE '' END AS labels,
+       'https://example.org/issues/' || CAST(o_orderkey AS VARCHAR) AS url"""
+_TITLE = "'order ' || CAST(o_orderkey AS VARCHAR) || CASE WHEN again THEN ' again' ELSE '' END AS title"
+
+STREAM_RAW_ISSUES = _DOCS + f"""
+SELECT o_orderkey AS issue_id, o_orderkey % 1000 AS issue_number,
+       CASE WHEN k % 60 = 41 OR (k % 60 = 11 AND fetched = 0) THEN replace(full_name, '/', '_') ELSE full_name END AS repository,
+       {_TITLE}, {_ISSUE_COLUMNS.format(late="again")}
+FROM flat"""
+
+# the last fetch of a row counts, but a row that the first load took keeps its creation time
+RAW_LOAD_ISSUES = _DOCS + f""",
+newest AS (SELECT * FROM flat WHERE k % 60 <> 41 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY fetched DESC) = 1)
+SELECT o_orderkey AS issue_id, o_orderkey % 1000 AS issue_number, k AS repository_id, {_TITLE},
+       {_ISSUE_COLUMNS.format(late="again AND (k % 50 = 7 OR k % 60 = 11)")}
+FROM newest"""
+
+_PULLS_OF = """
+pulls AS (SELECT l.*, k FROM lineitem l JOIN named ON k = l_suppkey
+          QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey DESC, l_shipdate DESC) = 1)"""
+_PULL_DOCS = "WITH" + _NAMED + "," + _PULLS_OF
+RAW_LOAD_PULL_REQUESTS = _PULL_DOCS + """
+SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS pull_request_id, CAST(l_linenumber AS BIGINT) AS number,
+       k AS repository_id, 'line ' || CAST(l_orderkey AS VARCHAR) AS title, CAST(l_linenumber AS BIGINT) AS commits, CAST(0 AS BIGINT) AS deletions,
+       """ + _ISO.format(c="l_shipdate") + """ AS updated_at, 'https://example.org/pulls/' || CAST(l_orderkey AS VARCHAR) AS url
+FROM pulls WHERE NOT """ + _AMBIGUOUS + """ AND k % 60 <> 41"""
+
+LOAD_REJECTS = _DOCS + "," + _PULLS_OF + """,
+rejects AS (
+  SELECT 'raw' AS stage, 'issues' AS table_name, 'ambiguous_parent' AS reject_reason FROM (
+    SELECT k, even, o_orderstatus, 0 AS fetched FROM (SELECT o.*, k, o_orderkey % 2 = 0 AS even FROM orders o JOIN named ON k = o_custkey % 150 + 1)
+      WHERE even AND k % 50 <> 7
+    UNION ALL SELECT k, even, o_orderstatus, 1 FROM (SELECT o.*, k, o_orderkey % 2 = 0 AS even FROM orders o JOIN named ON k = o_custkey % 150 + 1)
+      WHERE NOT even OR o_orderstatus = 'F') WHERE """ + _AMBIGUOUS + """
+  UNION ALL SELECT 'raw', 'issues', 'malformed_page' FROM (SELECT DISTINCT k FROM orders JOIN named ON k = o_custkey % 150 + 1
+                                                           WHERE o_orderkey % 2 = 0 AND k % 50 = 7)
+  UNION ALL SELECT 'raw', 'pull_requests', 'ambiguous_parent' FROM pulls WHERE """ + _AMBIGUOUS + """
+  UNION ALL SELECT 'load', 'issues', 'no_parent' FROM (SELECT DISTINCT o_orderkey FROM flat WHERE k % 60 = 41)
+  UNION ALL SELECT 'load', 'pull_requests', 'no_parent' FROM pulls WHERE k % 60 = 41)
+SELECT stage, table_name, reject_reason, count(*) AS rejected FROM rejects GROUP BY ALL"""
+
+LOAD_PENDING = """
+SELECT 'e' || CAST(event_id AS VARCHAR) AS commit_sha, CAST(user_id AS BIGINT) AS repository_id,
+       'user_' || CAST(user_id AS VARCHAR) AS author, 'user_' || CAST(user_id AS VARCHAR) || '@example.org' AS author_email,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') AS commit_date, event_type AS message
+FROM events JOIN customer ON c_custkey = user_id"""
+
 LIVE_ORACLES: dict[str, str] = {
     "stream_repository_analytics": STREAM_REPOSITORY_ANALYTICS,
     "stream_cdc_statistics": CDC_STATISTICS,
     "stream_event_analytics": STREAM_EVENT_ANALYTICS,
     "stream_language_distribution": LANGUAGE_DISTRIBUTION,
     "cdc_statistics_redelivered": CDC_STATISTICS_REDELIVERED,
+    "stream_raw_issues": STREAM_RAW_ISSUES,
+    "raw_load_issues": RAW_LOAD_ISSUES,
+    "raw_load_pull_requests": RAW_LOAD_PULL_REQUESTS,
+    "load_rejects": LOAD_REJECTS,
+    "load_pending": LOAD_PENDING,
 }

@@ -8,11 +8,13 @@
     events   per-table logs -> event-level analytics Parquet     (A1-A6, K2)
     final    current state -> repository analytics Parquet      (S4, F1-F8, K2)
     quality  current state (+ expectations) -> check rows       (Q1-Q5)
-    raw      raw JSON documents -> flat records per table       (S5, S6, T1-T11, K4)
+    raw      raw JSON documents -> flat records per table       (S5, S6, T1-T11, K4);
+             with --incremental only the pages that landed since
     load     flat records -> versioned tables by keyed upsert   (S9, L1-L8)
 
 Folders (``--root``): ``log/<table>``, ``state/<table>``, ``analytics/<name>``,
-``analytics_final``, ``archive``, ``flat/<table>``, ``tables/<table>``, ``rejects/<stage>/<table>``
+``analytics_final``, ``archive``, ``flat/<table>``, ``tables/<table>``, ``pending/<table>``,
+``rejects/<stage>/<table>``
 and ``_checkpoints`` (of the stream).
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,52 +146,107 @@ RAW_TRANSFORMS = {
 }
 
 
-def raw_job(spark: SparkSession, root: str) -> dict[str, str]:
-    """``raw/repositories`` (one object per file) and ``raw/<child>`` (one array per
-    parent, file named ``owner_name.json``) -> ``flat/<table>``.
+def parent_names(spark: SparkSession, root: str) -> DataFrame | None:
+    """File stems of the repository list with the full name that each stands for, and how many
+    it could stand for; None before the first list."""
+    path = _p(root, "flat", "repositories")
+    if not fs.exists(spark, path):
+        return None
+    return (readers.flat_table(spark, path, UPSERT_SPECS["repositories"])
+            .groupBy(readers.file_stem_of(F.col("full_name")).alias("repository"))
+            .agg(F.min("full_name").alias("_full_name"), F.count_distinct("full_name").alias("_names")))
+
+
+def transform_pages(pages: DataFrame, name: str, names: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Raw pages of one table -> flat rows, and rejects ``source_file, doc, reject_reason``.
 
     A child carries its parent's real ``owner/name``, found in the repository list by the
-    file's name (a name that fits none stays as it is, for the load to reject). Pages that do
-    not parse, rows without a key, and children whose file name fits several repositories go
-    to ``rejects/raw/<table>`` with a reason.
+    file's name (a name that fits none stays as it is, for the load to resolve or hold). Pages
+    that do not parse, rows without a key, and children whose file name fits several
+    repositories are rejects.
     """
+    bad = pages.filter("reject_reason is not null").select("source_file", "doc", "reject_reason")
+    docs = pages.filter("reject_reason is null").withColumn("repository", readers.parent_of_file())
+    if name != "repositories" and names is not None:
+        docs = docs.join(names, "repository", "left")
+        bad = bad.unionByName(docs.filter("_names > 1").select("source_file", "doc", F.lit("ambiguous_parent").alias("reject_reason")))
+        docs = docs.filter("_names is null or _names = 1").withColumn("repository", F.coalesce("_full_name", "repository"))
+    flat = RAW_TRANSFORMS[name](docs)
+    key = UPSERT_SPECS[name].key
+    keyless = flat.filter(F.col(key).isNull())
+    bad = bad.unionByName(keyless.select(
+        (F.col("repository") if "repository" in flat.columns else F.lit(None).cast("string")).alias("source_file"),
+        F.to_json(F.struct(*flat.columns)).alias("doc"), F.lit("no_key").alias("reject_reason")))
+    return flat.filter(F.col(key).isNotNull()), bad
+
+
+def raw_job(spark: SparkSession, root: str, by_parent: bool = False) -> dict[str, str]:
+    """``raw/repositories`` (one object per file) and ``raw/<child>`` (one array per
+    parent, see ``readers.raw_pages``) -> ``flat/<table>`` and ``rejects/raw/<table>``, all
+    pages at once. ``by_parent``: children lie in a folder for each parent (K4), so a
+    load of one parent reads that folder only."""
     out = {}
-    for name, fn in RAW_TRANSFORMS.items():
+    for name in RAW_TRANSFORMS:
         src = _p(root, "raw", name)
         if not fs.exists(spark, src):
             continue
-        pages = readers.raw_pages(spark, src)
-        bad = pages.filter("reject_reason is not null").select("source_file", "doc", "reject_reason")
-        docs = pages.filter("reject_reason is null").withColumn("repository", readers.parent_of_file())
-        if name != "repositories" and fs.exists(spark, _p(root, "flat", "repositories")):
-            names = (readers.parquet(spark, _p(root, "flat", "repositories"))
-                     .groupBy(readers.file_stem_of(F.col("full_name")).alias("repository"))
-                     .agg(F.min("full_name").alias("_full_name"), F.count_distinct("full_name").alias("_names")))
-            docs = docs.join(names, "repository", "left")
-            bad = bad.unionByName(docs.filter("_names > 1").select("source_file", "doc", F.lit("ambiguous_parent").alias("reject_reason")))
-            docs = docs.filter("_names is null or _names = 1").withColumn("repository", F.coalesce("_full_name", "repository"))
-        flat = fn(docs)
-        key = UPSERT_SPECS[name].key
-        keyless = flat.filter(F.col(key).isNull())
-        bad = bad.unionByName(keyless.select(
-            (F.col("repository") if "repository" in flat.columns else F.lit(None).cast("string")).alias("source_file"),
-            F.to_json(F.struct(*flat.columns)).alias("doc"), F.lit("no_key").alias("reject_reason")))
+        flat, bad = transform_pages(readers.raw_pages(spark, src), name, parent_names(spark, root))
         out[name] = _p(root, "flat", name)
-        write_parquet(flat.filter(F.col(key).isNotNull()), out[name])
+        write_parquet(flat, out[name], ("repository",) if by_parent and "repository" in flat.columns else ())
         write_parquet(bad, _p(root, "rejects", "raw", name))
     return out
 
 
+def raw_stream(spark: SparkSession, root: str, name: str, max_files_per_trigger: int | None = None,
+               available_now: bool = False, processing_time: str = "60 seconds") -> StreamingQuery:
+    """S5/S6/T*: the pages of one table as they land. Each page is transformed once, across
+    restarts; a micro-batch adds one folder of flat rows and one of rejects, each renamed into
+    place whole. The folders are named after their files, so a repeated micro-batch adds nothing."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        pages = batch.persist()
+        try:
+            files = pages.agg(F.bit_xor("file_id"), F.count_distinct("file_id")).first()
+            if not files[1]:
+                return
+            folder = f"pages={files[1]}-{files[0] & (1 << 64) - 1:016x}"
+            flat, bad = transform_pages(pages, name, parent_names(spark, root))
+            for rows, path in ((bad, _p(root, "rejects", "raw", name)), (flat, _p(root, "flat", name))):
+                staging = _p(path, f"_staging-{uuid.uuid4().hex}")
+                rows.write.parquet(staging)
+                fs.publish(spark, staging, _p(path, folder))
+        finally:
+            pages.unpersist()
+
+    pages = readers.raw_pages(spark, _p(root, "raw", name), True, max_files_per_trigger)
+    w = pages.writeStream.foreachBatch(land).option("checkpointLocation", _p(root, "_checkpoints", "raw", name))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
+
+
+def _flat(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Flat records to load: of the raw job, else processed JSON files (S9); None without any."""
+    spec = UPSERT_SPECS[name]
+    if fs.exists(spark, _p(root, "flat", name)):
+        return readers.flat_table(spark, _p(root, "flat", name), spec)
+    if fs.exists(spark, _p(root, "processed", name)):
+        return readers.flat_records(spark, _p(root, "processed", name), spec.row_schema)
+    return None
+
+
 def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
-    """Flat records -> tables: resolve the parent by ``full_name``, upsert by key with the
-    table's mutable columns, and commit a new version. May be repeated with one version.
-    Rejected rows are written to ``rejects/load/<table>`` and returned."""
+    """Flat records -> tables: resolve the parent, upsert by key with the table's mutable
+    columns, and commit a new version. May be repeated with one version.
+
+    A child whose parent is not there yet waits in ``pending/<table>`` and is resolved again by
+    each later load, until it arrives or a newer row of its key replaces it. What a load leaves
+    pending, and rows without a key, are written to ``rejects/load/<table>`` with a reason and
+    returned."""
     rejects = {}
     tables = _p(root, "tables")
 
-    def current(name: str, like: DataFrame) -> DataFrame:
-        if load.has_version(spark, _p(tables, name)):
-            return load.read_current(spark, _p(tables, name))
+    def current(folder: str, name: str, like: DataFrame) -> DataFrame:
+        if load.has_version(spark, _p(root, folder, name)):
+            return load.read_current(spark, _p(root, folder, name))
         return spark.createDataFrame([], like.schema)   # first load: empty target
 
     def newest(batch: DataFrame, key: str, time: str) -> DataFrame:
@@ -196,27 +254,34 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
         rows = batch.withColumn("_tie", F.xxhash64(*batch.columns))
         return load.dedupe_batch(rows, key, [time, "_tie"]).drop("_tie")
 
-    repos = newest(readers.parquet(spark, _p(root, "flat", "repositories")), "repository_id", "updated_at")
-    target = current("repositories", repos)
+    repos = newest(_flat(spark, root, "repositories"), "repository_id", "updated_at")
+    target = current("tables", "repositories", repos)
     merged = load.upsert(target, repos.select(*target.columns), UPSERT_SPECS["repositories"])
     load.commit_version(merged, _p(tables, "repositories"), version)
     parents = load.read_current(spark, _p(tables, "repositories")).select("repository_id", "full_name")
     for name in ("commits", "issues", "pull_requests"):
-        path = _p(root, "flat", name)
-        if not fs.exists(spark, path):
+        flat = _flat(spark, root, name)
+        if flat is None:
             continue
-        flat = readers.parquet(spark, path)
         spec = UPSERT_SPECS[name]
-        acc, rej = load.resolve_parent(flat, parents, "repository", "full_name", "repository_id")
-        write_parquet(rej, _p(root, "rejects", "load", name))
-        rejects[name] = readers.parquet(spark, _p(root, "rejects", "load", name))
-        batch = acc.drop("repository")
-        batch = newest(batch, spec.key, "updated_at" if "updated_at" in batch.columns else "commit_date")
+        waiting = current("pending", name, flat)
+        rows = newest(flat.unionByName(waiting), spec.key, "updated_at" if "updated_at" in flat.columns else "commit_date")
+        acc, rej = load.resolve_parent(rows, parents, "repository", "full_name", "repository_id")
+        # a name taken from a file stands for the one repository whose full name gives it
+        stems = (parents.groupBy(readers.file_stem_of(F.col("full_name")).alias("stem"))
+                 .agg(F.max("repository_id").alias("repository_id"), F.count_distinct("full_name").alias("n")).filter("n = 1"))
+        by_stem, rej = load.resolve_parent(rej, stems, "repository", "stem", "repository_id")
+        batch = acc.unionByName(by_stem).drop("repository")
         key_spec = TableSpec(name, spec.key, batch.schema, tuple(c for c in spec.mutable_columns()
                                                                 if c in batch.columns) + ("repository_id",))
-        target = current(name, batch)
+        target = current("tables", name, batch)
         merged = load.upsert(target, batch.select(*target.columns), key_spec)
         load.commit_version(merged, _p(tables, name), version)
+        load.commit_version(rej, _p(root, "pending", name), version)
+        held = load.read_current(spark, _p(root, "pending", name)).withColumn("reject_reason", F.lit("no_parent"))
+        keyless = flat.filter(F.col(spec.key).isNull()).withColumn("reject_reason", F.lit("no_key"))
+        write_parquet(held.unionByName(keyless), _p(root, "rejects", "load", name))
+        rejects[name] = readers.parquet(spark, _p(root, "rejects", "load", name))
     return rejects
 
 
@@ -231,6 +296,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--expectations", help="CSV with table,expected")
     ap.add_argument("--version", type=int, default=1)
+    ap.add_argument("--incremental", action="store_true", help="raw: transform new pages only")
     ap.add_argument("--input-bytes", type=int, help="size of the largest input; sizes shuffles")
     ap.add_argument("--cores", type=int, help="total executor cores of the cluster")
     a = ap.parse_args(argv)
@@ -259,6 +325,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         report = quality_job(spark, a.root, exp)
         write_parquet(report, _p(a.root, "quality"))
         quality.raise_on_failure(readers.parquet(spark, _p(a.root, "quality")))
+    elif a.job == "raw" and a.incremental:
+        for name in RAW_TRANSFORMS:  # the repository list first: children look their parent up in it
+            if fs.exists(spark, _p(a.root, "raw", name)):
+                raw_stream(spark, a.root, name, available_now=True).awaitTermination()
     elif a.job == "raw":
         raw_job(spark, a.root)
     elif a.job == "load":

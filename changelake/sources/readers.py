@@ -55,24 +55,38 @@ def parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def raw_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Raw JSON files -> ``source_file, position, doc, reject_reason``.
+def _page_files(spark: SparkSession, path: str, max_files_per_trigger: int | None, stream: bool) -> DataFrame:
+    reader = (spark.readStream if stream else spark.read).option("wholetext", "true").option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.text(path)
+
+
+def raw_pages(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw JSON files -> ``source_file, position, doc, reject_reason, file_id``.
 
     A file holds either one object or an array of objects. Each file is one fetched
     page (a bounded size), read whole; arrays are exploded into their elements, each
     kept as its own JSON text so that key *presence* can still be tested. A page that
     does not parse is one row with its whole text and a reason, never silently lost.
+
+    A page of a parent is a file ``owner_name.json`` or lies in a folder
+    ``repository=owner_name``; ``source_file`` is ``owner_name.json`` either way.
+    As a stream, each file is read once, however often the query is restarted.
     """
-    files = (spark.read.text(path, wholetext=True)
-             .select(F.col("_metadata.file_name").alias("source_file"), F.trim("value").alias("value")))
+    meta = F.col("_metadata")
+    folder = F.regexp_extract(meta["file_path"], "/repository=([^/]+)/[^/]*$", 1)
+    files = (_page_files(spark, path, max_files_per_trigger, stream)
+             .select(F.when(folder != "", F.concat(folder, F.lit(".json"))).otherwise(meta["file_name"]).alias("source_file"),
+                     F.xxhash64(meta["file_path"], meta["file_modification_time"]).alias("file_id"), F.trim("value").alias("value")))
     # with Jackson's leniency a cut-off array can still yield its first elements
     whole = F.when(F.col("value").startswith("["), F.col("value").endswith("]")) \
              .otherwise(F.col("value").startswith("{") & F.col("value").endswith("}"))
     docs = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
     good = F.when(whole, docs)
-    rows = files.select("source_file", F.posexplode(F.coalesce(good, F.array("value"))).alias("position", "doc"),
+    rows = files.select("source_file", "file_id", F.posexplode(F.coalesce(good, F.array("value"))).alias("position", "doc"),
                         good.isNull().alias("_bad"))
-    return rows.select("source_file", "position", "doc", F.when(F.col("_bad"), F.lit("malformed_page")).alias("reject_reason"))
+    return rows.select("source_file", "position", "doc", F.when(F.col("_bad"), F.lit("malformed_page")).alias("reject_reason"), "file_id")
 
 
 def raw_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -90,6 +104,12 @@ def file_stem_of(full_name: F.Column) -> F.Column:
     return F.replace(full_name, F.lit("/"), F.lit("_"))
 
 
-def flat_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Processed flat records (JSON lines or arrays)."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+def flat_records(spark: SparkSession, path: str, schema: StructType, lines: bool = False) -> DataFrame:
+    """Processed flat records. A file is one object or an array of them, over any lines;
+    with ``lines`` it holds one object for each line, and Spark splits it."""
+    return spark.read.schema(schema).option("multiLine", str(not lines).lower()).option("recursiveFileLookup", "true").json(path)
+
+
+def flat_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """Flat records as the raw job writes them, also a folder for each parent or batch of pages."""
+    return spark.read.schema(spec.row_schema).parquet(path).select(*spec.columns)

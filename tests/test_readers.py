@@ -44,3 +44,11 @@ def test_preview_is_a_top_k(spark):
     top = preview(df, [F.col("stars").desc(), "id"], 5)
     assert [r["stars"] for r in top.collect()] == [999, 998, 997, 996, 995]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flat_records_by_line(spark):
+    root = scratch_dir(spark, "lines", fresh=True)
+    os.makedirs(root)
+    with open(os.path.join(root, "o_r.json"), "w") as fh:
+        fh.write("\n".join(json.dumps({"commit_sha": str(k), "repository": "o/r"}) for k in range(5)))
+    assert readers.flat_records(spark, root, FLAT_COMMITS.row_schema, lines=True).count() == 5

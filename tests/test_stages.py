@@ -128,3 +128,48 @@ def test_roots_of_one_base_name_keep_their_own_checkpoint(spark):
             q.awaitTermination()
         counts.append(spark.read.parquet(os.path.join(root, "log", "repositories")).count())
     assert counts[0] == counts[1] > 0
+
+
+def _page(root, rel, text):
+    path = os.path.join(root, "raw", rel)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write(text if isinstance(text, str) else json.dumps(text))
+
+
+def test_raw_stream_reads_each_page_once(spark):
+    root = scratch_dir(spark, "rawstream", fresh=True)
+    _page(root, "repositories/r.json", {"id": 1, "full_name": "o/a"})
+    _page(root, "issues/o_a.json", [{"id": 1, "number": 1}, {"id": 2, "pull_request": None}])
+    _page(root, "issues/repository=o_b/page.json", '[{"id": 3, "number": 3}, {"id')
+    flat, bad = os.path.join(root, "flat", "issues"), os.path.join(root, "rejects", "raw", "issues")
+    for name in ("repositories", "issues"):
+        stages.raw_stream(spark, root, name, available_now=True).awaitTermination()
+    assert _rows(spark.read.parquet(flat).select("issue_id", "repository")) == [(1, "o/a")]
+    assert _rows(spark.read.parquet(bad).select("source_file", "reject_reason")) == [("o_b.json", "malformed_page")]
+    first = sorted(os.listdir(flat))
+    _page(root, "issues/repository=o_b/again.json", [{"id": 3, "number": 3}])
+    stages.raw_stream(spark, root, "issues", available_now=True).awaitTermination()
+    assert _rows(spark.read.parquet(flat).select("issue_id", "repository")) == [(1, "o/a"), (3, "o_b")]
+    assert set(first) < set(os.listdir(flat))  # nothing was written again
+    assert spark.read.parquet(bad).count() == 1
+
+
+def test_children_wait_for_their_parent(spark):
+    from changelake.operators.load import read_current
+
+    root = scratch_dir(spark, "pending", fresh=True)
+    _page(root, "repositories/a.json", {"id": 1, "full_name": "o/a"})
+    _page(root, "issues/o_a.json", [{"id": 1, "title": "a"}])
+    _page(root, "issues/o_b.json", [{"id": 2, "title": "b", "updated_at": "1"}, {"id": 3, "title": "c"}])
+    stages.raw_job(spark, root, by_parent=True)
+    assert _rows(stages.load_job(spark, root, 1)["issues"].select("issue_id", "reject_reason")) == [(2, "no_parent"), (3, "no_parent")]
+    # the next load brings the parent and a newer row of one child, but not the other child
+    _page(root, "repositories/b.json", {"id": 2, "full_name": "o/b"})
+    _page(root, "issues/o_b.json", [{"id": 2, "title": "newer", "updated_at": "2"}])
+    stages.raw_job(spark, root)
+    for _ in range(2):  # the same version twice
+        assert stages.load_job(spark, root, 2)["issues"].count() == 0
+        issues = read_current(spark, os.path.join(root, "tables", "issues"))
+        assert _rows(issues.select("issue_id", "repository_id", "title")) == [(1, 1, "a"), (2, 2, "newer"), (3, 2, "c")]
+    assert read_current(spark, os.path.join(root, "pending", "issues")).count() == 0
