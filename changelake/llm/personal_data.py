@@ -11,13 +11,15 @@ out the union of spans that overlap, under the kind of the longest.
 
 Defined cases: a null text is empty; matches of one kind and pass never overlap; a match that fails its
 rule (part over 255, number of digits, Luhn) is dropped without another try; repeated rows
-get equal results; other columns are ignored.
+get equal results; other columns are ignored. The time for a text grows in proportion to its
+length, whatever it holds.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,8 +30,10 @@ from changelake.llm.store import table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: (email and ip as whole runs of their first class, possessive, with the rest as an optional
+#: group: a run without the rest is passed over once instead of from each of its characters)
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+)?")
+IP = re.compile(r"[0-9]++(\.[0-9]++\.[0-9]++\.[0-9]++)?")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -44,15 +48,20 @@ SPELLED = {w: str(d) for words in (
     "zero one two three four five six seven eight nine", "null eins zwei drei vier fünf sechs sieben acht neun",
     "zéro un deux trois quatre cinq six sept huit neuf", "cero uno dos tres cuatro cinco seis siete ocho nueve") for d, w in enumerate(words.split())}
 _DIGIT = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + "|[0-9])"
-_RUN = re.compile(rf"(?i)(?<!\w)(?:(?:plus|\+)[ ]?)?{_DIGIT}(?:[ .-]{{1,2}}{_DIGIT})*[ -]{{1,2}}(?:{'|'.join(SPELLED)})(?:[ .-]{{1,2}}{_DIGIT})*(?!\w)")
+#: A run of digits, some as words; it counts if a word follows a digit with a space or hyphen between.
+_RUN = re.compile(rf"(?i)(?<!\w)((?:plus|\+)[ ]?)?{_DIGIT}(?!\w)(?:[ .-]{{1,2}}{_DIGIT}(?!\w))*+")
+_PAIR = re.compile(rf"(?i)(?<=\w)[ -]{{1,2}}(?:{'|'.join(SPELLED)})(?!\w)")
 _ONE = re.compile(rf"(?i)plus[ ]?|{'|'.join(sorted(SPELLED, key=len, reverse=True))}")
 _AT = r"[ ]?[\[({<][ ]?(?:at|arroba)[ ]?[\])}>][ ]?"
 _DOT = r"[ ]?[\[({<][ ]?(?:dot|punkt|point|punto)[ ]?[\])}>][ ]?"
-_NAME = r"[A-Za-z0-9_%+-]+"
-#: An address whose "at" or "dots" are bracketed, or whose "at" and "dot" are both spelled out.
-_ADDRESS = re.compile(rf"(?i){_NAME}(?:(?:\.|{_DOT}){_NAME})*(?:@|{_AT}){_NAME}(?:(?:\.|{_DOT}){_NAME})+"
-                      rf"|[0-9]{{1,3}}(?:(?:{_DOT}| dot )[0-9]{{1,3}}){{3}}"
-                      rf"|{_NAME}(?:(?:\.| dot ){_NAME})* at {_NAME}(?: dot {_NAME})+")
+_NAME = r"[A-Za-z0-9_%+-]++"
+#: Addresses whose "at" or "dots" are bracketed, or whose "at" and "dot" are both spelled out, and
+#: numbers with such dots. As above, a chain of names that no "at" follows is passed over once.
+_ADDRESSES = (
+    re.compile(rf"(?i){_NAME}(?:(?:\.|{_DOT}){_NAME})*+((?:@|{_AT}){_NAME}(?:(?:\.|{_DOT}){_NAME})++)?"),
+    re.compile(rf"(?i){_NAME}(?:(?:\.| dot ){_NAME})*+( at {_NAME}(?: dot {_NAME})++)?"),
+    re.compile(rf"(?i)[0-9]{{1,3}}((?:(?:{_DOT}| dot )[0-9]{{1,3}}){{3}})"),
+)
 _PART = re.compile(rf"(?i){_AT}| at |{_DOT}| dot ")
 _BRACKETED = re.compile(r"[\[({<] ?(?:at|arroba|dot|punkt|point|punto) ?[\])}>]")
 #: Two neighbours that any match of _RUN holds, in lower-case text.
@@ -75,13 +84,13 @@ def find(text: str) -> dict[str, list[tuple[int, int]]]:
     """Base spans by kind."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if "@" in text:
-        out["email"] = [m.span() for m in EMAIL.finditer(text)]
+        out["email"] = [m.span() for m in EMAIL.finditer(text) if m[1]]
     for m in CARD.finditer(text):
         digits = _digits(m[0])
         if 16 <= len(digits) <= 19 and _luhn(digits):
             out["card"].append(m.span())
     if "." in text:
-        out["ip"] = [m.span() for m in IP.finditer(text) if all(int(p[-9:]) <= 255 and len(p.lstrip("0")) <= 3 for p in m[0].split("."))]
+        out["ip"] = [m.span() for m in IP.finditer(text) if m[1] and all(int(p[-9:]) <= 255 and len(p.lstrip("0")) <= 3 for p in m[0].split("."))]
     if "+" in text:
         out["phone"] = [m.span() for m in PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15]
     return out
@@ -119,14 +128,19 @@ def _disguised(text: str) -> bool:
     return _SPELLED.search(low) is not None
 
 
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """The runs of digits with words among them."""
+    return (m.span() for m in _RUN.finditer(text) if _PAIR.search(text, max(m.start(), m.end(1)), m.end()))
+
+
 def normalise(text: str) -> Normalised:
     out = Normalised(text.translate(FOLD))  # one character for one
     hidden = [(m.start(), m.end(), "") for m in re.finditer(f"[{HIDDEN}]+", out.text)]
     if hidden:
         out.rewrite(hidden)
     spelled = []
-    for run in _RUN.finditer(out.text):
-        for m in _ONE.finditer(out.text, *run.span()):
+    for run in _runs(out.text):
+        for m in _ONE.finditer(out.text, *run):
             spelled.append((*m.span(), SPELLED.get(m[0].lower(), "+")))
     # spelled digits lose the spaces between them, so that groups read as one number
     merged: list[tuple[int, int, str]] = []
@@ -137,9 +151,12 @@ def normalise(text: str) -> Normalised:
             merged.append((a, b, new))
     if merged:
         out.rewrite(merged)
-    parts = []
-    for address in _ADDRESS.finditer(out.text):
-        for m in _PART.finditer(out.text, *address.span()):
+    parts, end = [], 0
+    for a, b in sorted((m.span() for pattern in _ADDRESSES for m in pattern.finditer(out.text) if m[1]), key=lambda x: (x[0], -x[1])):
+        if a < end:
+            continue
+        end = b
+        for m in _PART.finditer(out.text, a, b):
             parts.append((*m.span(), "@" if re.search("(?i)at|arroba", m[0]) else "."))
     if parts:
         out.rewrite(parts)
@@ -154,9 +171,11 @@ def find_all(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, lis
     plain = normalise(text)
     every = {k: list(spans) for k, spans in base.items()}
     for kind, spans in find(plain.text).items():
+        starts = [x for x, _ in base[kind]]  # base spans are disjoint: only the last one that starts by then can hold it
         for a, b in spans:
             a, b = plain.source(a, b)
-            if not any(x <= a and b <= y for x, y in base[kind]):
+            at = bisect_right(starts, a) - 1
+            if at < 0 or b > base[kind][at][1]:
                 every[kind].append((a, b))
         every[kind].sort()
     return base, every
