@@ -16,9 +16,10 @@
 At a similarity of 0.8 a pair shares no band key with probability (1 - 0.8^5)^40 = 1.2e-7.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; a text of
-fewer words than the shingle is one shingle; rows of one id are one node of the graph; a row
-without an id has no component and is kept; repeated rows and ties do not matter; other
-columns are ignored.
+fewer words than the shingle is one shingle; rows of one id are one node of the graph, linked
+with all that any of its texts is linked with, but a row without words stands alone whatever its
+id; a row without an id has no component and is kept; the order of rows, repeated rows and ties
+do not matter; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,14 +88,20 @@ def _signatures(k: int):
     return task
 
 
+def _name(shingles: np.ndarray) -> int:
+    """The first half of a set's name, as ``_signatures`` gives it."""
+    return int(K.signed(np.add.reduce(K.mix(shingles), keepdims=True))[0]) if len(shingles) else 0
+
+
 def _sets(k: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = K.texts_of(batch.column(1))
             for i, j in K.slices(starts):
                 sets = _shingles(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i], k)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 names=["doc", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array([_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["doc", "s1", "shingles"])
 
     return task
 
@@ -214,20 +221,26 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     keys = classes.select("rep", F.explode("bands").alias("h"))
     buckets = keys.groupBy("h").agg(F.min("rep").alias("v"), F.max("rep").alias("last")).where("v < last").select("h", "v")
     stars = stored(keys.join(buckets, "h").where("rep != v").select(F.col("rep").alias("u"), "v").distinct(), "minhash-stars")
+    # an id with several texts stands in several classes: their representatives are linked
+    several = (named.groupBy("doc").agg(F.min(F.struct("s1", "s2")).alias("a"), F.max(F.struct("s1", "s2")).alias("b"))
+               .where("a != b").select("doc"))
+    held = stored(named.select("doc", "s1", "s2").join(several, "doc").distinct(), "minhash-several")
+    shared = held.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).where("doc != rep").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     cluster = components(stars, "minhash-clusters").withColumnRenamed("comp", "cluster")
     ids = cluster.select(F.col("node").alias("doc"))
     # a merge join at every size: the ids grow with the corpus, and a broadcast of them would not
-    sets = stored(texts.join(ids.hint("merge"), "doc").mapInArrow(_sets(shingle), "doc long, shingles binary")
-                  .groupBy("doc").agg(F.first("shingles").alias("shingles")), "minhash-sets")
+    sets = stored(texts.join(ids.hint("merge"), "doc").mapInArrow(_sets(shingle), "doc long, s1 long, shingles binary")
+                  .groupBy("doc", "s1").agg(F.first("shingles").alias("shingles")), "minhash-sets")
     side = lambda c, s: sets.select(F.col("doc").alias(c), F.col("shingles").alias(s))
-    links = stored(stars.join(side("u", "x"), "u").join(side("v", "y"), "v").mapInArrow(_verify(similarity), "u long, v long"), "minhash-links")
+    links = stored(stars.join(side("u", "x"), "u").join(side("v", "y"), "v").mapInArrow(_verify(similarity), "u long, v long")
+                   .unionByName(shared), "minhash-links")
     comp = components(links, "minhash-linked")
-    nodes = stored(cluster.join(comp, "node", "left").select("node", "cluster", F.coalesce("comp", "node").alias("comp")), "minhash-nodes")
-    rest = components(_residual(nodes, sets, similarity, block), "minhash-rest").toDF("comp", "root")
+    nodes = stored(cluster.join(comp, "node", "full").select("node", "cluster", F.coalesce("comp", "node").alias("comp")), "minhash-nodes")
+    rest = components(_residual(nodes.where("cluster is not null"), sets, similarity, block), "minhash-rest").toDF("comp", "root")
     final = nodes.join(rest, "comp", "left").select(F.col("node").alias("rep"), F.coalesce("root", "comp").alias("component"))
     by_set = classes.select("s1", "s2", "rep").join(final, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc", "n", "s1", "s2").join(by_set, ["s1", "s2"], "left")
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
+    component = F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc")))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
 

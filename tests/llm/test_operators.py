@@ -114,6 +114,26 @@ def test_minhash_dedup(frame, awkward):
     assert minhash_dedup.dedup(frame([])).count() == 0
 
 
+def test_minhash_dedup_of_repeated_ids_in_any_order(frame):
+    rnd = random.Random(8)
+    words = lambda n: " ".join(f"w{rnd.randint(0, 5000)}" for _ in range(n))
+    one, two, three = words(200), words(200), words(200)
+    rows = [(3, one), (5, one), (5, two), (7, two + " more"), (8, three), (9, three), (9, ""), (9, two), (11, words(100))]
+    for k in range(40, 60):
+        rows.append((k, " ".join([three] + [words(1) for _ in range(rnd.randint(0, 6))])))
+        rows.append((rnd.randint(60, 70), words(50)))
+        rows.append((rnd.randint(60, 70), words(50)))
+    want = None
+    for seed in range(2):
+        rnd.shuffle(rows)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.dedup(frame(rows), block=8).collect())
+        assert want is None or got == want
+        want = got
+    assert [r for r in got if r[1]] == sorted(brute.near_dedup([r for r in rows if r[1]]))
+    assert [r for r in got if not r[1]] == [(9, 0, 9, True)]
+    assert {c for d, n, c, _ in got if n and d in (3, 5, 7, 8, 9)} == {3}
+
+
 def test_decontaminate(spark, frame, awkward):
     items = [(1, "word1 and then word2 and then word3 and then word4 and then word5 and"), (2, "x"), (3, None), (4, ""),
              (None, "with words"), (5, "WORD7 and, then"), (5, "WORD7 and, then")]

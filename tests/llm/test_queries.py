@@ -61,6 +61,15 @@ def test_pipeline_stages(spark, frame, awkward):
     assert {r.doc_id for r in stage["near duplicates"](spark, odd, DIR).collect() if r.doc_id} >= {1, 4, 5, 6, 7, 8, 9, 10, 11, 12}
 
 
+def test_pipeline_loses_no_clean_text(spark, frame):
+    near = dict(corpus_pipeline.STAGES)["near duplicates"]
+    words = lambda p: " ".join(f"{p}{k}" for k in range(60))
+    rows = [(3, words("a")), (5, words("a")), (5, words("b")), (5, words("b")), (6, words("b")), (None, words("a")), (None, words("a")), (7, words("c"))]
+    for order in (rows, rows[::-1]):
+        kept = sorted((r.doc_id or 0, r.text[:1]) for r in near(spark, frame(order), DIR).collect())
+        assert kept == [(0, "a"), (3, "a"), (6, "b"), (7, "c")]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.comp for r in minhash_dedup.components(edges, "chain").collect()}
