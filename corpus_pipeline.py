@@ -5,8 +5,8 @@ that an operator makes. No SQL expresses the trained and hashed stages, so ``ORA
 None and the tests hold the stages against brute force.
 
 Defined cases: an empty table passes through; null text is dropped by the language stage; a
-row without an id is never dropped as a duplicate of another text, rows of one id count as
-one document.
+row without an id is never dropped as a duplicate of another text; of equal rows one stays;
+texts that share an id are documents of their own.
 """
 
 from __future__ import annotations
@@ -27,11 +27,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the least id, and one row of it."""
-    gone = minhash_dedup.dedup(docs, shingle=SHINGLE).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), row_key()).alias("_id"), row_key().alias("_key"))
-    first = Window.partitionBy("_id").orderBy("_key")
-    return (rows.join(gone, "_id", "left_anti").withColumn("_n", F.row_number().over(first)).where("_n = 1").select("row.*"))
+    """Keeps one document of each group: that of the least id. A document is a text under an id:
+    of equal rows one stays, and texts that share an id are judged one by one, after all others
+    (for this each gets a number of its own from 2**62)."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"), F.col("text").alias("_text"))
+    name = F.coalesce("_id", "_key")
+    same = Window.partitionBy(name)
+    rows = (rows.withColumn("_n", F.row_number().over(Window.partitionBy(name, "_key").orderBy("_key")))
+            .withColumn("_several", F.min("_key").over(same) != F.max("_key").over(same)).where("_n = 1"))
+    own = F.when(~F.col("_several"), F.col("_id")).otherwise(F.col("_key").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    rows = stored(rows.select("row", "_text", F.when(F.col("_id").isNotNull(), own).alias("_doc")), "documents")
+    gone = minhash_dedup.dedup(rows, "_doc", "_text", shingle=SHINGLE).where("not kept").select(F.col("doc_id").alias("_doc"))
+    return rows.join(gone, "_doc", "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
