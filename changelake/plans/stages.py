@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.operators import analytics, entity, load, quality, state, transform
+from changelake.operators import analytics, entity, load, quality, redrive, state, transform
 from changelake.schemas import (
     EVENT_ORDER, EXPECTATIONS_SCHEMA, TABLES, UPSERT_SPECS, TableSpec,
 )
 from changelake.session import build_session, cluster_conf
 from changelake.sources import fs, readers
-from changelake.sources.writers import write_all, write_parquet
+from changelake.sources.writers import materialize, write_all, write_parquet
 from changelake.streaming.jobs import start_normalise
 from changelake.streaming.state_stream import IncrementalState
 
@@ -84,8 +84,35 @@ def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame | None:
-    path = _p(root, "log", "_dead_letters")
-    return readers.parquet(spark, path) if fs.exists(spark, path) else None
+    """Dead letters that no re-drive has repaired; None if there is no folder of them."""
+    path, done = _p(root, "log", "_dead_letters"), _p(root, "log", "_redriven")
+    if not fs.exists(spark, path):
+        return None
+    dead = readers.parquet(spark, path)
+    return redrive.still_open(dead, readers.parquet(spark, done)) if fs.children(spark, done) else dead
+
+
+def redrive_job(spark: SparkSession, root: str, rules: Mapping[str, redrive.Rule], corrections: DataFrame | None = None,
+                specs: Sequence[TableSpec] = tuple(TABLES.values())) -> int:
+    """Append repaired dead letters to the logs, as batch -n of re-drive n, and return n.
+
+    The names of the repaired ones are published last and commit the re-drive: one that stopped
+    before is done again under the same number and replaces its folders. Dead letters that are
+    named there are neither counted nor re-driven again. ``state_job`` then reads them in order.
+    """
+    n = len(fs.children(spark, _p(root, "log", "_redriven"))) + 1
+    dead = read_dead_letters(spark, root)
+    if dead is None:
+        return n - 1
+    # the repairs are made once: every table and the commit read them from files
+    records = materialize(redrive.repaired(dead, rules, corrections), "repaired")
+    rows, entered = redrive.redrive(records, specs)
+    write_all({_p(root, "log", name, f"batch_id=-{n}"): df for name, df in rows.items()
+               if fs.exists(spark, _p(root, "log", name))})
+    staging = _p(root, "log", f"_staged-{uuid.uuid4().hex}")
+    write_parquet(entered, staging)
+    fs.publish(spark, staging, _p(root, "log", "_redriven", f"attempt={n}"))
+    return n
 
 
 def event_analytics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
