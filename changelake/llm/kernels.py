@@ -89,6 +89,31 @@ def slices(starts: np.ndarray, most: int = SLICE - 1) -> Iterator[tuple[int, int
         i = j
 
 
+def groups(batch: pa.RecordBatch, most: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have at most ``most`` bytes together; one longer text stands
+    alone."""
+    _, starts = texts_of(batch.column(column))
+    for i, j in slices(starts, most):
+        yield batch.slice(i, j - i)
+
+
+def pieces(data: np.ndarray, starts: np.ndarray, is_word: np.ndarray, most: int = SLICE - 1) -> np.ndarray:
+    """The offsets of the texts, and places in texts of over ``most`` bytes where no word stands,
+    so that a long text is worked on in pieces. Only a longer word is a longer piece."""
+    cuts = []
+    for t in np.flatnonzero(np.diff(starts) > most):
+        at, end = int(starts[t]) + most, int(starts[t + 1])
+        while at < end:
+            gap = np.flatnonzero(~is_word[data[at:at + 4096]])
+            if len(gap):
+                cuts.append(at + int(gap[0]))
+                at = cuts[-1] + most
+            else:
+                at += 4096
+    cuts = np.array([c for c in cuts if c < starts[-1]], np.int64)
+    return np.unique(np.concatenate([starts, cuts]))
+
+
 def words_of(data: np.ndarray, starts: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, ...]:
     """Fingerprint, first byte and end byte of every word, and the word offsets of the texts.
 

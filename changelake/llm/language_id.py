@@ -12,7 +12,8 @@ one row for each language and trigram bucket, bounded by languages x ``BUCKETS``
 Defined cases: a null text or one without a letter is ``und`` with score 0; a text whose
 letters belong to no learned script gets the most frequent language with score 0; with
 nothing learned every text is ``und``; equal shares go to the first name; repeated rows get
-equal results; other columns are ignored.
+equal results; other columns are ignored. Texts are handled in groups by bytes and a very long
+one in pieces between words, so memory follows ``BYTES_AT_ONCE`` and the longest text's words.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ BUCKETS = 1 << 16
 PENALTY = 12.0
 #: A language uses a script if this share of its words is written in it.
 SCRIPT_SHARE = 0.01
-ROWS_AT_ONCE = 4096
+#: Bytes of text worked on at once, with up to four languages; with more, as many times fewer.
+BYTES_AT_ONCE = 1 << 23
 UND = "und"
 SCRIPTS = ("latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "kana", "han", "hangul", "other")
 _LETTER = regex.compile(r"\p{L}")
@@ -53,6 +55,7 @@ SCRIPT = _script_table()
 IS_WORD = np.zeros(256, bool)
 IS_WORD[97:123] = True
 IS_WORD[128:] = True
+IS_WORD_ANY_CASE = IS_WORD[K.LOWER]
 _C1, _C2, _C3 = (K.splitmix(256, s) for s in (101, 102, 103))
 
 
@@ -130,9 +133,10 @@ def fit(training: DataFrame) -> Model:
 
 def _detect(model: Model, penalty: float, with_spans: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = BYTES_AT_ONCE * 4 // max(4, len(model.langs))
         for batch in batches:
-            for row in range(0, batch.num_rows, ROWS_AT_ONCE):
-                yield _detect_rows(model, penalty, with_spans, batch.slice(row, ROWS_AT_ONCE))
+            for part in K.groups(batch, most):
+                yield _detect_rows(model, penalty, with_spans, part)
 
     return task
 
@@ -142,8 +146,9 @@ def _detect_rows(model: Model, penalty: float, with_spans: bool, batch: pa.Recor
     k = len(model.langs)
     data, starts = K.texts_of(batch.column(1))
     scores, sizes, known, offsets = [], [], [], [np.zeros(1, np.int64)]
-    for i, j in K.slices(starts):
-        begin, end, script, own, bucket = _words(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
+    cuts = K.pieces(data, starts, IS_WORD_ANY_CASE)
+    for i, j in K.slices(cuts):
+        begin, end, script, own, bucket = _words(data[cuts[i]:cuts[j]], cuts[i:j + 1] - cuts[i])
         offsets.append(own[1:] + offsets[-1][-1])
         sums = np.empty((len(begin), k), np.float32)  # of every language over the bytes of each word
         for c in range(k):
@@ -155,7 +160,7 @@ def _detect_rows(model: Model, penalty: float, with_spans: bool, batch: pa.Recor
         scores.append(sums)
         sizes.append(end - begin)
         known.append(admitted.any(axis=1))
-    offsets = np.concatenate(offsets)
+    offsets = np.concatenate(offsets)[np.searchsorted(cuts, starts)]
     n = len(offsets) - 1
     score = np.concatenate(scores) if scores else np.zeros((0, k), np.float32)
     size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
@@ -168,28 +173,38 @@ def _detect_rows(model: Model, penalty: float, with_spans: bool, batch: pa.Recor
         total[:, c] = np.bincount(owner, weights=score[:, c], minlength=n)
         mine = seen & (label == c)
         weight[:, c] = np.bincount(owner[mine], weights=size[mine], minlength=n)
-    names, values, spans = [], [], []
+    names, values = [], []
     for d, text in enumerate(batch.column(1).to_pylist()):
         if not k or not text or not _LETTER.search(text):
             names.append(UND)
             values.append(0.0)
-            spans.append([])
             continue
         mine = weight[d]
         best = int(mine.argmax()) if mine.sum() else model.common
         posterior = 1 / np.exp(np.clip(total[d] - total[d, best], -700, 700)).sum()
         names.append(model.langs[best])
         values.append(float(mine[best] / mine.sum() * min(1.0, posterior)) if mine.sum() else 0.0)
-        if with_spans:
-            labels = label[offsets[d]:offsets[d + 1]]
-            cut = np.flatnonzero(np.concatenate([[True], np.diff(labels) != 0, [True]])) if len(labels) else []
-            spans.append([{"start": int(x), "end": int(y), "lang": model.langs[labels[x]]} for x, y in zip(cut, cut[1:])])
     cols = [batch.column(0), pa.array(names, pa.string()), pa.array(values, pa.float64())]
     if with_spans:
-        cols.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
+        cols.append(_spans(label, owner, offsets, np.array([name != UND for name in names], bool), model.langs))
     return pa.RecordBatch.from_arrays(cols, names=["key", "lang_pred", "score", "spans"][:len(cols)])
 
 
+def _spans(label: np.ndarray, owner: np.ndarray, offsets: np.ndarray, known: np.ndarray, langs: list[str]) -> pa.Array:
+    """For each text the runs of words of one label; none for a text that is not ``known``."""
+    new = np.ones(len(label) + 1, bool)
+    new[1:-1] = (np.diff(label.astype(np.int64)) != 0) | (np.diff(owner) != 0)
+    edge = np.flatnonzero(new)
+    head, tail = edge[:-1], edge[1:]
+    kept = known[owner[head]]
+    head, tail = head[kept], tail[kept]
+    base = offsets[owner[head]]
+    rows = pa.StructArray.from_arrays(
+        [pa.array((head - base).astype(np.int32)), pa.array((tail - base).astype(np.int32)),
+         pa.array(langs or [UND], pa.string()).take(pa.array(label[head].astype(np.int32)))], names=["start", "end", "lang"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[head], np.arange(len(offsets))).astype(np.int32)), rows)
+
+
 def detect(docs: DataFrame, model: Model, key: Column, text_col: str = "text", penalty: float = PENALTY,
            with_spans: bool = True) -> DataFrame:
     """key, lang_pred, score and spans (in words) of every row."""
@@ -219,5 +234,6 @@ def train(docs: DataFrame) -> Model:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = detect(docs, train(docs), F.col("doc_id"), with_spans=False)
-    return out.select(F.col("key").alias("doc_id"), F.coalesce(fold("key", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    out = detect(docs, train(docs), F.col("doc_id"))
+    return out.select(F.col("key").alias("doc_id"), F.coalesce(fold("key", 3) == 1, F.lit(False)).alias("held_out"),
+                      "lang_pred", "score", "spans")

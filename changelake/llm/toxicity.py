@@ -14,7 +14,9 @@ covers every text.
 Defined cases: null and empty texts have no words and get the score of a text without
 toxic words; several labels of one id count as toxic if any is; ids without a text and texts
 without a label are fine; without both classes among the labels every score is the share of
-toxic labels; repeated rows get equal results; other columns are ignored.
+toxic labels; repeated rows get equal results; other columns are ignored. Texts are handled in
+groups by bytes and a very long one in pieces between words, so memory follows ``BYTES_AT_ONCE``
+and the longest text's words.
 """
 
 from __future__ import annotations
@@ -39,9 +41,11 @@ MIN_TOXIC_DOCS = 3
 #: Log odds from which a feature enters the lexicon, and from which a token is labelled toxic.
 LEXICON_ODDS, LABEL_ODDS = 1.5, 2.5
 BINS = np.array([0.5, 1.5, 2.5, 3.5, 5.0])
-ROWS_AT_ONCE = 4096
+#: Bytes of text worked on at once.
+BYTES_AT_ONCE = 1 << 23
 IS_WORD = np.zeros(256, bool)
 IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+IS_WORD_ANY_CASE = IS_WORD[K.LOWER]
 
 
 def _features(data: np.ndarray, starts: np.ndarray):
@@ -109,9 +113,18 @@ class Model:
         return self.emission[0][bins[0]] + self.emission[1][bins[1]] + self.emission[2][bins[2]]
 
     def tag(self, data: np.ndarray, starts: np.ndarray):
-        """P(toxic) of every word, first and end bytes, word offsets."""
-        feature, begin, end, offsets = _features(data, starts)
-        p = marginals(self.log_odds(self.bins(self.weights(feature), offsets)), self.transition, self.start, offsets)
+        """P(toxic) of every word, first and end bytes, word offsets. Words are weighed in
+        slices; a long text is one chain all the same."""
+        cuts = K.pieces(data, starts, IS_WORD_ANY_CASE)
+        weights, offsets, edges = [np.zeros(0)], [np.zeros(1, np.int64)], [np.zeros((2, 0), np.int64)]
+        for i, j in K.slices(cuts):
+            feature, begin, end, own = _features(data[cuts[i]:cuts[j]], cuts[i:j + 1] - cuts[i])
+            weights.append(self.weights(feature))
+            offsets.append(own[1:] + offsets[-1][-1])
+            edges.append(np.stack([begin, end]) + cuts[i])
+        offsets = np.concatenate(offsets)[np.searchsorted(cuts, starts)]
+        p = marginals(self.log_odds(self.bins(np.concatenate(weights), offsets)), self.transition, self.start, offsets)
+        begin, end = np.concatenate(edges, axis=1)
         return p, begin, end, offsets
 
     def fit_chain(self, texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.25, ridge: float = 1e-3) -> None:
@@ -174,11 +187,11 @@ def _document_features(p: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _sample_features(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, starts = K.texts_of(batch.column(1))
+        for part in (p for batch in batches for p in K.groups(batch, BYTES_AT_ONCE)):
+            data, starts = K.texts_of(part.column(1))
             p, _, _, offsets = model.tag(data, starts)
             x = _document_features(p, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, c]) for c in range(x.shape[1]))],
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x[:, c]) for c in range(x.shape[1]))],
                                              names=["toxic", "a", "b", "c"])
 
     return task
@@ -216,24 +229,13 @@ def fit(labelled: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col:
 def _tag(model: Model, with_spans: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for row in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(row, ROWS_AT_ONCE)
+            for batch in K.groups(whole, BYTES_AT_ONCE):
                 data, starts = K.texts_of(batch.column(1))
-                weights, offsets, edges = [], [np.zeros(1, np.int64)], []
-                for i, j in K.slices(starts):
-                    feature, begin, end, own = _features(data[starts[i]:starts[j]], starts[i:j + 1] - starts[i])
-                    weights.append(model.weights(feature))
-                    offsets.append(own[1:] + offsets[-1][-1])
-                    if with_spans:
-                        edges.append(np.stack([begin, end]) + starts[i])
-                offsets = np.concatenate(offsets)
-                weight = np.concatenate(weights) if weights else np.zeros(0)
-                p = marginals(model.log_odds(model.bins(weight, offsets)), model.transition, model.start, offsets)
+                p, begin, end, offsets = model.tag(data, starts)
                 score = model.score(_document_features(p, offsets))
                 cols = [batch.column(0), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
                 if with_spans:
                     spans: list[list] = [[] for _ in range(batch.num_rows)]
-                    begin, end = np.concatenate(edges, axis=1) if edges else np.zeros((2, 0), np.int64)
                     letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before a byte
                     for w in np.flatnonzero(p >= 0.5):
                         d = int(np.searchsorted(offsets, w, side="right")) - 1
@@ -258,5 +260,5 @@ def held_out(id_col: str) -> Column:
 def query(spark, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(labels.where(~held_out("doc_id")).select("doc_id", "toxic"), docs)
-    out = score(docs, model, with_spans=False)
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+    out = score(docs, model)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
