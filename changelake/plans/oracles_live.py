@@ -47,6 +47,16 @@ UNION ALL SELECT 'issues', 'd', count(*) FROM orders WHERE o_orderstatus = 'P' H
 UNION ALL SELECT 'pull_requests', 'c', count(*) FROM ({_PULLS})
 UNION ALL SELECT 'pull_requests', 'u', count(*) FROM ({_PULLS}) WHERE status = 'F' HAVING count(*) > 0"""
 
+STREAM_NEWEST_PER_PARENT = """
+WITH u AS (
+  SELECT l_orderkey * 8 + l_linenumber AS pull_request_id,
+         max(l_suppkey) + CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS repository_id,
+         epoch_us(min(l_shipdate)) // 1000
+           + 86400000 * CASE WHEN l_orderkey % 3 = 0 THEN 2 WHEN min(l_linestatus) = 'F' THEN 1 ELSE 0 END AS updated_ms
+  FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING year(min(l_shipdate)) < 2000)
+SELECT repository_id, pull_request_id, updated_ms FROM u WHERE repository_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY repository_id ORDER BY updated_ms DESC, pull_request_id DESC) <= 20"""
+
 # ---- raw files (see plans.raw_files); k is the customer number of the parent
 _NAMED = """
 named AS (
@@ -121,6 +131,7 @@ SELECT 'e' || CAST(event_id AS VARCHAR) AS commit_sha, CAST(user_id AS BIGINT) A
 FROM events JOIN customer ON c_custkey = user_id"""
 
 LIVE_ORACLES: dict[str, str] = {
+    "stream_newest_per_parent": STREAM_NEWEST_PER_PARENT,
     "stream_repository_analytics": STREAM_REPOSITORY_ANALYTICS,
     "stream_cdc_statistics": CDC_STATISTICS,
     "stream_event_analytics": STREAM_EVENT_ANALYTICS,

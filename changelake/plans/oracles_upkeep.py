@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changelake.plans.oracles import _EV, CURRENT_STATE, SNAPSHOT_DIFF
+from changelake.plans.oracles import _EV, CDC_STATISTICS, CURRENT_STATE, SNAPSHOT_DIFF
 
 
 def _field(status: str, field: str, kind: str, condition: str) -> str:
@@ -24,6 +24,7 @@ SCHEMA_DRIFT = "WITH" + _EV + ", img AS (SELECT * FROM ev WHERE event_type <> 'e
 ])
 
 UPKEEP_ORACLES: dict[str, str] = {
+    "cdc_statistics_compacted": CDC_STATISTICS,
     "schema_drift": SCHEMA_DRIFT,
     "dead_letter_redrive": CURRENT_STATE,
     "snapshot_diff_digest": SNAPSHOT_DIFF,

@@ -4,6 +4,7 @@
 
     stream   records (Kafka, or a landing folder) -> per-table logs, dead letters,
              incremental state and the raw archive              (S1, S2, C*, K1, K3, D6)
+    compact  small files of the per-table logs -> few large ones (K1)
     state    per-table logs -> current state Parquet            (S3, D1-D5, K2)
     events   per-table logs -> event-level analytics Parquet     (A1-A6, K2)
     final    current state -> repository analytics Parquet      (S4, F1-F8, K2)
@@ -35,7 +36,8 @@ from changelake.schemas import (
 )
 from changelake.session import build_session, cluster_conf
 from changelake.sources import fs, readers
-from changelake.sources.writers import materialize, write_all, write_parquet
+from changelake.sources.writers import materialize, run_concurrently, write_all, write_parquet
+from changelake.streaming.change_log import TARGET, ChangeLog
 from changelake.streaming.jobs import start_normalise
 from changelake.streaming.state_stream import IncrementalState
 
@@ -63,8 +65,16 @@ def stream_job(spark: SparkSession, records: DataFrame, root: str,
 
 # -------------------------------------------------------------------------------- batch
 def read_log(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """A table's log as written by ``stream_job`` (a folder per micro-batch)."""
-    return readers.parquet(spark, _p(root, "log", spec.name)).select(*spec.normalised_schema().fieldNames())
+    """A table's log as written by ``stream_job``: its committed batches, compacted or not."""
+    schema = spec.normalised_schema()
+    return ChangeLog(spark, _p(root, "log")).read(spec.name, schema).select(*schema.fieldNames())
+
+
+def compact_job(spark: SparkSession, root: str, specs: Sequence[TableSpec] = tuple(TABLES.values()),
+                target_bytes: int = TARGET) -> dict[str, int]:
+    """K1: rewrite the small files of each table's log; the batches of each that were."""
+    log = ChangeLog(spark, _p(root, "log"))
+    return run_concurrently({s.name: (lambda s=s: log.compact(s.name, s.normalised_schema(), target_bytes)) for s in specs})
 
 
 def state_job(spark: SparkSession, root: str, specs: Sequence[TableSpec] = tuple(TABLES.values()),
@@ -315,7 +325,7 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
 # --------------------------------------------------------------------------------- CLI
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="changelake.plans.stages")
-    ap.add_argument("job", choices=["stream", "state", "events", "final", "quality", "raw", "load"])
+    ap.add_argument("job", choices=["stream", "compact", "state", "events", "final", "quality", "raw", "load"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--kafka", help="bootstrap servers; otherwise --landing is read")
     ap.add_argument("--topics", default=",".join(s.topic() for s in TABLES.values()))
@@ -340,6 +350,9 @@ def main(argv: Sequence[str] | None = None) -> None:
                 q.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
+    elif a.job == "compact":
+        for name, batches in compact_job(spark, a.root).items():
+            print(f"{name}: {batches} batches compacted")
     elif a.job == "state":
         state_job(spark, a.root)
     elif a.job == "events":

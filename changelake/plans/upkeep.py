@@ -6,12 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators import digest, drift, envelope, redrive, state
+from changelake.operators import analytics, digest, drift, envelope, redrive, state
 from changelake.plans import landing, stages
 from changelake.plans import testdata as td
 from changelake.plans.catalog import STATE_COLUMNS
-from changelake.schemas import REPOSITORIES
+from changelake.schemas import REPOSITORIES, TABLES
 from changelake.session import scratch_dir
+from changelake.streaming.jobs import start_normalise
 
 TRUNCATED, BAD_KEY, NO_OPERATION = 13, 17, 19
 
@@ -86,7 +87,28 @@ def snapshot_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("after.p_name").alias("after_name"))
 
 
+def cdc_statistics_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 from logs that were compacted twice, between drops of a stream that lost its checkpoint
+    before the third."""
+    path, parts = landing.drops(spark, td.activity_records(spark, sf_dir), "compacted", 3)
+    root = scratch_dir(spark, "compacted", fresh=True)
+    for k, part in enumerate(parts):
+        if k == 2:
+            path, root_of_stream = scratch_dir(spark, "landing", "compacted-anew", fresh=True), "_anew"
+        else:
+            root_of_stream = "_checkpoints"
+        landing.drop(part, path)
+        start_normalise(landing.stream(spark, path), TABLES.values(), f"{root}/log", f"{root}/{root_of_stream}",
+                        available_now=True).awaitTermination()
+        if k < 2:
+            stages.compact_job(spark, root)
+    logs = {n: stages.read_log(spark, root, s).select("operation") for n, s in TABLES.items()}
+    dead = stages.read_dead_letters(spark, root)
+    return analytics.change_statistics({n: df.unionByName(dead.where(F.col("table_name") == n).select("operation")) for n, df in logs.items()})
+
+
 UPKEEP_QUERIES = {
+    "cdc_statistics_compacted": cdc_statistics_compacted,
     "schema_drift": schema_drift,
     "dead_letter_redrive": dead_letter_redrive,
     "snapshot_diff_digest": snapshot_diff_digest,

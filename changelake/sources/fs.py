@@ -22,6 +22,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below ``path``; 0 if it does not exist."""
+    p, fs = _path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file, such as a commit marker."""
     p, fs = _path(spark, path)
