@@ -229,7 +229,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """key (see ``store.row_key``), doc_id, n_words, n_hit, n_items, items_sha256, contaminated
     and n_near (distinct windows by place that match within the slack only) of every row."""
     base, by_key = _search(docs, benchmark, id_col, text_col, item_col, item_text_col, window, slack, unnamed)
-    joined = base.join(by_key.drop("doc_id"), "key", "left").select("key", "doc_id", F.col("n_words").cast("long").alias("n_words"), "matches")
+    found = by_key.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "matches")
+    same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    joined = base.join(found, same, "left").select("key", "doc_id", F.col("n_words").cast("long").alias("n_words"), "matches")
     return joined.mapInArrow(_score(share), "key long, doc_id long, n_words long, n_hit long, n_items long, "
                                             "items_sha256 string, contaminated boolean, n_near long")
 

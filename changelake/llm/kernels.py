@@ -183,7 +183,9 @@ def sampled_runs(symbols: np.ndarray, starts: np.ndarray, window: int, gram: int
 
 
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """Boolean mask of length ``n``: true inside any [start, end)."""
+    """Boolean mask of length ``n``: true inside any [start, end), which lie within 0 to ``n``."""
+    if len(starts) and (starts.min() < 0 or ends.max() > n):
+        raise ValueError(f"spans beyond a text of {n}")
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, starts, 1)
     np.subtract.at(change, ends, 1)

@@ -78,23 +78,23 @@ def candidates(run_rows: DataFrame, name: str) -> DataFrame:
 
 
 def one_of_key(keyed_docs: DataFrame) -> DataFrame:
-    """``keyed`` rows without those whose key came before in their task."""
+    """``keyed`` rows without those whose id and key came before in their task."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             new = []
-            for key in batch.column(1).to_pylist():
-                new.append(key not in seen)
-                seen.add(key)
+            for name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new.append(name not in seen)
+                seen.add(name)
             yield batch.filter(pa.array(new, pa.bool_()))
 
     return keyed_docs.mapInArrow(task, "doc long, key long, text string")
 
 
 def spans_by_key(spans: DataFrame) -> DataFrame:
-    """(key, spans) from (key, start, end); a text has fewer spans than symbols."""
-    return spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    """(doc, key, spans) from (doc, key, start, end); a text has fewer spans than symbols."""
+    return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def span_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -39,6 +39,7 @@ def release(*frames: DataFrame) -> None:
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """Names a row by its id and text: equal rows share a key and, in every operator that
-    uses it, their result. Null id and null text have keys too."""
+    """Names a text among those of its id: equal rows share a key and, in every operator that
+    uses it, their result. Null id and null text have keys too. It has 64 bits, too few to name
+    a row among all rows of a large corpus, so rows are joined by id and key together."""
     return F.xxhash64(F.col(id_col).cast("string"), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())

@@ -84,19 +84,19 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, piece: int = PIECE) -> DataFrame:
-    """(key, start, end) in words: stretches whose windows also start in a document of smaller id."""
+    """(doc, key, start, end) in words: stretches whose windows also start in a document of smaller id."""
     rows = keyed(docs, id_col, text_col)
     base = stored(runs(rows, _symbols, window, piece), "word-runs")
     found = candidates(base, "word")
     whole = (found.where("first_doc < doc")
-             .select("key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + window).alias("end")))
-    open_runs = (found.where("mixed and doc = first_doc").select("key", "at", "windows", "k1").distinct().groupBy("key")
+             .select("doc", "key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + window).alias("end")))
+    open_runs = (found.where("mixed and doc = first_doc").select("doc", "key", "at", "windows", "k1").distinct().groupBy("doc", "key")
                  .agg(F.collect_list(F.struct("at", "windows", "k1")).alias("runs")))
-    windows = stored(one_of_key(rows).join(open_runs, "key").select("doc", "key", "text", "runs")
+    windows = stored(one_of_key(rows).join(open_runs, ["doc", "key"]).select("doc", "key", "text", "runs")
                      .mapInArrow(_windows(window), "k1 long, w long, doc long, key long, at int"), "word-windows")
     least = windows.groupBy("k1", "w").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")).where("first_doc < last_doc")
     single = (windows.join(least, ["k1", "w"]).where("first_doc < doc")
-              .select("key", F.col("at").alias("start"), (F.col("at") + window).alias("end")))
+              .select("doc", "key", F.col("at").alias("start"), (F.col("at") + window).alias("end")))
     return whole.unionByName(single)
 
 
@@ -105,7 +105,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of every row of ``docs``."""
     spans = stored(repeated_spans(docs, id_col, text_col, window, piece).distinct(), "word-spans")
     rows = keyed(docs, id_col, text_col)
-    out = (rows.join(spans_by_key(spans), "key", "left").select("doc", "text", "spans")
+    out = (rows.join(spans_by_key(spans), ["doc", "key"], "left").select("doc", "text", "spans")
            .mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 

@@ -36,7 +36,7 @@ from changelake.llm.store import release, stored, table
 LENGTH = 200
 PIECE = 40
 BLOCK = 16
-_BLOCKS = "key long, low int, target boolean, k1 long, slot int, core long, left binary, right binary"
+_BLOCKS = "doc long, key long, low int, target boolean, k1 long, slot int, core long, left binary, right binary"
 _SAME = ["k1", "slot", "core"]
 
 
@@ -52,9 +52,9 @@ def _blocks(length: int, block: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            data, starts = K.texts_of(batch.column(1))
-            lists = batch.column(2)
+            doc, key = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            data, starts = K.texts_of(batch.column(2))
+            lists = batch.column(3)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
             first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
             at, count, lead, target, k1 = (f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten())
@@ -76,11 +76,11 @@ def _blocks(length: int, block: int):
                 begin = np.maximum(low, piece - far[owner])
                 last = np.minimum(high, piece - near[owner])
                 core = prints.of(high, low + length)
-                cols = [pa.array(key[text[owner]]), pa.array((low - base).astype(np.int32)), pa.array(target[mine][owner]),
+                cols = [pa.array(doc[text[owner]]), pa.array(key[text[owner]]), pa.array((low - base).astype(np.int32)), pa.array(target[mine][owner]),
                         pa.array(k1[mine][owner]), pa.array(slot.astype(np.int32)), pa.array(K.signed(core)),
                         pa.array([raw[a:b] for a, b in zip(begin, high)], pa.binary()),
                         pa.array([raw[a:b] for a, b in zip(low + length, last + length)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "low", "target", "k1", "slot", "core", "left", "right"])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "key", "low", "target", "k1", "slot", "core", "left", "right"])
 
     return task
 
@@ -91,16 +91,16 @@ def _first(block: int):
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, piece: int = PIECE, block: int = BLOCK) -> DataFrame:
-    """(key, start, end) in bytes: stretches covered by strings that start elsewhere too."""
+    """(doc, key, start, end) in bytes: stretches covered by strings that start elsewhere too."""
     rows = keyed(docs, id_col, text_col)
     base = stored(runs(rows, _symbols, length, piece), "byte-runs")
     found = candidates(base, "byte")
     whole = (found.where("n > 1")
-             .select("key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + length).alias("end")))
+             .select("doc", "key", F.col("at").alias("start"), (F.col("at") + F.col("windows") - 1 + length).alias("end")))
     open_runs = (found.where("mixed and key = first_key").withColumn("target", F.col("n") == 1)
-                 .select("key", "at", "windows", "lead", "target", "k1").distinct().groupBy("key")
+                 .select("doc", "key", "at", "windows", "lead", "target", "k1").distinct().groupBy("doc", "key")
                  .agg(F.collect_list(F.struct("at", "windows", "lead", "target", "k1")).alias("runs")))
-    blocks = stored(one_of_key(rows).join(open_runs, "key").select("key", "text", "runs")
+    blocks = stored(one_of_key(rows).join(open_runs, ["doc", "key"]).select("doc", "key", "text", "runs")
                     .mapInArrow(_blocks(length, block), _BLOCKS), "byte-blocks")
     common = blocks.groupBy(*_SAME).agg(F.count("*").alias("n"), F.max("target").alias("any_target")).where("n > 1 and any_target")
     shared = stored(blocks.join(common.select(*_SAME), _SAME), "byte-shared")
@@ -110,11 +110,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(shared)
     # the first start of a block is low + block - 1 - length(left), the last low + length(right)
     in_blocks = (ranked.where("target and n > 1")
-                 .select("key", (F.col("low") + _first(block)).alias("start"),
+                 .select("doc", "key", (F.col("low") + _first(block)).alias("start"),
                          (F.col("low") + F.length("right") + length).alias("end")))
-    unique = ranked.where("n = 1").select("key", "low", "target", *_SAME, "left", "right")
+    unique = ranked.where("n = 1").select("doc", "key", "low", "target", *_SAME, "left", "right")
     seen = (ranked.where("n > 1").select(*_SAME, "left", "right").distinct()
-            .select(F.lit(None).cast("long").alias("key"), F.lit(0).alias("low"), F.lit(False).alias("target"), *_SAME, "left", "right"))
+            .select(*[F.lit(None).cast("long").alias(c) for c in ("doc", "key")], F.lit(0).alias("low"), F.lit(False).alias("target"), *_SAME, "left", "right"))
     step = (unique.unionByName(seen).withColumn("i", F.explode(F.sequence(_first(block), F.length("right"))))
             .withColumn("l", F.expr(f"substring(left, length(left) - ({block} - 1 - i) + 1, {block} - 1 - i)"))
             .withColumn("r", F.expr("substring(right, 1, i)")).drop("left", "right"))
@@ -122,7 +122,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     again = single.groupBy(*_SAME, "i", "l", "r").agg(F.count("*").alias("n")).where("n > 1")
     start = F.col("low") + F.col("i")
     in_windows = (single.where("target").join(again, [*_SAME, "i", "l", "r"])
-                  .select("key", start.alias("start"), (start + length).alias("end")))
+                  .select("doc", "key", start.alias("start"), (start + length).alias("end")))
     return whole.unionByName(in_blocks).unionByName(in_windows)
 
 
@@ -153,7 +153,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of every row."""
     spans = stored(repeated_spans(docs, id_col, text_col, length, piece, block), "byte-spans")
     rows = keyed(docs, id_col, text_col)
-    out = (rows.join(spans_by_key(spans.distinct()), "key", "left").select("doc", "text", "spans")
+    out = (rows.join(spans_by_key(spans.distinct()), ["doc", "key"], "left").select("doc", "text", "spans")
            .mapInArrow(_strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
@@ -337,3 +338,27 @@ def test_toxicity(spark, frame, awkward):
     assert toxicity.score(frame(awkward), model).count() == len(awkward)
     none = toxicity.fit(marked.limit(0), frame_)
     assert {r.score for r in toxicity.score(frame(awkward), none).collect()} == {0.0}
+
+
+def test_texts_whose_keys_collide_keep_apart(spark, frame, monkeypatch):
+    """Rows are joined by id and key, so one key for every text changes nothing."""
+    for module in (repeats, decontaminate):
+        monkeypatch.setattr(module, "row_key", lambda *columns: F.lit(7).cast("long"))
+    passage = " ".join(f"w{k}" for k in range(70))
+    rows = [(1, passage), (2, "other " * 3 + passage + " end"), (3, "short"), (4, None), (5, "x" * 500), (6, "lead " + passage[:300] + "z" * 90)]
+    for module, check in ((suffix_dedup, brute.suffix_dedup), (substring_dedup, brute.substring_dedup)):
+        want = check(rows)
+        out = module.dedup(frame(rows))
+        columns = [c for c in out.columns if not c.startswith("kept") or c == "kept_sha256"]
+        assert rows_of(out, *columns) == ordered(want)
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.contaminated) for r in decontaminate.scan(frame(rows), bench).collect()}
+    assert got[1] == (70, True) and got[2] == (70, True) and got[3] == got[4] == got[5] == (0, False)
+
+
+def test_spans_beyond_their_text_are_refused():
+    from changelake.llm import kernels
+
+    with pytest.raises(ValueError):
+        kernels.covered(np.array([0]), np.array([5]), 4)
+    assert not kernels.covered(np.array([], int), np.array([], int), 0).any()
