@@ -43,8 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents contaminated by the benchmark."""
-    bad = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), unnamed=True).where("contaminated").select(F.col("key").alias("_key")).distinct()
-    return docs.select(F.struct("*").alias("row"), row_key().alias("_key")).join(bad, "_key", "left_anti").select("row.*")
+    bad = (decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), unnamed=True).where("contaminated")
+           .select(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("_row_key"))
+    same = (F.col("_row_key") == F.col("_key")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id"))
+    return rows.join(bad, same, "left_anti").select("row.*")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
