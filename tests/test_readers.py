@@ -52,3 +52,18 @@ def test_flat_records_by_line(spark):
     with open(os.path.join(root, "o_r.json"), "w") as fh:
         fh.write("\n".join(json.dumps({"commit_sha": str(k), "repository": "o/r"}) for k in range(5)))
     assert readers.flat_records(spark, root, FLAT_COMMITS.row_schema, lines=True).count() == 5
+
+
+def test_a_page_is_parsed_before_it_is_exploded(spark):
+    root = scratch_dir(spark, "pages", fresh=True)
+    os.makedirs(root)
+    with open(os.path.join(root, "o_r.json"), "w") as fh:
+        fh.write(json.dumps([{"id": k} for k in range(50)], indent=2) + "\n")  # over many lines, and one at the end
+    with open(os.path.join(root, "o_s.json"), "w") as fh:
+        fh.write('[{"id": 1}, {"i')
+    pages = readers.raw_pages(spark, root)
+    assert pages.filter("reject_reason is null").count() == 50
+    assert [(r.source_file, r.position, r.doc) for r in pages.filter("reject_reason is not null").collect()] == [("o_s.json", 0, '[{"id": 1}, {"i')]
+    # nothing above the generator reads the page again: that took time with the square of its length
+    above = pages._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "from_json" not in above
