@@ -92,6 +92,21 @@ def test_archive_replay_on_a_later_day_replaces_the_batch(spark):
     assert spark.read.json(os.path.join(root, "archive")).count() == len(BASE)
 
 
+def test_the_archive_is_packed_and_whole(spark):
+    from changelake.streaming.jobs import start_archive
+
+    landing, root = scratch_dir(spark, "landing", fresh=True), scratch_dir(spark, "packed", fresh=True)
+    df = records_df(spark, [rec(k, BASE[0][5], seconds=k) for k in range(3000)] + FAULTS)
+    df.coalesce(1).write.parquet(landing)
+    out = os.path.join(root, "out")
+    start_archive(landing_stream(spark, landing), out, os.path.join(root, "chk"), available_now=True).awaitTermination()
+    files = [os.path.join(d, f) for d, _, names in os.walk(out) for f in names if f.startswith("part-")]
+    text = df.agg(F.sum(F.length("value"))).first()[0]
+    assert sum(map(os.path.getsize, files)) < text / 4
+    want = sorted((r.offset, r.value or "") for r in df.collect())
+    assert sorted((r.offset, r.event or "") for r in spark.read.json(out).collect()) == want
+
+
 def test_unknown_topics_are_dead_letters(spark):
     from changelake.streaming.jobs import normalise_batch
 
