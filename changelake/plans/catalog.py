@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from changelake.operators import analytics, capture, entity, envelope, load, quality, state
 from changelake.operators import transform
+from changelake.plans import landing
 from changelake.plans import testdata as td
 from changelake.schemas import PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
 from changelake.session import scratch_dir
@@ -370,6 +371,13 @@ def _landed(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
                           max_files_per_trigger=max(1, spark.sparkContext.defaultParallelism // 2))
 
 
+def _landed_once(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
+    """``_landed`` for records that are each named once: encoded to files, then dealt from these."""
+    path, (records,) = landing.drops(spark, recs, name, 1)
+    landing.drop(records, path)
+    return landing.stream(spark, path)
+
+
 def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repository log, each record twice plus stale updates, in shuffled
     micro-batches, folded into the state store; must equal the batch current state."""
@@ -406,7 +414,7 @@ def staged_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job sequence: stream (normalise four topics) -> state job -> final analytics."""
     from changelake.plans import stages
 
-    stream = _landed(spark, td.activity_records(spark, sf_dir), "activity")
+    stream = _landed_once(spark, td.activity_records(spark, sf_dir), "activity")
     root = scratch_dir(spark, "stages", fresh=True)
     for q in stages.stream_job(spark, stream, root,
                                  incremental_state=False, archive=False, available_now=True):
@@ -421,7 +429,7 @@ ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bi
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: every record of the four topics archived once, tombstones included."""
-    stream = _landed(spark, td.activity_records(spark, sf_dir), "activity")
+    stream = _landed_once(spark, td.activity_records(spark, sf_dir), "activity")
     root = scratch_dir(spark, "archive", fresh=True)
     out = os.path.join(root, "out")
     q = start_archive(stream, out,

@@ -165,3 +165,22 @@ def test_crash_between_the_commits_and_a_lost_checkpoint(spark, monkeypatch):
     named(spark, range(15, 30)).write.mode("append").parquet(landing)
     run(start_once(landing_stream(spark, landing), out, consumed, os.path.join(root, "another-checkpoint"), available_now=True))
     assert count() == 30 and spans(consumed.intervals()) == [("t", 0, 0, 29)]
+
+
+def test_a_drop_lands_every_record_without_a_shuffle(spark):
+    from changelake.plans import landing
+
+    path, parts = landing.drops(spark, named(spark, range(1000)).repartition(3), "whole", 2)
+    tracker, group = spark.sparkContext.statusTracker(), "landing-drop"
+    with pytest.MonkeyPatch.context() as m:  # in one thread, whose jobs are then found by their group
+        m.setattr(landing, "run_concurrently", lambda tasks: [t() for t in tasks.values()])
+        spark.sparkContext.setJobGroup(group, group)
+        for part in parts:
+            landing.drop(part, path)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)]
+    assert stages and set(stages) == {1}
+    landed = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    assert sorted(r.offset for r in landed.collect()) == list(range(1000))
+    files = landed.select(F.input_file_name().alias("file"), "offset").groupBy("file").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    assert all(r.high - r.low > 100 for r in files.collect())  # no file holds a stretch of the log
