@@ -184,3 +184,32 @@ def test_a_drop_lands_every_record_without_a_shuffle(spark):
     assert sorted(r.offset for r in landed.collect()) == list(range(1000))
     files = landed.select(F.input_file_name().alias("file"), "offset").groupBy("file").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
     assert all(r.high - r.low > 100 for r in files.collect())  # no file holds a stretch of the log
+
+
+def test_no_batch_is_cached(spark, monkeypatch):
+    from changelake.streaming.jobs import normalise_batch
+
+    root = scratch_dir(spark, "uncached", fresh=True)
+    batch = records_df(spark, BASE + FAULTS + BASE)
+
+    def refuse(*_):
+        raise AssertionError("a batch may be larger than the executors' memory")
+
+    monkeypatch.setattr(type(batch), "persist", refuse)
+    monkeypatch.setattr(type(batch), "cache", refuse)
+    consumed = ConsumedOffsets(spark, os.path.join(root, "consumed"))
+    deliver_once(batch, 0, consumed, os.path.join(root, "once"))
+    once = spark.read.option("recursiveFileLookup", "true").schema(batch.schema).parquet(os.path.join(root, "once"))
+    assert once.count() == len(BASE + FAULTS)
+    normalise_batch(once, 0, [REPOSITORIES], os.path.join(root, "log"))
+    assert spark.read.parquet(os.path.join(root, "log", "repositories")).count() == len(BASE)
+    assert spark.read.parquet(os.path.join(root, "log", "_dead_letters")).count() == len(FAULTS)
+
+
+def test_long_and_short_intervals_are_consumed(spark, monkeypatch):
+    monkeypatch.setattr(redelivery, "BUCKET", 4)
+    consumed = ConsumedOffsets(spark, os.path.join(scratch_dir(spark, "mixed", fresh=True), "consumed"))
+    consumed.add(intervals_of(named(spark, [*range(3, 18), 20, 22, 29])))  # one over five buckets, three inside one
+    rows = named(spark, [*range(32), *range(16, 24), 40]).unionByName(named(spark, [5], partition=1))
+    got = sorted((r.partition, r.offset) for r in consumed.fresh(rows).collect())
+    assert got == [(0, o) for o in [0, 1, 2, 18, 19, 21, *range(23, 29), 30, 31, 40]] + [(1, 5)]
