@@ -29,16 +29,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: that of the least id. A document is a text under an id:
     of equal rows one stays, and texts that share an id are judged one by one, after all others
-    (for this each gets a number of its own from 2**62)."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"), F.col("text").alias("_text"))
-    name = F.coalesce("_id", "_key")
-    same = Window.partitionBy(name)
-    rows = (rows.withColumn("_n", F.row_number().over(Window.partitionBy(name, "_key").orderBy("_key")))
-            .withColumn("_several", F.min("_key").over(same) != F.max("_key").over(same)).where("_n = 1"))
-    own = F.when(~F.col("_several"), F.col("_id")).otherwise(F.col("_key").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
-    rows = stored(rows.select("row", "_text", F.when(F.col("_id").isNotNull(), own).alias("_doc")), "documents")
-    gone = minhash_dedup.dedup(rows, "_doc", "_text", shingle=SHINGLE).where("not kept").select(F.col("doc_id").alias("_doc"))
-    return rows.join(gone, "_doc", "left_anti").select("row.*")
+    (for this each gets a number of its own from 2**62).
+
+    Texts are moved once, when the rows to stay are known: until then the ids that several texts
+    share are found from ids and keys, and equal rows are one node to the operator."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"))
+    shared = stored(rows.where("_id is not null").groupBy("_id").agg(F.min("_key").alias("least"), F.max("_key").alias("most"))
+                    .where("least != most").select("_id", F.lit(True).alias("_several")), "shared-ids")
+    own = F.when(F.col("_several"), F.col("_key").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))).otherwise(F.col("_id"))
+    rows = rows.join(shared, "_id", "left").select("row", "_key", own.alias("_doc"))
+    if not shared.isEmpty():
+        rows = stored(rows, "documents")  # the join is not repeated by each of the passes below
+    texts = rows.select("_doc", F.col("row.text").alias("_text"))
+    gone = minhash_dedup.dedup(texts, "_doc", "_text", shingle=SHINGLE).where("not kept").select(
+        F.col("doc_id").alias("_place"), F.lit(True).alias("_named"))
+    # rows without an id have places by their keys, apart from those of ids
+    rows = rows.select("row", "_key", F.coalesce("_doc", "_key").alias("_place"), F.col("_doc").isNotNull().alias("_named"))
+    equal = Window.partitionBy("_place", "_named", "_key").orderBy("_key")
+    return rows.join(gone, ["_place", "_named"], "left_anti").withColumn("_n", F.row_number().over(equal)).where("_n = 1").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

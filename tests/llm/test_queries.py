@@ -61,6 +61,23 @@ def test_pipeline_stages(spark, frame, awkward):
     assert {r.doc_id for r in stage["near duplicates"](spark, odd, DIR).collect() if r.doc_id} >= {1, 4, 5, 6, 7, 8, 9, 10, 11, 12}
 
 
+def test_near_duplicates_keeps_no_texts_beside_its_input(spark, monkeypatch):
+    """Texts were shuffled twice and written twice in a row of their own before anything was compared."""
+    kept, stored = [], corpus_pipeline.stored
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: kept.append(df) or stored(df, name))
+    near = dict(corpus_pipeline.STAGES)["near duplicates"]
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(30))
+    schema = "doc_id long, text string"
+    plain = [(1, text(1)), (2, text(1)), (3, text(3)), (3, text(3)), (None, text(4)), (None, text(4)), (None, text(1)), (5, "")]
+    got = near(spark, spark.createDataFrame(plain, schema), "")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [plain[0], plain[2], plain[4], plain[6], plain[7]]))
+    assert not [f for df in kept for f in df.schema.fields if "string" in f.dataType.simpleString()]
+    # texts that share an id come after all others: the copy of another's text goes, the own one stays
+    several = [(1, text(1)), (1, text(2)), (1, text(2)), (2, text(1)), (9, text(9)), (9, text(9) + " more")]
+    got = sorted(map(tuple, near(spark, spark.createDataFrame(several, schema), "").collect()))
+    assert got[:2] == [(1, text(2)), (2, text(1))] and len(got) == 3 and got[2][0] == 9
+
+
 def test_pipeline_loses_no_clean_text(spark, frame):
     near = dict(corpus_pipeline.STAGES)["near duplicates"]
     words = lambda p: " ".join(f"{p}{k}" for k in range(60))
