@@ -24,7 +24,7 @@ from changelake.operators import load
 from changelake.plans import stages
 from changelake.plans import testdata as td
 from changelake.schemas import UPSERT_SPECS
-from changelake.session import scratch_dir
+from changelake.session import scratch_dir, settings
 from changelake.sources import fs
 from changelake.sources.readers import file_stem_of
 
@@ -155,7 +155,8 @@ def load_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.to_json(F.struct(*UPSERT_SPECS["commits"].columns))
         processed = os.path.join(root, "processed", "commits")
         fs.delete(spark, processed)
-        _write_pages(commits.select(text.alias("doc"), F.pmod(F.xxhash64("repository"), F.lit(64)).alias("page")), processed, "page")
+        with settings(spark, stages.NO_BROADCASTS):
+            _write_pages(commits.select(text.alias("doc"), F.pmod(F.xxhash64("repository"), F.lit(64)).alias("page")), processed, "page")
         stages.load_job(spark, root, n + 1)
     return load.read_current(spark, os.path.join(root, "tables", "commits")).select(
         "commit_sha", "repository_id", "author", "author_email", "commit_date", "message")

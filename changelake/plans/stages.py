@@ -273,6 +273,11 @@ def _flat(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return None
 
 
+#: A broadcast passes through the driver, and a load joins with its parents and keys a dozen times:
+#: sides that grow with the tables are merged at every size.
+NO_BROADCASTS = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
     """Flat records -> tables: resolve the parent, upsert by key with the table's mutable
     columns, and commit a new version. May be repeated with one version.
@@ -281,6 +286,11 @@ def load_job(spark: SparkSession, root: str, version: int) -> dict[str, DataFram
     each later load, until it arrives or a newer row of its key replaces it. What a load leaves
     pending, and rows without a key, are written to ``rejects/load/<table>`` with a reason and
     returned."""
+    with settings(spark, NO_BROADCASTS):
+        return _load(spark, root, version)
+
+
+def _load(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
     rejects = {}
     tables = _p(root, "tables")
 

@@ -173,3 +173,18 @@ def test_children_wait_for_their_parent(spark):
         issues = read_current(spark, os.path.join(root, "tables", "issues"))
         assert _rows(issues.select("issue_id", "repository_id", "title")) == [(1, 1, "a"), (2, 2, "newer"), (3, 2, "c")]
     assert read_current(spark, os.path.join(root, "pending", "issues")).count() == 0
+
+
+def test_a_load_broadcasts_no_side_that_grows(spark, monkeypatch):
+    """Parents and keys were sent through the driver by every join of a load."""
+    limits = []
+    commit = stages.load.commit_version
+    monkeypatch.setattr(stages.load, "commit_version", lambda df, path, version: limits.append(
+        [int(spark.conf.get(k)) for k in stages.NO_BROADCASTS]) or commit(df, path, version))
+    root = scratch_dir(spark, "load", fresh=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.createDataFrame([(1, "o/r", "2024-01-01T00:00:00Z")], "repository_id long, full_name string, updated_at string").write.parquet(
+        os.path.join(root, "flat", "repositories"))
+    stages.load_job(spark, root, 1)
+    assert limits and all(x < 0 for pair in limits for x in pair)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
