@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changelake.operators import entity, envelope, state, totals
 from changelake.plans import live, moving
 from changelake.schemas import REPOSITORIES, TABLES
-from changelake.session import scratch_dir
+from changelake.session import scratch_dir, settings
 from changelake.sources.readers import landing_stream
 from changelake.streaming import redelivery
 from changelake.streaming.redelivery import ConsumedOffsets, deliver_once, intervals_of, start_once
@@ -132,6 +132,30 @@ def test_intervals(spark, monkeypatch):
     assert spans(intervals_of(rows)) == want
 
 
+def test_scattered_offsets_of_one_partition_are_many_groups(spark):
+    offsets = spark.range(0, 16 * redelivery.BUCKET, 16).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    largest = lambda df: df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        once = intervals_of(offsets)
+        assert once.count() == redelivery.BUCKET and largest(once) < redelivery.BUCKET // 2
+        consumed = ConsumedOffsets(spark, os.path.join(scratch_dir(spark, "scattered", fresh=True), "consumed"))
+        consumed.add(once)
+        consumed.add(intervals_of(offsets.withColumn("offset", F.col("offset") + 1)))
+        rows = consumed.intervals().withColumn("part", F.input_file_name())
+        assert rows.where("end = start + 1").count() == redelivery.BUCKET == rows.count()
+        assert rows.groupBy("part").count().agg(F.max("count")).first()[0] < redelivery.BUCKET // 2
+
+
+def test_long_intervals_meet_repeated_and_very_large_offsets(spark, monkeypatch):
+    monkeypatch.setattr(redelivery, "BUCKET", 4)
+    consumed = ConsumedOffsets(spark, os.path.join(scratch_dir(spark, "repeated", fresh=True), "consumed"))
+    high = (1 << 60) + 3
+    for offsets in ([*range(2, 23), 40], [5, 6, 13, 24, high], [*range(21, 26), 41, 42], [high, high + 1]):
+        consumed.add(intervals_of(named(spark, offsets)))
+    assert spans(consumed.intervals()) == [("t", 0, 2, 25), ("t", 0, 40, 42), ("t", 0, high, high + 1)]
+    assert [r.offset for r in consumed.fresh(named(spark, [1, 9, 25, 26, high, high + 2])).orderBy("offset").collect()] == [1, 26, high + 2]
+
+
 def test_only_new_records_are_delivered(spark, monkeypatch):
     monkeypatch.setattr(redelivery, "BUCKET", 4)
     root = scratch_dir(spark, "once", fresh=True)
