@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,6 +211,27 @@ def test_a_drop_lands_every_record_without_a_shuffle(spark):
     assert all(r.high - r.low > 100 for r in files.collect())  # no file holds a stretch of the log
 
 
+def test_a_landed_file_is_read_by_several_tasks_and_its_piece_alone(spark, monkeypatch):
+    from changelake.plans import landing
+
+    monkeypatch.setattr(landing, "ROW_GROUP", 1 << 12)
+    one = named(spark, [0])
+    many = one.drop("offset", "value").crossJoin(spark.range(40_000).select(F.col("id").alias("offset"), F.sha2(F.col("id").cast("string"), 256).alias("value")))
+    path, (records,) = landing.drops(spark, many.select(*one.columns), "groups", 1)
+    piece = records.where(F.col("_piece") == 1)  # read from folders of its own
+    assert re.search(r"PartitionFilters: \[[^\]]*_piece#\d+L? = 1", piece._jdf.queryExecution().executedPlan().toString())
+    landing.drop(records, path)
+    landed = landing.landing_stream(spark, path).schema
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}):
+        read = spark.read.schema(landed).option("recursiveFileLookup", "true").parquet(path)
+        parts = read.groupBy(F.input_file_name().alias("file"), F.spark_partition_id().alias("task")).count()
+        assert all(r["count"] > 1 for r in parts.groupBy("file").count().collect())
+    assert read.count() == 40_000
+    path, (nothing,) = landing.drops(spark, named(spark, []), "nothing", 1)
+    landing.drop(nothing, path)
+    assert spark.read.schema(landed).option("recursiveFileLookup", "true").parquet(path).count() == 0
+
+
 def test_no_batch_is_cached(spark, monkeypatch):
     from changelake.streaming.jobs import normalise_batch
 

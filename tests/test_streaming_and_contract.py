@@ -119,6 +119,15 @@ def test_unknown_topics_are_dead_letters(spark):
     assert dead.count() == len(BASE)
 
 
+def test_the_filter_of_unknown_topics_reaches_the_files(spark):
+    path = scratch_dir(spark, "unrouted", fresh=True)
+    nameless = records_df(spark, BASE[:1]).withColumn("topic", F.lit(None).cast("string"))
+    records_df(spark, BASE).unionByName(nameless).write.parquet(path)
+    dead = envelope.unrouted(spark.read.parquet(path), [REPOSITORIES])
+    assert dead.count() == 1
+    assert "Or(IsNull(topic),Not(" in dead._jdf.queryExecution().executedPlan().toString().replace(" ", "")
+
+
 def test_purge_sweep_drops_old_tombstones_only(spark):
     root = scratch_dir(spark, "sweep", fresh=True)
     st = IncrementalState(spark, REPOSITORIES, os.path.join(root, "state"))
