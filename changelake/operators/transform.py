@@ -18,8 +18,9 @@ def _parsed(docs: DataFrame, schema) -> DataFrame:
     return docs.withColumn("_d", F.from_json("doc", schema))
 
 
-def repositories(docs: DataFrame) -> DataFrame:
-    """T1 (+T6, T9): 21 columns, renamed counters, owner and license flattened."""
+def repositories(docs: DataFrame, *carried: str) -> DataFrame:
+    """T1 (+T6, T9): 21 columns, renamed counters, owner and license flattened. Here and below,
+    ``carried`` columns of the documents follow."""
     d = F.col("_d")
     return _parsed(docs, RAW_REPOSITORY).select(
         d["id"].alias("repository_id"), d["name"].alias("name"), d["full_name"].alias("full_name"),
@@ -32,11 +33,11 @@ def repositories(docs: DataFrame) -> DataFrame:
         d["archived"].alias("archived"), d["has_issues"].alias("has_issues"),
         d["has_discussions"].alias("has_discussions"), d["default_branch"].alias("default_branch"),
         string_array_or_empty(d["topics"]).alias("topics"),
-        d["license"]["spdx_id"].alias("license"),
+        d["license"]["spdx_id"].alias("license"), *carried,
     )
 
 
-def commits(docs: DataFrame) -> DataFrame:
+def commits(docs: DataFrame, *carried: str) -> DataFrame:
     """T2 (+T6, T7, T10): the account login, or the commit author's name when it is empty."""
     d = F.col("_d")
     a = d["commit"]["author"]
@@ -44,7 +45,7 @@ def commits(docs: DataFrame) -> DataFrame:
         d["sha"].alias("commit_sha"), F.col("repository"),
         first_non_empty(d["author"]["login"], a["name"]).alias("author"),
         a["email"].alias("author_email"), a["date"].alias("commit_date"),
-        d["commit"]["message"].alias("message"),
+        d["commit"]["message"].alias("message"), *carried,
     )
 
 
@@ -54,7 +55,7 @@ def is_pull_request(doc: str = "doc") -> F.Column:
     return F.coalesce(F.array_contains(F.json_object_keys(F.col(doc)), "pull_request"), F.lit(False))
 
 
-def issues(docs: DataFrame, keep_pull_requests: bool = False) -> DataFrame:
+def issues(docs: DataFrame, *carried: str, keep_pull_requests: bool = False) -> DataFrame:
     """T3 (+T5, T6, T8, T9): 12 columns; entries of the issue feed that are pull
     requests are dropped."""
     src = docs if keep_pull_requests else docs.filter(~is_pull_request())
@@ -64,11 +65,11 @@ def issues(docs: DataFrame, keep_pull_requests: bool = False) -> DataFrame:
         d["title"].alias("title"), d["state"].alias("state"), d["user"]["login"].alias("author"),
         d["created_at"].alias("created_at"), d["updated_at"].alias("updated_at"),
         d["closed_at"].alias("closed_at"), d["comments"].alias("comments"),
-        field_of_each(d["labels"], "name").alias("labels"), d["html_url"].alias("url"),
+        field_of_each(d["labels"], "name").alias("labels"), d["html_url"].alias("url"), *carried,
     )
 
 
-def pull_requests(docs: DataFrame) -> DataFrame:
+def pull_requests(docs: DataFrame, *carried: str) -> DataFrame:
     """T4 (+T6): 17 columns."""
     d = F.col("_d")
     return _parsed(docs, RAW_PULL_REQUEST).select(
@@ -79,7 +80,7 @@ def pull_requests(docs: DataFrame) -> DataFrame:
         d["comments"].alias("comments"), d["review_comments"].alias("review_comments"),
         d["commits"].alias("commits"), d["changed_files"].alias("changed_files"),
         d["additions"].alias("additions"), d["deletions"].alias("deletions"),
-        d["html_url"].alias("url"),
+        d["html_url"].alias("url"), *carried,
     )
 
 

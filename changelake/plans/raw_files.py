@@ -6,18 +6,22 @@ repositories   one object per customer, in pages of about a hundred. Full name
                owner_<nation>/customer_<k>; k % 80 = 40 and k % 80 = 0 are pairs of names that give
                one file name. Where k % 30 = 11 the repository is not listed at first; k % 60 = 11
                is listed in the second drop, k % 60 = 41 never.
-issues         one page for each repository k = o_custkey % 150 + 1 and drop, in its folder. First
-               drop: even orders, the pages of k % 50 = 7 cut off. Second drop: odd orders, and even
-               closed ones fetched again with another title, creation and update time.
-pull requests  one page for each repository k = l_suppkey and drop, in its folder: even orders, then
-               odd ones. Of rows of one id, that of the greatest supplier and latest date.
+issues         pages of about ``PAGE_DOCS`` for each repository k = o_custkey % 150 + 1 and drop, in
+               its folder. First drop: even orders, the page of k % 50 = 7 a single one, cut off.
+               Second drop: odd orders, and even closed ones fetched again with another title,
+               creation and update time.
+pull requests  pages likewise for each repository k = l_suppkey and drop, in its folder: even orders,
+               then odd ones. Of rows of one id, that of the greatest supplier and latest date.
+
+Rows are chosen, named and dealt to pages as columns, and become text last: only the shuffle that
+brings a page together carries documents.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changelake.operators import load
@@ -29,6 +33,8 @@ from changelake.sources import fs
 from changelake.sources.readers import file_stem_of
 
 LATER = "2030-01-01T00:00:00Z"
+#: Documents of a page on average, at most: a task holds a page whole.
+PAGE_DOCS = 4096
 
 
 def _full_name() -> Column:
@@ -39,55 +45,62 @@ def _full_name() -> Column:
             .otherwise(F.concat(F.lit("owner_"), F.col("c_nationkey").cast("string"), F.lit("/customer_"), k.cast("string"))))
 
 
-def _write_pages(docs: DataFrame, path: str, folder: str, cut: Column | None = None) -> None:
-    """One array of ``doc`` for each value of ``folder``, as one file in a folder of that name."""
+def _write_pages(docs: DataFrame, path: str, folder: str, cut: Column | None = None, number: Column | None = None) -> None:
+    """One array of ``doc`` for each value of ``folder`` and page ``number``, as one packed file in
+    the folder's folder."""
     text = F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ","), F.lit("]"))
-    pages = docs.withColumn("_cut", F.lit(False) if cut is None else cut).groupBy(folder, "_cut").agg(text.alias("value"))
+    docs = docs.withColumns({"_cut": F.lit(False) if cut is None else cut, "_number": F.lit(0) if number is None else number})
+    pages = docs.groupBy(folder, "_cut", "_number").agg(text.alias("value"))
     whole = F.when(F.col("_cut"), F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
-    pages.select(folder, whole.alias("value")).repartition(folder).write.mode("append").partitionBy(folder).text(path)
+    (pages.select(folder, whole.alias("value")).write.mode("append").options(compression="gzip", maxRecordsPerFile=1)
+     .partitionBy(folder).text(path))
 
 
-def _replaced(doc: Column, field: str, value: str) -> Column:
-    return F.regexp_replace(doc, f'"{field}":"([^"]*)"', f'"{field}":"{value}"')
+def _in_folders(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Rows with the folder of their parent ``c_custkey``, and in how many pages its rows lie."""
+    parents = td.table(spark, sf_dir, "customer").select("c_custkey", file_stem_of(_full_name()).alias("repository"))
+    sizes = rows.groupBy("c_custkey").agg(F.ceil(F.count("*") / PAGE_DOCS).alias("_pages"))
+    return rows.join(parents.join(sizes, "c_custkey"), "c_custkey")
 
 
-def _parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return td.table(spark, sf_dir, "customer").select("c_custkey", _full_name().alias("full_name"))
+def _number(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.col("_pages"))
 
 
 def land_repositories(spark: SparkSession, sf_dir: str, root: str, drop: int) -> None:
     k = F.col("c_custkey")
     listed = {0: k % 30 != 11, 1: k % 60 == 11}[drop]
-    docs = td.raw_repository_docs(spark, sf_dir).withColumn("c_custkey", F.get_json_object("doc", "$.id").cast("bigint"))
-    docs = docs.join(_parents(spark, sf_dir), "c_custkey").where(listed).select(
-        F.regexp_replace("doc", F.lit('"full_name":"[^"]*"'), F.concat(F.lit('"full_name":"'), F.col("full_name"), F.lit('"'))).alias("doc"),
-        F.floor(k / 100).alias("page"))
+    rows = td.table(spark, sf_dir, "customer").where(listed)
+    docs = rows.select(F.to_json(td.repository_object().withField("full_name", _full_name())).alias("doc"), F.floor(k / 100).alias("page"))
     _write_pages(docs, os.path.join(root, "raw", "repositories"), "page")
 
 
 def land_issues(spark: SparkSession, sf_dir: str, root: str, drop: int) -> None:
-    order = F.get_json_object("doc", "$.id").cast("bigint")
-    docs = td.raw_issue_docs(spark, sf_dir).withColumn("order", order).withColumn(
-        "c_custkey", F.substring_index("repository", "_", -1).cast("bigint") % 150 + 1).drop("repository")
-    even = F.col("order") % 2 == 0
+    issue, even = td.issue_object(), F.col("o_orderkey") % 2 == 0
+    rows = td.table(spark, sf_dir, "orders").withColumn("c_custkey", F.col("o_custkey") % 150 + 1)
     if drop == 0:
-        docs = docs.where(even)
+        rows = rows.where(even)
     else:
-        again = even & F.get_json_object("doc", "$.closed_at").isNotNull()
-        text = _replaced(_replaced(_replaced(F.col("doc"), "created_at", LATER), "updated_at", LATER), "title", "$1 again")
-        docs = docs.where(~even | again).withColumn("doc", F.when(again, text).otherwise(F.col("doc")))
-    docs = docs.join(_parents(spark, sf_dir), "c_custkey").withColumn("repository", file_stem_of(F.col("full_name")))
+        again = even & issue["closed_at"].isNotNull()
+        rows = rows.where(~even | again)
+        later = lambda name, value: F.when(again, value).otherwise(issue[name])
+        issue = (issue.withField("created_at", later("created_at", F.lit(LATER))).withField("updated_at", later("updated_at", F.lit(LATER)))
+                 .withField("title", later("title", F.concat(issue["title"], F.lit(" again")))))
     cut = (F.col("c_custkey") % 50 == 7) & F.lit(drop == 0)
-    _write_pages(docs, os.path.join(root, "raw", "issues"), "repository", cut)
+    docs = _in_folders(spark, sf_dir, rows).select("repository", "c_custkey", td.issue_doc(issue).alias("doc"),
+                                                   F.when(cut, 0).otherwise(_number("o_orderkey")).alias("_page"))
+    _write_pages(docs, os.path.join(root, "raw", "issues"), "repository", cut, F.col("_page"))
 
 
 def land_pull_requests(spark: SparkSession, sf_dir: str, root: str, drop: int) -> None:
-    docs = td.raw_pull_request_docs(spark, sf_dir)
-    docs = docs.withColumn("c_custkey", F.substring_index("repository", "_", -1).cast("bigint")).drop("repository")
-    docs = docs.select("doc", "c_custkey", F.get_json_object("doc", "$.id").cast("bigint").alias("id"), F.get_json_object("doc", "$.updated_at").alias("at"))
-    docs = docs.where(F.floor(F.col("id") / 8) % 2 == drop).groupBy("id").agg(F.max(F.struct("c_custkey", "at", "doc")).alias("last")).select("last.*")
-    docs = docs.join(_parents(spark, sf_dir), "c_custkey").withColumn("repository", file_stem_of(F.col("full_name")))
-    _write_pages(docs, os.path.join(root, "raw", "pull_requests"), "repository")
+    rows = td.table(spark, sf_dir, "lineitem").withColumn("c_custkey", F.col("l_suppkey").cast("bigint"))
+    rows = rows.withColumns({"id": F.col("l_orderkey") * 8 + F.col("l_linenumber"), "at": td.iso("l_shipdate")})
+    rows = rows.where(F.floor(F.col("id") / 8) % 2 == drop).withColumn(
+        "_rank", F.rank().over(Window.partitionBy("id").orderBy(F.col("c_custkey").desc(), F.col("at").desc()))).where("_rank = 1")
+    # rows alike in all that have been ordered: the greatest document
+    last = rows.groupBy("id").agg(F.max_by(F.struct(*rows.columns), td.pull_request_doc()).alias("last")).select("last.*")
+    docs = _in_folders(spark, sf_dir, last).select("repository", td.pull_request_doc().alias("doc"), _number("id").alias("_page"))
+    _write_pages(docs, os.path.join(root, "raw", "pull_requests"), "repository", number=F.col("_page"))
 
 
 _LAND = {"repositories": land_repositories, "issues": land_issues, "pull_requests": land_pull_requests}

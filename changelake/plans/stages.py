@@ -34,7 +34,7 @@ from changelake.operators import analytics, entity, load, quality, redrive, stat
 from changelake.schemas import (
     EVENT_ORDER, EXPECTATIONS_SCHEMA, TABLES, UPSERT_SPECS, TableSpec,
 )
-from changelake.session import build_session, cluster_conf, settings
+from changelake.session import build_session, cluster_conf, session_like, settings
 from changelake.sources import fs, readers
 from changelake.sources.writers import materialize, run_concurrently, write_all, write_parquet
 from changelake.streaming.change_log import TARGET, ChangeLog
@@ -194,27 +194,42 @@ def parent_names(spark: SparkSession, root: str) -> DataFrame | None:
             .agg(F.min("full_name").alias("_full_name"), F.count_distinct("full_name").alias("_names")))
 
 
-def transform_pages(pages: DataFrame, name: str, names: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Raw pages of one table -> flat rows, and rejects ``source_file, doc, reject_reason``.
+def transform_files(files: DataFrame, name: str, names: DataFrame | None) -> DataFrame:
+    """Raw files of one table -> flat rows, ``_file`` and ``_reject`` in one pass, which parses a
+    page once. ``_reject``: null, or ``source_file, doc, reject_reason`` of a row set aside.
 
     A child carries its parent's real ``owner/name``, found in the repository list by the
     file's name (a name that fits none stays as it is, for the load to resolve or hold). Pages
     that do not parse, rows without a key, and children whose file name fits several
     repositories are rejects.
     """
-    bad = pages.filter("reject_reason is not null").select("source_file", "doc", "reject_reason")
-    docs = pages.filter("reject_reason is null").withColumn("repository", readers.parent_of_file())
+    reason, repository = F.col("reject_reason"), readers.parent_of_file()
     if name != "repositories" and names is not None:
-        docs = docs.join(names, "repository", "left")
-        bad = bad.unionByName(docs.filter("_names > 1").select("source_file", "doc", F.lit("ambiguous_parent").alias("reject_reason")))
-        docs = docs.filter("_names is null or _names = 1").withColumn("repository", F.coalesce("_full_name", "repository"))
-    flat = RAW_TRANSFORMS[name](docs)
-    key = UPSERT_SPECS[name].key
-    keyless = flat.filter(F.col(key).isNull())
-    bad = bad.unionByName(keyless.select(
-        (F.col("repository") if "repository" in flat.columns else F.lit(None).cast("string")).alias("source_file"),
-        F.to_json(F.struct(*flat.columns)).alias("doc"), F.lit("no_key").alias("reject_reason")))
-    return flat.filter(F.col(key).isNotNull()), bad
+        # a page is named before it is parsed: it is one row then, not one for each document
+        files = files.withColumn("repository", repository).join(names, "repository", "left").drop("repository")
+        pages = readers.pages_of(files, *names.columns[1:])
+        reason = F.coalesce(reason, F.when(F.col("_names") > 1, F.lit("ambiguous_parent")))
+        repository = F.coalesce("_full_name", repository)
+    else:
+        pages = readers.pages_of(files)
+    docs = pages.select("source_file", F.col("doc").alias("_doc"), F.col("file_id").alias("_file"), reason.alias("_reason"),
+                        F.when(reason.isNull(), F.col("doc")).alias("doc"), repository.alias("repository"))
+    carried = ("source_file", "_doc", "_reason", "_file")
+    if name == "issues":  # what is set aside is no pull request: it has not been judged
+        docs = docs.filter(~transform.is_pull_request())
+        rows = transform.issues(docs, *carried, keep_pull_requests=True)
+    else:
+        rows = RAW_TRANSFORMS[name](docs, *carried)
+    flat = [c for c in rows.columns if c not in carried]
+    keyless = (F.col("repository") if "repository" in flat else F.lit(None).cast("string")).alias("source_file")
+    reject = (F.when(F.col("_reason").isNotNull(), F.struct("source_file", F.col("_doc").alias("doc"), F.col("_reason").alias("reject_reason")))
+              .when(F.col(UPSERT_SPECS[name].key).isNull(),
+                    F.struct(keyless, F.to_json(F.struct(*flat)).alias("doc"), F.lit("no_key").alias("reject_reason"))))
+    return rows.select(*flat, "_file", reject.alias("_reject"))
+
+
+def _flat_and_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return rows.filter("_reject is null").drop("_file", "_reject"), rows.filter("_reject is not null").select("_reject.*")
 
 
 def raw_job(spark: SparkSession, root: str, by_parent: bool = False) -> dict[str, str]:
@@ -227,40 +242,49 @@ def raw_job(spark: SparkSession, root: str, by_parent: bool = False) -> dict[str
         src = _p(root, "raw", name)
         if not fs.exists(spark, src):
             continue
-        flat, bad = transform_pages(readers.raw_pages(spark, src), name, parent_names(spark, root))
+        rows = transform_files(readers.raw_files(spark, src), name, parent_names(spark, root))
+        flat, bad = _flat_and_rejects(materialize(rows, f"judged-{name}", compression="zstd"))
         out[name] = _p(root, "flat", name)
         write_parquet(flat, out[name], ("repository",) if by_parent and "repository" in flat.columns else ())
         write_parquet(bad, _p(root, "rejects", "raw", name))
     return out
 
 
+#: Opening a page costs about as much as reading so many bytes of one.
+OPEN_COST = 1 << 16
+
+
 def raw_stream(spark: SparkSession, root: str, name: str, max_files_per_trigger: int | None = None,
                available_now: bool = False, processing_time: str = "60 seconds") -> StreamingQuery:
     """S5/S6/T*: the pages of one table as they land. Each page is transformed once, across
     restarts; a micro-batch adds one folder of flat rows and one of rejects, each renamed into
-    place whole. The folders are named after their files, so a repeated micro-batch adds nothing."""
+    place whole. The folders are named after their files, so a repeated micro-batch adds nothing.
+
+    Nothing is cached: a micro-batch may be far larger than memory. Its pages are parsed once, to
+    a staging folder of rows that are packed and far smaller than the pages."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        pages = batch.persist()
-        try:
-            files = pages.agg(F.bit_xor("file_id"), F.count_distinct("file_id")).first()
-            if not files[1]:
-                return
+        judged = _p(root, "_staging", f"{name}-{uuid.uuid4().hex}")
+        transform_files(batch, name, parent_names(spark, root)).write.option("compression", "zstd").parquet(judged)
+        rows = spark.read.parquet(judged)
+        files = rows.select("_file").distinct().agg(F.bit_xor("_file"), F.count("*")).first()
+        if files[1]:
             folder = f"pages={files[1]}-{files[0] & (1 << 64) - 1:016x}"
-            flat, bad = transform_pages(pages, name, parent_names(spark, root))
-            for rows, path in ((bad, _p(root, "rejects", "raw", name)), (flat, _p(root, "flat", name))):
+            flat, bad = _flat_and_rejects(rows)
+            for part, path in ((bad, _p(root, "rejects", "raw", name)), (flat, _p(root, "flat", name))):
                 staging = _p(path, f"_staging-{uuid.uuid4().hex}")
-                rows.write.parquet(staging)
+                part.write.option("compression", "zstd").parquet(staging)
                 fs.publish(spark, staging, _p(path, folder))
-        finally:
-            pages.unpersist()
-
-    # folders are listed by a few tasks for each core, not by one task for each folder
-    width = str(4 * spark.sparkContext.defaultParallelism)
-    with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": width}):
-        pages = readers.raw_pages(spark, _p(root, "raw", name), True, max_files_per_trigger)
-        w = pages.writeStream.foreachBatch(land).option("checkpointLocation", _p(root, "_checkpoints", "raw", name))
-        return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
+        fs.delete(spark, judged)
+
+    pages = readers.raw_files(session_like(spark, {
+        # a file source asks the session that made it: folders are listed by a few tasks for each
+        # core, not by one task for each folder, and a task reads many small pages
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": str(OPEN_COST),
+    }), _p(root, "raw", name), True, max_files_per_trigger)
+    w = pages.writeStream.foreachBatch(land).option("checkpointLocation", _p(root, "_checkpoints", "raw", name))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
 
 
 def _flat(spark: SparkSession, root: str, name: str) -> DataFrame | None:

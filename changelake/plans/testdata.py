@@ -399,16 +399,15 @@ PR_ORDER = ("event_timestamp", "kafka_timestamp", "partition", "offset", "reposi
 # ---------------------------------------------------------------------------------------
 # Raw documents (REST listing shape) derived from the tables, one JSON text per row
 # ---------------------------------------------------------------------------------------
-def _iso(ts: str) -> Column:
+def iso(ts: str) -> Column:
     return F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def raw_repository_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One repository object per customer. Missing on purpose: ``owner`` for the
+def repository_object() -> Column:
+    """The repository object of a customer. Missing on purpose: ``owner`` for the
     AUTOMOBILE segment, ``license`` for BUILDING, ``topics`` for a negative balance."""
-    c = table(spark, sf_dir, "customer")
     owner_login = F.concat(F.lit("owner_"), F.col("c_nationkey").cast("string"))
-    doc = F.struct(
+    return F.struct(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         F.concat(owner_login, F.lit("/"), F.col("c_name")).alias("full_name"),
         F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.struct(owner_login.alias("login"))).alias("owner"),
@@ -429,7 +428,12 @@ def raw_repository_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") >= 0, F.array(F.lower("c_mktsegment"), F.lit("derived"))).alias("topics"),
         F.when(F.col("c_mktsegment") != "BUILDING", F.struct(F.lit("MIT").alias("spdx_id"))).alias("license"),
     )
-    return c.select(F.lit("customer.json").alias("source_file"), F.to_json(doc).alias("doc"))
+
+
+def raw_repository_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One repository object per customer."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.lit("customer.json").alias("source_file"), F.to_json(repository_object()).alias("doc"))
 
 
 def raw_commit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,57 +448,70 @@ def raw_commit_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.struct(F.concat(F.lit("name_"), uid).alias("name"),
                      F.concat(F.lit("user_"), uid, F.lit("@example.org")).alias("email"),
-                     _iso("ts").alias("date")).alias("author"),
+                     iso("ts").alias("date")).alias("author"),
             F.col("event_type").alias("message")).alias("commit"),
     )
     return e.select(F.concat(F.lit("repo_"), uid).alias("repository"), F.to_json(doc).alias("doc"))
 
 
-def raw_issue_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One issue-feed object per order. Priority 1 entries are pull requests (the key
-    holds an object), priority 2 entries carry the key with a null value (still pull
-    requests); priority 5 entries have no labels; pending orders have no user."""
-    o = table(spark, sf_dir, "orders")
+def issue_object() -> Column:
+    """The issue-feed object of an order: priority 5 entries have no labels; pending orders
+    have no user."""
     prio = F.col("o_orderpriority")
-    doc = F.struct(
+    return F.struct(
         F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 1000).alias("number"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
         F.when(F.col("o_orderstatus") == "O", F.lit("open")).otherwise(F.lit("closed")).alias("state"),
         F.when(F.col("o_orderstatus") != "P",
                F.struct(F.concat(F.lit("user_"), F.col("o_custkey").cast("string")).alias("login"))).alias("user"),
-        _iso("o_orderdate").alias("created_at"), _iso("o_orderdate").alias("updated_at"),
-        F.when(F.col("o_orderstatus") == "F", _iso("o_orderdate")).alias("closed_at"),
+        iso("o_orderdate").alias("created_at"), iso("o_orderdate").alias("updated_at"),
+        F.when(F.col("o_orderstatus") == "F", iso("o_orderdate")).alias("closed_at"),
         leading_int("o_orderpriority").alias("comments"),
         F.when(prio != "5-LOW", F.array(F.struct(F.col("o_orderstatus").alias("name")),
                                          F.struct(prio.alias("name")))).alias("labels"),
         F.concat(F.lit("https://example.org/issues/"), F.col("o_orderkey").cast("string")).alias("html_url"),
     )
-    text = F.to_json(doc)
-    text = (F.when(prio == "1-URGENT", F.regexp_replace(text, r"\}$", ',"pull_request":{"url":"x"}}'))
+
+
+def issue_doc(issue: Column) -> Column:
+    """Text of an ``issue_object``. Priority 1 entries are pull requests (the key holds an
+    object), priority 2 entries carry the key with a null value (still pull requests)."""
+    prio = F.col("o_orderpriority")
+    text = F.to_json(issue)
+    return (F.when(prio == "1-URGENT", F.regexp_replace(text, r"\}$", ',"pull_request":{"url":"x"}}'))
              .when(prio == "2-HIGH", F.regexp_replace(text, r"\}$", ',"pull_request":null}'))
              .otherwise(text))
+
+
+def raw_issue_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One issue-feed object per order."""
+    o = table(spark, sf_dir, "orders")
     return o.select(F.concat(F.lit("customer_"), F.col("o_custkey").cast("string")).alias("repository"),
-                    text.alias("doc"))
+                    issue_doc(issue_object()).alias("doc"))
 
 
-def raw_pull_request_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    doc = F.struct(
+def pull_request_doc() -> Column:
+    """Text of the pull-request object of a line item."""
+    return F.to_json(F.struct(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.col("l_linenumber").alias("number"),
         F.concat(F.lit("line "), F.col("l_orderkey").cast("string")).alias("title"),
         F.when(F.col("l_linestatus") == "O", F.lit("open")).otherwise(F.lit("closed")).alias("state"),
         F.struct(F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string")).alias("login")).alias("user"),
-        _iso("l_shipdate").alias("created_at"), _iso("l_shipdate").alias("updated_at"),
-        F.when(F.col("l_linestatus") == "F", _iso("l_shipdate")).alias("closed_at"),
-        F.when(F.col("l_returnflag") == "R", _iso("l_shipdate")).alias("merged_at"),
+        iso("l_shipdate").alias("created_at"), iso("l_shipdate").alias("updated_at"),
+        F.when(F.col("l_linestatus") == "F", iso("l_shipdate")).alias("closed_at"),
+        F.when(F.col("l_returnflag") == "R", iso("l_shipdate")).alias("merged_at"),
         F.floor("l_quantity").alias("comments"), F.floor(F.col("l_tax") * 100).alias("review_comments"),
         F.col("l_linenumber").alias("commits"), F.floor(F.col("l_discount") * 100).alias("changed_files"),
         F.floor("l_quantity").alias("additions"), F.lit(0).alias("deletions"),
         F.concat(F.lit("https://example.org/pulls/"), F.col("l_orderkey").cast("string")).alias("html_url"),
-    )
+    ))
+
+
+def raw_pull_request_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
     return li.select(F.concat(F.lit("supplier_"), F.col("l_suppkey").cast("string")).alias("repository"),
-                     F.to_json(doc).alias("doc"))
+                     pull_request_doc().alias("doc"))
 
 
 # ---------------------------------------------------------------------------------------

@@ -90,6 +90,15 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def session_like(spark: SparkSession, values: Mapping[str, str]) -> SparkSession:
+    """A session with the settings of ``spark`` and ``values``, for what asks its session later on."""
+    own = spark.newSession()
+    for k, v in {**spark.conf.getAll, **values}.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
