@@ -17,7 +17,7 @@ from changelake.operators import transform
 from changelake.plans import landing
 from changelake.plans import testdata as td
 from changelake.schemas import PULL_REQUESTS, REPOSITORIES, TABLES, TableSpec
-from changelake.session import scratch_dir
+from changelake.session import scratch_dir, tidy
 from changelake.sources.readers import landing_stream
 from changelake.sources.writers import materialize_all
 from changelake.streaming.jobs import start_archive, start_normalise
@@ -373,8 +373,8 @@ def _landed(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
 
 def _landed_once(spark: SparkSession, recs: DataFrame, name: str) -> DataFrame:
     """``_landed`` for records that are each named once: encoded to files, then dealt from these."""
-    path, (records,) = landing.drops(spark, recs, name, 1)
-    landing.drop(records, path)
+    path, _ = landing.drops(spark, recs, name, 1)
+    landing.move(spark, path, landing.waiting(path, 0))
     return landing.stream(spark, path)
 
 
@@ -410,6 +410,7 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
+@tidy
 def staged_repository_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job sequence: stream (normalise four topics) -> state job -> final analytics."""
     from changelake.plans import stages
@@ -427,6 +428,7 @@ ARCHIVE_SCHEMA = ("received_at timestamp, topic string, partition int, offset bi
                   "event string, table_name string, received_date date")
 
 
+@tidy
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: every record of the four topics archived once, tombstones included."""
     stream = _landed_once(spark, td.activity_records(spark, sf_dir), "activity")

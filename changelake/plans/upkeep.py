@@ -11,7 +11,8 @@ from changelake.plans import landing, stages
 from changelake.plans import testdata as td
 from changelake.plans.catalog import STATE_COLUMNS
 from changelake.schemas import REPOSITORIES, TABLES
-from changelake.session import scratch_dir
+from changelake.session import scratch_dir, tidy
+from changelake.sources import fs
 from changelake.streaming.jobs import start_normalise
 
 TRUNCATED, BAD_KEY, NO_OPERATION = 13, 17, 19
@@ -87,19 +88,22 @@ def snapshot_diff_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("after.p_name").alias("after_name"))
 
 
+@tidy
 def cdc_statistics_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 from logs that were compacted twice, between drops of a stream that lost its checkpoint
     before the third."""
-    path, parts = landing.drops(spark, td.activity_records(spark, sf_dir), "compacted", 3)
+    path, _ = landing.drops(spark, td.activity_records(spark, sf_dir), "compacted", 3)
+    waiting = [landing.waiting(path, k) for k in range(3)]
     root = scratch_dir(spark, "compacted", fresh=True)
-    for k, part in enumerate(parts):
+    for k in range(3):
         if k == 2:
             path, root_of_stream = scratch_dir(spark, "landing", "compacted-anew", fresh=True), "_anew"
         else:
             root_of_stream = "_checkpoints"
-        landing.drop(part, path)
+        dropped = landing.move(spark, path, waiting[k])
         start_normalise(landing.stream(spark, path), TABLES.values(), f"{root}/log", f"{root}/{root_of_stream}",
                         available_now=True).awaitTermination()
+        fs.delete(spark, dropped)
         if k < 2:
             stages.compact_job(spark, root)
     logs = {n: stages.read_log(spark, root, s).select("operation") for n, s in TABLES.items()}
