@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from changelake.functions.rows import emit
 from changelake.operators.envelope import parse_images
 from changelake.schemas import OP_DELETE, TABLES
 from changelake.streaming.running import Running
@@ -28,17 +29,16 @@ def contributions(records: DataFrame) -> DataFrame:
     one = lambda c: F.when(c, 1).otherwise(0).cast("bigint")
     zero = F.lit(0).cast("bigint")
     none = F.lit(None)
-    change = F.struct(F.lit("change").alias("statistic"), table.alias("table_name"), F.col("operation"), none.cast("string").alias("language"),
-                      none.cast("bigint").alias("repository_id"), F.lit(1).cast("bigint").alias("events"),
-                      *[zero.alias(c) for c in _COUNTS[1:]])
-    own = F.struct(F.when(is_repository, "language").otherwise(table).alias("statistic"), none.cast("string").alias("table_name"),
-                   none.cast("string").alias("operation"), F.when(is_repository, after["language"]).alias("language"),
-                   F.when(~is_repository, after["repository_id"]).alias("repository_id"), F.lit(1).cast("bigint").alias("events"),
-                   one(after["state"] == "open").alias("opened"), one(after["state"] == "closed").alias("closed"),
-                   F.coalesce(value, F.lit(0)).cast("bigint").alias("value_sum"), one(value.isNotNull()).alias("value_count"))
+    change = [F.lit("change").alias("statistic"), table.alias("table_name"), F.col("operation"), none.cast("string").alias("language"),
+              none.cast("bigint").alias("repository_id"), F.lit(1).cast("bigint").alias("events"),
+              *[zero.alias(c) for c in _COUNTS[1:]]]
+    own = [F.when(is_repository, "language").otherwise(table).alias("statistic"), none.cast("string").alias("table_name"),
+           none.cast("string").alias("operation"), F.when(is_repository, after["language"]).alias("language"),
+           F.when(~is_repository, after["repository_id"]).alias("repository_id"), F.lit(1).cast("bigint").alias("events"),
+           one(after["state"] == "open").alias("opened"), one(after["state"] == "closed").alias("closed"),
+           F.coalesce(value, F.lit(0)).cast("bigint").alias("value_sum"), one(value.isNotNull()).alias("value_count")]
     has_language = ~is_repository | after["language"].isNotNull()
-    both = F.array(change, F.when(counted & has_language, own))
-    return rows.select(F.inline(F.filter(both, lambda r: r.isNotNull())))
+    return emit(rows, [(F.lit(True), change), (counted & has_language, own)])
 
 
 class EventStatistics:
