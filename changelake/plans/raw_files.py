@@ -28,7 +28,7 @@ from changelake.operators import load
 from changelake.plans import stages
 from changelake.plans import testdata as td
 from changelake.schemas import UPSERT_SPECS
-from changelake.session import scratch_dir, settings
+from changelake.session import scratch_dir, settings, tidy
 from changelake.sources import fs
 from changelake.sources.readers import file_stem_of
 
@@ -106,6 +106,7 @@ def land_pull_requests(spark: SparkSession, sf_dir: str, root: str, drop: int) -
 _LAND = {"repositories": land_repositories, "issues": land_issues, "pull_requests": land_pull_requests}
 
 
+@tidy
 def _transformed(spark: SparkSession, sf_dir: str, children: tuple[str, ...], loads: bool = True) -> str:
     """Two drops, each transformed by a newly started stream, and loaded; returns the root."""
     root = scratch_dir(spark, "raw", fresh=True)
@@ -153,6 +154,7 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+@tidy
 def load_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commits loaded from processed JSON, of which half arrive one load before their
     repository; each load sees its own records only."""
